@@ -81,7 +81,7 @@ def run_backfill(
     done = spark.read.parquet(routed_path)
 
     out = [F.col(f"`out_{n}`").alias(n) for n in routed.final]
-    tables.write_table(route.accepted(done).select(*out), table, "overwrite")
+    tables.write_table(route.accepted(done).select(*out), table)
     body = F.to_json(F.struct(*[c for c, n in zip(out, routed.final) if n != "row_id"]))
     dead = route.union_dead_letters(
         route.dead_letters(done, body), schema_guard.schema_traces(done)

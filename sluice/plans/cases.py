@@ -80,3 +80,43 @@ def duckdb_raw_sql() -> str:
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(spark_raw_sql(sf_dir))
+
+
+# One JSON value of another type per event id, for the type rules.
+MIXED_VALUES_SQL = """
+SELECT event_id, event_type, user_id, t, CASE m
+    WHEN 0 THEN CAST(event_id AS STRING)
+    WHEN 1 THEN '-' || CAST(user_id AS STRING)
+    WHEN 2 THEN CAST(user_id AS STRING) || '.5'
+    WHEN 3 THEN '"' || CAST(event_id AS STRING) || '"'
+    WHEN 4 THEN '" ' || CAST(user_id AS STRING) || ' "'
+    WHEN 5 THEN '"' || CAST(user_id AS STRING) || '.5"'
+    WHEN 6 THEN '"' || event_type || '"'
+    WHEN 7 THEN '"Yes"'
+    WHEN 8 THEN '"f"'
+    WHEN 9 THEN 'true'
+    WHEN 10 THEN 'false'
+    WHEN 11 THEN 'null'
+    WHEN 12 THEN '""'
+    WHEN 13 THEN '"' || substr(t, 1, 10) || '"'
+    WHEN 14 THEN '"2024-02-30"'
+    WHEN 15 THEN '"' || substr(t, 12, 5) || '"'
+    WHEN 16 THEN '"' || replace(t, ' ', 'T') || 'Z"'
+    WHEN 17 THEN '"' || replace(t, ' ', 'T') || '+05:30"'
+    WHEN 18 THEN '[1,' || CAST(user_id AS STRING) || ']'
+    WHEN 19 THEN '{{"a":' || CAST(user_id AS STRING) || '}}'
+    WHEN 20 THEN '"1e3"'
+    WHEN 21 THEN '0'
+    WHEN 22 THEN '"' || substr(t, 12, 2) || '"'
+    ELSE CAST(user_id AS STRING) || '.0' END AS v
+FROM (SELECT event_id, event_type, user_id, event_id % 24 AS m, substr(CAST(ts AS STRING), 1, 19) AS t
+      FROM {events}) x
+"""
+
+
+def mixed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(MIXED_VALUES_SQL.format(events=f"parquet.`{sf_dir}/events.parquet`"))
+
+
+def duckdb_mixed_sql() -> str:
+    return MIXED_VALUES_SQL.format(events="events")

@@ -33,6 +33,7 @@ def local_session(cores: int | str = 8, app: str = "sluice", **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")

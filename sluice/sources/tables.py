@@ -41,19 +41,29 @@ def dead_letter_target(cfg: JobConfig, mode: str) -> str:
 
 
 PARTITION = "event_date"
+BATCH = "batch_id"
+# Batch number of rows that no micro-batch wrote.
+NO_BATCH = -1
 
 
-def with_partition(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(PARTITION, F.to_date("beam_event_time"))
+def with_partition(rows: DataFrame, batch_id: int = NO_BATCH) -> DataFrame:
+    return rows.withColumns({PARTITION: F.to_date("beam_event_time"), BATCH: F.lit(batch_id)})
 
 
-def write_table(rows: DataFrame, path: str, mode: str) -> None:
-    """``append`` in streaming, ``overwrite`` in backfill; one folder per event day.
+def write_table(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Overwrite the table, or add a micro-batch to it.
 
-    A day is split over as many files as there are write tasks with rows of it, so a day
-    with most of the rows is not one task's work.
+    The layout is one folder per event day and batch. A micro-batch replaces only its own
+    folders, so a replay repeats nothing. A day is split over as many files as there are
+    write tasks with rows of it, so a day with most of the rows is not one task's work.
     """
-    with_partition(rows).write.mode(mode).partitionBy(PARTITION).parquet(path)
+    if batch_id is None:
+        writer = with_partition(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    else:
+        writer = with_partition(rows, batch_id).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        )
+    writer.partitionBy(PARTITION, BATCH).parquet(path)
 
 
 def merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,8 +82,8 @@ def merge_into(
     """Merge the temporary table into the target, rewriting only the touched days.
 
     A touched day holds a new row or a row that is replaced (an id can move between days).
-    The merged days are first written beside the target and then swapped in by dynamic
-    partition overwrite, since a table cannot be read and overwritten in one job.
+    The merged days are first written beside the target and then moved in, since a table
+    cannot be read and overwritten in one job.
     """
     from sluice.session import work_dir
 
@@ -81,29 +91,21 @@ def merge_into(
     if not _exists(spark, target_path):
         if fail_if_missing:
             raise ValueError(f"target table {target_path} does not exist")
-        changes.write.partitionBy(PARTITION).parquet(target_path)
+        changes.write.partitionBy(PARTITION, BATCH).parquet(target_path)
         return
     target = spark.read.parquet(target_path)
-    replaced = target.join(changes.select(*keys).distinct(), list(keys), "left_semi")
+    replaced = target.join(changes.select(*keys), list(keys), "left_semi")
     touched = changes.select(PARTITION).union(replaced.select(PARTITION)).distinct()
     # At most one row per calendar day.
     days = [r[0] for r in touched.collect()]
-    dated = [d for d in days if d is not None]
-    in_days = F.col(PARTITION).isin(dated) if dated else F.lit(False)
-    if None in days:
-        in_days = in_days | F.col(PARTITION).isNull()
-    merged = merge_rows(target.filter(in_days), changes, keys)
+    in_days = F.coalesce(F.col(PARTITION).isin([d for d in days if d is not None]), F.lit(None in days))
+    merged = merge_rows(target.filter(in_days), changes, keys).withColumn(BATCH, F.lit(NO_BATCH))
     staged = work_dir(spark, "merge")
-    merged.write.partitionBy(PARTITION).parquet(staged)
-    written = spark.read.schema(merged.schema).parquet(staged)
-    # A day that lost its last row to another day must be emptied too.
-    left_days = {r[0] for r in written.select(PARTITION).distinct().collect()}
-    written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        PARTITION
-    ).parquet(target_path)
-    for day in set(days) - left_days:
-        value = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-        _delete(spark, f"{target_path}/{PARTITION}={value}")
+    merged.write.partitionBy(PARTITION, BATCH).parquet(staged)
+    for day in days:
+        # A day that lost its last row to another day has no staged folder and ends empty.
+        folder = f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+        _replace_folder(spark, f"{staged}/{folder}", f"{target_path}/{folder}")
 
 
 def _path(spark: SparkSession, path: str):
@@ -117,9 +119,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _path(spark, path)
-    fs.delete(p, True)
+def _replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    old, fs = _path(spark, target)
+    new, _ = _path(spark, source)
+    fs.delete(old, True)
+    if fs.exists(new):
+        fs.rename(new, old)
 
 
 def write_batch_once(rows: DataFrame, path: str, batch_id: int, partition: str | None = None) -> bool:
