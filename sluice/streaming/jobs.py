@@ -157,10 +157,13 @@ def run_streaming(
 
 
 def drain(query: StreamingQuery, timeout_sec: float = 120) -> None:
-    """Wait until all input is read and no key waits for its timer, then stop."""
+    """Wait until all input is read and no key waits for its timer, then stop.
+
+    For input that is complete before the query starts. (``processAllAvailable`` does not
+    return while processing-time timers keep batches running.)
+    """
     deadline = time.time() + timeout_sec
     try:
-        query.processAllAvailable()
         while time.time() < deadline:
             progress = query.lastProgress
             if progress:
