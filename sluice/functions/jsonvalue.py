@@ -74,11 +74,16 @@ KIND_OF_TYPE = {
 
 def base_kind(v: Column) -> Column:
     """null, boolean, integer, float, string, object or array. Absent counts as null."""
-    names = F.create_map(*[F.lit(x) for pair in KIND_OF_TYPE.items() for x in pair])
-    name = F.regexp_extract(
-        F.schema_of_variant(v), r"^(?:DECIMAL\((?:19|[23][0-9]),0\)|[A-Z]+)", 0
+    def names(keys) -> Column:
+        return F.expr("map(" + ",".join(f"'{k}','{KIND_OF_TYPE[k]}'" for k in keys) + ")")
+
+    full = F.schema_of_variant(v)
+    # Types without arguments are found as they are; the others by their leading name.
+    plain = ("STRING", "BIGINT", "BOOLEAN", "VOID", "DOUBLE")
+    short = F.regexp_extract(full, r"^(?:DECIMAL\((?:19|[23][0-9]),0\)|[A-Z]+)", 0)
+    return F.coalesce(
+        names(plain)[full], names(k for k in KIND_OF_TYPE if k not in plain)[short], F.lit("null")
     )
-    return F.coalesce(names[name], F.lit("null"))
 
 
 def plain_text(v: Column, kind: Column | None = None) -> Column:

@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from sluice.functions.let import let
 
-# Unicode white space plus the four ASCII separators.
-_SPACE = r"[\s\x1c-\x1f]"
+# Fixed value: the characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Remove all leading and trailing white space, not only blanks."""
-    return F.regexp_replace(c, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(c: Column) -> Column:
     """Strip, then turn every run of white space into one blank."""
-    return F.regexp_replace(strip(c), f"(?U){_SPACE}+", " ")
+    return F.regexp_replace(strip(c), f"[{WHITE_SPACE}]+", " ")
 
 
 def title(c: Column) -> Column:
@@ -34,10 +37,10 @@ def float_text(d: Column) -> Column:
 
     Plain notation from 1e-4 up to 1e16, exponent notation outside.
     """
-    return let(d, lambda v: let(v.cast("string"), lambda raw: _float_text(v, raw)))
+    return let(d.cast("string"), _float_text)
 
 
-def _float_text(d: Column, raw: Column) -> Column:
+def _float_text(raw: Column) -> Column:
     plain = F.regexp_replace(
         F.regexp_replace(raw.cast("decimal(38,21)").cast("string"), "0+$", ""), r"\.$", ".0"
     )
@@ -48,13 +51,12 @@ def _float_text(d: Column, raw: Column) -> Column:
         F.when(exponent.startswith("-"), F.lit("e-")).otherwise(F.lit("e+")),
         F.lpad(F.regexp_replace(exponent, "^-", ""), 2, "0"),
     )
-    size = F.abs(d)
+    # The usual case first: between 1e-3 and 1e7 both notations agree.
     return (
-        F.when(d.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(d), F.lit("nan"))
-        .when(raw.isin("Infinity", "-Infinity"), F.regexp_replace(F.lower(raw), "inity$", ""))
-        .when(size == 0, raw)
-        .when((size >= 1e-4) & (size < 1e16), plain)
+        F.when(raw.rlike("^-?[0-9]+[.][0-9]+$"), raw)
+        .when(raw == "NaN", F.lit("nan"))
+        .when(raw.endswith("Infinity"), F.regexp_replace(F.lower(raw), "inity$", ""))
+        .when(raw.rlike("E(-4|[0-9]|1[0-5])$"), plain)
         .otherwise(scientific)
     )
 

@@ -38,11 +38,18 @@ class Field:
     """Expressions for one field. ``kind`` is a settled kind or ``dynamic``."""
 
     kind: str
-    view: Column
+    given_view: Column | None
     variant: Column | None = None
     kind_col: Column | None = None
     view_kind: str = "string"
 
+    @property
+    def view(self) -> Column:
+        """The typed view; built only where it is asked for."""
+        if self.given_view is None:
+            return view_of(self.variant, self.kind_col, self.view_kind)
+        return self.given_view
+
     @property
     def dynamic(self) -> bool:
         return self.kind == "dynamic"
@@ -111,7 +118,7 @@ def null_field() -> Field:
 
 def dynamic_field(variant: Column, view_kind: str = "string") -> Field:
     kind = J.base_kind(variant)
-    return Field("dynamic", view_of(variant, kind, view_kind), variant, kind, view_kind)
+    return Field("dynamic", None, variant, kind, view_kind)
 
 
 def view_of(variant: Column, kind: Column, view_kind: str) -> Column:
@@ -151,7 +158,7 @@ def choose(condition: Column, yes: Field, no: Field, view_kind: str | None = Non
             (f.view_kind if f.dynamic else f.kind for f in (no, yes) if f.kind not in ("null", "timestamp")),
             "string",
         )
-    return Field("dynamic", view_of(variant, kind_col, view_kind), variant, kind_col, view_kind)
+    return Field("dynamic", None, variant, kind_col, view_kind)
 
 
 class EventFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.jsonvalue import base_kind
 from sluice.functions.timetext import string_kind
 from sluice.operators.decode import ENVELOPE_FIELDS
-from sluice.operators.route import SILENT, reject_struct, reject_where, ok
+from sluice.operators.route import SILENT, ok, pinned, reject_struct, reject_where
 
 TEMPORAL = ("date", "time", "datetime", "timestamp")
 _DIFF_TYPE = (
@@ -210,8 +210,8 @@ def schema_traces(df: DataFrame) -> DataFrame:
 
 def drift_report(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     """How often each path is new, missing or of another type."""
-    diff = schema_diff(observed_schema(), expected)
-    rows = df.filter(ok()).select(diff.alias("d"))
+    rows = df.filter(ok()).select(pinned(observed_schema()).alias("o"))
+    rows = rows.select(pinned(schema_diff(F.col("o"), expected)).alias("d"))
     items = rows.select(
         F.explode(
             F.concat(

@@ -15,13 +15,16 @@ SEMANTIC_SETTINGS = {
     # The last of several equal JSON keys wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
+# Plans here have thousands of expressions. Recording a Python call site for each one costs
+# more than planning itself.
+PLANNING_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what row semantics need on an existing session."""
-    for key, value in SEMANTIC_SETTINGS.items():
+    """Set what row semantics and planning need on an existing session."""
+    for key, value in {**SEMANTIC_SETTINGS, **PLANNING_SETTINGS}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -39,7 +42,7 @@ def local_session(cores: int | str = 8, app: str = "sluice", **conf: str) -> Spa
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
-    for key, value in {**SEMANTIC_SETTINGS, **conf}.items():
+    for key, value in {**SEMANTIC_SETTINGS, **PLANNING_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

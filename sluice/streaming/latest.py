@@ -54,7 +54,9 @@ class LatestEvent(StatefulProcessor):
         self.latest = handle.getValueState("latest", PACKED)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.latest.get() if self.latest.exists() else None
+        # get() gives None where the key has no state.
+        held = self.latest.get()
+        had_timer = held is not None
         held_us = held[NAMES.index("event_us")] if held is not None else None
         changed = False
         for row in rows:
@@ -71,13 +73,15 @@ class LatestEvent(StatefulProcessor):
                 yield self._out(tuple(row[n] for n in NAMES), "dropped", held_us)
         if changed:
             self.latest.update(held)
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
+            if had_timer:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.buffer_ms)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.latest.exists():
-            yield self._out(self.latest.get(), "main", None)
+        held = self.latest.get()
+        if held is not None:
+            yield self._out(held, "main", None)
         self.latest.clear()
 
     def close(self) -> None:
