@@ -16,7 +16,7 @@ from sluice.operators.fields import EventFrame, dynamic_field, typed
 from sluice.operators.transform import field_mapping as map_fields
 from sluice.operators.transform import start_event, transform, view_kinds
 from sluice.plans import rules as R
-from sluice.plans.cases import mixed_values, raw_messages
+from sluice.plans.cases import mixed_values, raw_messages, spread
 from sluice.plans.sample_config import EXPECTED_SCHEMA, SCHEMA_MANAGEMENT, sample_config
 from sluice.plans.stages import backfill_stages, check_events, transform_and_validate
 from sluice.session import prepare, work_dir
@@ -440,7 +440,7 @@ def derived_fields(spark, sf_dir):
 
 
 def normalize_text(spark, sf_dir):
-    event = _typed_event(_table(spark, sf_dir, "documents"), text="string", lang="string")
+    event = _typed_event(spread(_table(spark, sf_dir, "documents"), "doc_id"), text="string", lang="string")
     enrich.enrichment(event, R.NORMALIZATIONS)
     event.flush()
     return event.df.select(
@@ -450,7 +450,7 @@ def normalize_text(spark, sf_dir):
 
 
 def entity_extraction(spark, sf_dir):
-    event = _typed_event(_table(spark, sf_dir, "documents"), text="string")
+    event = _typed_event(spread(_table(spark, sf_dir, "documents"), "doc_id"), text="string")
     enrich.entity_extraction(event, R.ENTITIES)
     return _columns(event, ["doc_id"], {"email": "STRING", "year": "STRING", "keyword": "STRING"})
 
