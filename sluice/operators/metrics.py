@@ -67,7 +67,11 @@ def lag_distribution(df: DataFrame, window_sec: int, now: Column | None = None)
 
 
 def lag_series(df: DataFrame, window_sec: int, now: Column | None = None) -> DataFrame:
-    """Largest lag and its true 95th percentile per window."""
+    """Largest lag and its true 95th percentile per window.
+
+    The percentile keeps one count per distinct lag. Lags are whole milliseconds within the
+    allowed lateness, so a window holds a bounded number of them however many events it has.
+    """
     lag = df.withColumn("_lag", event_lag_ms(now)).filter(F.col("_lag").isNotNull())
     return lag.groupBy(tumbling("beam_processing_time", window_sec).alias("window_start")).agg(
         F.max("_lag").alias("lag_max"), F.percentile("_lag", 0.95).alias("lag_p95")

@@ -400,7 +400,7 @@ def lookup_table_large(spark, sf_dir):
     part = _table(spark, sf_dir, "part")
     out = enrich.lookup_table(
         line, part, "l_partkey", "p_partkey", "p_brand", "brand", ["l_orderkey", "l_linenumber"],
-        default="NONE", max_broadcast=10, hot_rows=40,
+        default="NONE", max_broadcast=10,
     )
     return out.select("l_orderkey", "l_linenumber", "brand")
 

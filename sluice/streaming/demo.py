@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import copy
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,27 @@ from sluice.streaming.latest import PACKED, dedup_stream as keyed_dedup, pack
 _RAW_COLUMNS = ["n", "c", "copy", "value", "proc_s", "message_id"]
 
 
+@contextmanager
+def _stateful(spark: SparkSession) -> Iterator[None]:
+    """Settings for a bounded run of keyed state: RocksDB, and no more state stores than cores.
+
+    The number of stores is fixed when a query first starts; a long-running job sets
+    ``spark.sql.shuffle.partitions`` for its own load before that.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _to_files(df: DataFrame, name: str) -> tuple[str, str]:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -83,21 +106,21 @@ def window_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 def dedup_stream(spark: SparkSession, checked: DataFrame, buffer_seconds: float = 1.0) -> DataFrame:
     """Keyed dedup of one burst: every id leaves once as main, its other versions do not."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path, _ = _to_files(pack(route.accepted(checked)), "packed")
     routed = keyed_dedup(
         spark.readStream.schema(PACKED).parquet(path), buffer_seconds, 10**9, emit_superseded=True
     )
     out = work_dir(spark, "deduped")
-    query = (
-        routed.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", work_dir(spark, "deduped-checkpoint"))
-        .outputMode("append")
-        .trigger(processingTime="1 second")
-        .start()
-    )
-    drain(query)
+    with _stateful(spark):
+        query = (
+            routed.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", work_dir(spark, "deduped-checkpoint"))
+            .outputMode("append")
+            .trigger(processingTime="1 second")
+            .start()
+        )
+        drain(query)
     rows = spark.read.schema(routed.schema).parquet(out)
     return rows.select(
         "event_id", "event_us",
@@ -107,13 +130,13 @@ def dedup_stream(spark: SparkSession, checked: DataFrame, buffer_seconds: float
 
 def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Both streaming queries over all messages; the final table is read back."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")
     cfg = copy.deepcopy(sample_config())
     cfg.streaming_tuning["dedup"].update(buffer_seconds=1, max_state_age_sec=10**9)
     job = StreamingJob(spark, cfg, work_dir(spark, "stream"), processing_time=F.timestamp_seconds("proc_s"))
     job.start_checks(file_messages(spark, path, schema), {"availableNow": True}).awaitTermination()
-    drain(job.start_final({"processingTime": "1 second"}))
+    with _stateful(spark):
+        drain(job.start_final({"processingTime": "1 second"}))
     return spark.read.parquet(job.table).select(
         "event_id", "event_ts", "order_id", "amount", "full_address", "expected_delivery_date", "temperature", "row_id"
     )

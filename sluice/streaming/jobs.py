@@ -156,7 +156,7 @@ def run_streaming(
     return job, [job.start_checks(messages, trigger), job.start_final(trigger)]
 
 
-def drain(query: StreamingQuery, timeout_sec: float = 120) -> None:
+def drain(query: StreamingQuery, timeout_sec: float = 900) -> None:
     """Wait until all input is read and no key waits for its timer, then stop.
 
     For input that is complete before the query starts. (``processAllAvailable`` does not
