@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm.bagminhash import op7_bagminhash
 from sluice.llm.license_scan import op2_license_scan
 from sluice.llm.mixing import op6_mixing
+from sluice.llm.oracles import oracle_sql  # noqa: F401
 from sluice.llm.quality_classifier import op5_quality_classifier
 from sluice.llm.quality_rules import op1_quality_rules
 from sluice.llm.secret_scan import op4_secret_scan
@@ -31,7 +32,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_token_records": op10_token_records,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
