@@ -34,8 +34,11 @@ from sluice.llm.common import table, text_slices
 SPACE = "▁"
 CHUNK = re.compile(r"\n|\x20*[^\x20\n]+|\x20+")
 # Chunks whose ids a worker remembers, and bytes of chunks that one suffix array indexes.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 INDEX_BYTES = 160_000
+# Neighbouring pieces whose fate a worker remembers, and text bytes that are encoded at once.
+CACHE_PAIRS = 400_000
+PIECE_BYTES = 2 << 20
 # Bytes of a suffix that are sorted; of longer pieces the rest is compared.
 DEPTH = 16
 
@@ -106,7 +109,7 @@ class Vocabulary:
         key = left * self.size + right
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) > 2_000_000:
+            if len(self._apart) > CACHE_PAIRS:
                 self._apart.clear()
             known = self._apart[key] = self._stay_apart(left, right)
         return known
@@ -233,6 +236,12 @@ def encode_chunks(v: Vocabulary, chunks: list[str]) -> list[bytes]:
     return out
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process, so that later tasks find its chunks."""
+    return Encoder(path)
+
+
 class Encoder:
     def __init__(self, path: str):
         self.v = vocabulary(path)
@@ -242,9 +251,11 @@ class Encoder:
         cut = CHUNK.findall if self.v.chunked else lambda t: [t]
         # The first word counts as one behind a space.
         parts = [cut(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        here = set().union(*parts)
         if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        new = list(set().union(*parts).difference(self.known))
+            # Frequent chunks are in this piece as well.
+            self.known = {c: self.known[c] for c in here.intersection(self.known)}
+        new = list(here.difference(self.known))
         batch: list[str] = []
         held = 0
         for i, chunk in enumerate(new):
@@ -269,8 +280,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
-        for part in text_slices(batches, text_col):
+        encoder = encoder_of(model_path)
+        for part in text_slices(batches, text_col, PIECE_BYTES):
             texts = part.column(text_col).to_pylist()
             encoded = encoder.encode(texts)
             same = [encoder.decode(e) == (t or "").replace(SPACE, " ") for e, t in zip(encoded, texts)]
@@ -290,7 +301,7 @@ def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id"
     id_type = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
+        encoder = encoder_of(model_path)
         for batch in batches:
             texts = [encoder.decode(np.array(i or [], encoder.v.dtype).tobytes()) for i in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(texts, pa.string())], names=[id_col, "text"])
