@@ -17,9 +17,11 @@ gives no records.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,15 @@ END_ID = 0
 # Text bytes per file; a file is read whole by one task.
 FILE_BYTES = 12 << 20
 # Chunks whose ids a worker remembers.
-CACHE_CHUNKS = 600_000
-CHUNKS_AT_ONCE = 256
+CACHE_CHUNKS = 400_000
+# Text bytes that are encoded at once.
+PIECE_BYTES = 1 << 20
+PUNCTUATION = string.punctuation
+# Byte-level vocabularies spell bytes as letters: printable ones as themselves, the others by
+# their order behind 255.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+SPACE_LETTER = chr(BYTE_LETTERS[32])
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 FIXED = struct.Struct("<BBq")
@@ -73,65 +82,82 @@ def read_frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]
         at += n + 17
 
 
+class ChunkIds(dict):
+    """Ids (as bytes) of chunks by their text; an unknown chunk is encoded when it is asked for.
+
+    A chunk stands behind a space, which is left off, or begins with a line feed. A chunk with a
+    space in front is one that has nothing before it in its text.
+    """
+
+    def __init__(self, tokenizer, dtype: str):
+        super().__init__()
+        self.tokenizer, self.dtype, self.tokenize = tokenizer, dtype, tokenizer.model.tokenize
+
+    def __missing__(self, chunk: str) -> bytes:
+        head = chunk.rstrip(PUNCTUATION)
+        if len(head) < len(chunk) and head.isalpha():
+            # The splitting rule parts letters from the punctuation behind them.
+            ids = self[head] + self[" " + chunk[len(head) :]]
+        elif chunk.isalpha():
+            # One unit of the splitting rule: straight to the merges.
+            word = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = np.array([t.id for t in self.tokenize(SPACE_LETTER + word)], self.dtype).tobytes()
+        else:
+            text = chunk[1:] if chunk[:1] == " " else chunk if chunk[:1] == "\n" else " " + chunk
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        self[chunk] = ids
+        return ids
+
+
 class CachedEncoder:
     """Ids as bytes by the tokenizers library, each space-separated chunk encoded once.
 
     Byte-level BPE never joins across a single space or line feed that follows other text, so
     ids of chunks (the space belongs to the chunk behind it) are the ids of the text. Texts in
-    which that could fail are encoded whole.
+    which that could fail are encoded whole, as are all texts of other kinds of tokenizers.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
-        # In byte-level vocabularies each character of a token's name stands for one byte.
-        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.n_bytes[i] = len(token)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    @staticmethod
-    def uneven(text: str) -> bool:
-        return text[-1:] in (" ", "\n") or any(x in text for x in UNEVEN)
+        self.by_chunk = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tokenizer.normalizer is None
+        self.known = ChunkIds(self.tokenizer, self.dtype)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that begin with a space or line feed, encoded side by side in one text."""
-        ids = np.array(self.tokenizer.encode("".join(chunks), add_special_tokens=False).ids, self.dtype)
-        ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(c.encode()) for c in chunks])) + 1
-        raw, size = ids.tobytes(), self.width
-        return [raw[a * size : b * size] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    def uneven(self, text: str) -> bool:
+        return text[-1:] in (" ", "\n") or any(x in text for x in UNEVEN)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        parts = {i: t.replace("\n", " \n").split(" ") for i, t in enumerate(texts) if not self.uneven(t)}
-        for p in parts.values():
-            # A chunk at the start of a text has no space; the mark keeps it apart.
-            p[0] = " " + p[0]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        new = list(set().union(*parts.values()).difference(self.known))
-        leads = [c for c in new if c[:1] == " "]
-        self.known.update(zip(leads, self.whole([c[1:] for c in leads])))
-        new = [c for c in new if c[:1] != " "]
-        for start in range(0, len(new), CHUNKS_AT_ONCE):
-            some = new[start : start + CHUNKS_AT_ONCE]
-            self.known.update(zip(some, self.chunks([c if c[:1] == "\n" else " " + c for c in some])))
-        get = self.known.__getitem__
-        for i, p in parts.items():
-            out[i] = b"".join(map(get, p))
-        rest = [i for i in range(len(texts)) if i not in parts]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
-            out[i] = ids
+        out, hot, get = [], set(), self.known.__getitem__
+        full = len(self.known) > CACHE_CHUNKS
+        for text in texts:
+            if not self.by_chunk or self.uneven(text):
+                out.append(self.whole(text))
+                continue
+            chunks = text.replace("\n", " \n").split(" ")
+            chunks[0] = " " + chunks[0]
+            out.append(b"".join(map(get, chunks)))
+            if full:
+                hot.update(chunks)
+        if full:
+            # Frequent chunks are among those of this piece.
+            kept = {c: get(c) for c in hot}
+            self.known.clear()
+            self.known.update(kept)
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> CachedEncoder:
+    """One encoder per worker process, so that later tasks find its chunks."""
+    return CachedEncoder(path)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Encode and write all documents in ascending order of their ids.
 
@@ -144,9 +170,9 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     ranges = rows.repartitionByRange(max(1, -(-total // file_bytes)), *keys, F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = end_id.to_bytes(encoder.width, "little")
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=PIECE_BYTES):
             encoded = encoder.encode(part.column("text").to_pylist())
             frames = [frame(d, ids + end, encoder.width) for d, ids in zip(part.column("id").to_pylist(), encoded)]
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["value"])
