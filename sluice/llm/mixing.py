@@ -116,23 +116,23 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     fits = (c["mix_size"] > 0) & (c["mix_offset"] + c["mix_size"] <= left) & (passes < MAX_REPEATS)
     placed = placed.withColumn(names["mix_copies"], F.when(c["mix_size"] > 0, passes + fits.cast("long")).otherwise(F.lit(0)).cast("long"))
     # What the prefix took of the last pass; the largest other document that fits the rest follows.
+    # Sums per source are spread over its groups, so documents stay dealt by group.
+    in_all = Window.partitionBy(keys[0])
     taken = (
-        placed.groupBy(*keys).agg(
-            F.sum(F.when(fits, c["mix_size"]).otherwise(0)).alias("_taken"), F.first(left).alias("_left")
-        )
-        .groupBy(keys[0]).agg(F.sum("_taken").alias("_taken"), F.first("_left").alias("_left"))
+        placed.groupBy(*keys).agg(F.sum(F.when(fits, c["mix_size"]).otherwise(0)).alias("_group_taken"), F.first(left).alias("_left"))
+        .select(*keys, "_left", F.sum("_group_taken").over(in_all).alias("_taken"))
     )
-    open_docs = placed.filter(~fits & (c["mix_size"] > 0) & (passes < MAX_REPEATS) & (c["mix_size"] <= left))
+    size, offset, digest_of = names["mix_size"], names["mix_offset"], names["mix_digest"]
     best = (
-        # One row per group and size: what is left is known only per source.
-        open_docs.groupBy(*keys, names["mix_size"]).agg(F.min(F.struct(names["mix_digest"], names["mix_offset"])).alias("_at"))
-        .join(taken, keys[0])
+        placed.filter(~fits & (c["mix_size"] > 0) & (passes < MAX_REPEATS) & (c["mix_size"] <= left))
+        .join(taken, keys)
         .filter(c["mix_size"] <= F.col("_left") - F.col("_taken"))
+        .groupBy(*keys).agg(F.max(F.struct(size, digest_of, offset)).alias("_in_group"), F.first("_taken").alias("_taken"))
         .groupBy(keys[0])
-        .agg(F.max(F.struct(F.col(names["mix_size"]), F.col(keys[1]).alias("g"), F.col("_at"))).alias("_best"), F.first("_taken").alias("_taken"))
+        .agg(F.max(F.struct("_in_group", keys[1])).alias("_best"), F.first("_taken").alias("_taken"))
         .select(
-            keys[0], F.col("_best.g").alias(keys[1]), F.col(f"_best._at.{names['mix_digest']}").alias("_digest"),
-            F.col(f"_best._at.{names['mix_offset']}").alias("_offset"), F.col(f"_best.{names['mix_size']}").alias("_size"), "_taken",
+            keys[0], F.col(f"_best.{keys[1]}").alias(keys[1]), F.col(f"_best._in_group.{digest_of}").alias("_digest"),
+            F.col(f"_best._in_group.{offset}").alias("_offset"), F.col(f"_best._in_group.{size}").alias("_size"), "_taken",
         )
     )
     chosen = (c["mix_digest"] == F.col("_digest")) & (c["mix_offset"] == F.col("_offset")) & (c["mix_size"] == F.col("_size"))
