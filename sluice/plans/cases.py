@@ -17,19 +17,19 @@ WITH b AS (
   FROM {events}),
 p AS (
   SELECT n, c, t, es, event_type,
-    '{{"order_id": "' || CASE WHEN c = 19 THEN repeat('X', 101) WHEN c = 20 THEN ''
-                             ELSE 'ORD-' || CAST(n AS STRING) END
-    || '", "address_1": ' || CASE WHEN c = 18 THEN 'null'
-                                  ELSE '"Street ' || CAST(user_id AS STRING) || '"' END
-    || ', "address_2": ' || CASE WHEN n % 3 = 0 THEN 'null'
-                                 ELSE '"Flat ' || CAST(n % 7 AS STRING) || '"' END
-    || ', "location": "' || CASE user_id % 4 WHEN 0 THEN ' Mumbai' WHEN 1 THEN 'delhi'
-                                 WHEN 2 THEN 'N  Delhi' ELSE 'Pune' END
-    || '", "fast_delivery": ' || CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END
-    || ', "amount": ' || CASE WHEN c = 16 THEN '"12"' WHEN c = 17 THEN 'null'
+    '{{"visit_id": "' || CASE WHEN c = 19 THEN repeat('X', 101) WHEN c = 20 THEN ''
+                             ELSE 'VIS-' || CAST(n AS STRING) END
+    || '", "page": ' || CASE WHEN c = 18 THEN 'null'
+                             ELSE '"Page ' || CAST(user_id AS STRING) || '"' END
+    || ', "referrer": ' || CASE WHEN n % 3 = 0 THEN 'null'
+                                ELSE '"Site ' || CAST(n % 7 AS STRING) || '"' END
+    || ', "region": "' || CASE user_id % 4 WHEN 0 THEN ' North' WHEN 1 THEN 'south'
+                               WHEN 2 THEN 'Mid  West' ELSE 'East' END
+    || '", "signed_in": ' || CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END
+    || ', "millis": ' || CASE WHEN c = 16 THEN '"12"' WHEN c = 17 THEN 'null'
               ELSE CAST(CAST(floor(value * 100) AS BIGINT) * CASE WHEN n % 5 = 0 THEN -1 ELSE 1 END AS STRING) END
-    || ', "delivery_date": "' || substr(t, 1, 10) || '"'
-    || CASE WHEN c = 15 THEN '' ELSE ', "temperature": ' || CAST(n % 60 - 10 AS STRING) END
+    || ', "day": "' || substr(t, 1, 10) || '"'
+    || CASE WHEN c = 15 THEN '' ELSE ', "scroll": ' || CAST(n % 60 - 10 AS STRING) END
     || CASE WHEN c = 14 THEN ', "note": "extra"' ELSE '' END || '}}' AS pl
   FROM b),
 e AS (

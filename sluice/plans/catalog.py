@@ -181,8 +181,8 @@ def parse_payload(spark, sf_dir):
     d = _parsed(spark, sf_dir)
     return d.select(
         "n", "copy",
-        F.try_variant_get("_payload", "$.order_id", "string").alias("order_id"),
-        F.try_variant_get("_payload", "$.amount", "bigint").alias("amount"),
+        F.try_variant_get("_payload", "$.visit_id", "string").alias("visit_id"),
+        F.try_variant_get("_payload", "$.millis", "bigint").alias("millis"),
         F.col("_payload_is_object").alias("is_object"),
         F.col("_reject.stage").alias("stage"), F.col("_reject.error").alias("error"),
     )
@@ -337,13 +337,12 @@ def field_mapping(spark, sf_dir):
     cfg = sample_config()
     d = route.accepted(_timed(spark, sf_dir))
     event = start_event(d)
-    mapping = {**cfg.transformations["field_mapping"], "deep": "payload.location.city", "source": "event_source"}
+    mapping = {**cfg.transformations["field_mapping"], "deep": "payload.region.code", "source": "event_source"}
     map_fields(event, mapping, view_kinds(cfg.transformations, cfg.expected_schema))
     return _columns(
         event, ["n", "copy"],
-        {"order_id": "STRING", "address_1": "STRING", "address_2": "STRING", "location": "STRING",
-         "fast_delivery": "BOOL", "amount": "INT64", "delivery_date": "STRING", "temperature": "INT64",
-         "deep": "STRING", "source": "STRING"},
+        {"visit_id": "STRING", "page": "STRING", "came_from": "STRING", "region": "STRING", "signed_in": "BOOL",
+         "millis": "INT64", "visit_day": "STRING", "scroll_share": "INT64", "deep": "STRING", "source": "STRING"},
     )
 
 
@@ -460,9 +459,9 @@ def transform_all(spark, sf_dir):
     event = transform(route.accepted(_timed(spark, sf_dir)), cfg.transformations, cfg.expected_schema)
     return _columns(
         event, ["n", "copy"],
-        {"order_id": "STRING", "address_2": "STRING", "fast_delivery": "BOOL", "amount": "INT64",
-         "delivery_date": "STRING", "temperature": "FLOAT64", "full_address": "STRING",
-         "expected_delivery_date": "STRING"},
+        {"visit_id": "STRING", "came_from": "STRING", "signed_in": "BOOL", "millis": "INT64", "scroll_share": "FLOAT64",
+         "day_checked": "STRING", "step": "STRING", "bounced": "BOOLEAN", "zone": "INT64", "seconds": "FLOAT64",
+         "week": "STRING", "page_number": "STRING"},
     )
 
 
@@ -546,7 +545,7 @@ def backfill_run(spark, sf_dir):
         "2023-12-31T00:00:00Z", "2024-01-31T00:00:00Z",
     )
     return spark.read.parquet(result.table).select(
-        "event_id", "row_id", "order_id", "amount", "full_address", "expected_delivery_date", "temperature"
+        "event_id", "row_id", "visit_id", "millis", "scroll_share", "step", "week"
     )
 
 

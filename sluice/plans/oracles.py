@@ -119,6 +119,25 @@ grd AS (SELECT o.*,
   FROM okt o)"""
 
 
+def _visit(p: str) -> str:
+    """Mapped, defaulted and cast fields of a payload."""
+    return f"""{p}->>'$.visit_id' AS visit_id, {p}->>'$.page' AS page,
+  CASE WHEN coalesce({p}->>'$.referrer', '') = '' THEN 'direct' ELSE {p}->>'$.referrer' END AS came_from,
+  {p}->>'$.region' AS region, CAST({p}->>'$.signed_in' AS BOOLEAN) AS signed_in,
+  coalesce(CAST({p}->>'$.millis' AS BIGINT), -1) AS millis, {p}->>'$.day' AS visit_day,
+  CAST({p}->>'$.scroll' AS DOUBLE) AS scroll_share"""
+
+
+# Columns made from mapped ones.
+_DERIVED = """CAST(TRY_CAST(visit_day AS DATE) AS VARCHAR) AS day_checked,
+  concat_ws(' > ', nullif(came_from, ''), nullif(page, '')) AS step,
+  coalesce(millis < 1000 AND NOT signed_in, FALSE) AS bounced,
+  CAST(CASE region WHEN ' North' THEN 1 WHEN 'south' THEN 2 ELSE 0 END AS BIGINT) AS zone,
+  millis / 1000.0 AS seconds,
+  coalesce(CAST(CAST(date_trunc('week', TRY_CAST(visit_day AS DATE)) AS DATE) AS VARCHAR), 'none') AS week,
+  CASE WHEN regexp_matches(page, '[0-9]+') THEN regexp_extract(page, '[0-9]+') END AS page_number"""
+
+
 def _tail(lateness: bool) -> str:
     """Dedup, transform and validation, with or without the lateness filter before the guard."""
     late = "(lateness > 120 OR lateness < 0)" if lateness else "FALSE"
@@ -127,23 +146,13 @@ g2 AS (SELECT *, CASE WHEN {late} THEN 'late_data' WHEN changed_type THEN 'schem
   NOT {late} AND NOT changed_type AND drifted AS traced FROM grd),
 ded AS (SELECT *, row_number() OVER w AS rn, first_value(event_ts) OVER w AS kept_ts FROM g2 WHERE stage2 IS NULL
   WINDOW w AS (PARTITION BY event_id ORDER BY us DESC, event_ts DESC, message_id DESC)),
-trn AS (SELECT *,
-  CASE WHEN json_type(p) = 'OBJECT' THEN p END AS o,
-  p->>'$.order_id' AS order_id, p->>'$.address_1' AS address_1,
-  coalesce(p->>'$.address_2', '') AS address_2, p->>'$.location' AS location,
-  coalesce(CAST(p->>'$.fast_delivery' AS BOOLEAN), FALSE) AS fast_delivery,
-  abs(coalesce(CAST(p->>'$.amount' AS BIGINT), 0)) AS amount,
-  coalesce(p->>'$.delivery_date', '1970-01-01') AS delivery_date,
-  coalesce(CAST(p->>'$.temperature' AS DOUBLE), 0.0) AS temperature
-  FROM ded),
-fin AS (SELECT *,
-  CASE WHEN coalesce(address_1, '') = '' THEN address_2 WHEN address_2 = '' THEN address_1
-       ELSE address_1 || ', ' || address_2 END AS full_address,
-  CAST(CAST(delivery_date AS DATE) + 5 AS VARCHAR) AS expected_delivery_date,
+trn AS (SELECT *, {_visit('p')} FROM ded),
+fin AS (SELECT *, {_DERIVED},
   CASE WHEN rn > 1 THEN 'dedup'
-       WHEN coalesce(order_id, '') = '' OR length(order_id) > 100 THEN 'validation' END AS stage3,
-  CASE WHEN coalesce(order_id, '') = '' THEN 'Missing required payload field: order_id'
-       WHEN length(order_id) > 100 THEN 'order_id exceeds max length' END AS val_error
+       WHEN coalesce(visit_id, '') = '' OR length(visit_id) > 64 THEN 'validation' END AS stage3,
+  CASE WHEN coalesce(visit_id, '') = '' THEN
+         'Missing required payload field: visit_id' || CASE WHEN visit_id = '' THEN '; visit_id below min length' ELSE '' END
+       WHEN length(visit_id) > 64 THEN 'visit_id exceeds max length' END AS val_error
   FROM trn)"""
 
 
@@ -202,19 +211,19 @@ all_rows AS (SELECT m.message_id, m.proc_s, coalesce(s.stage1, g.stage2, f.stage
     o["raw_range_read"] = f"""{_CHAIN} SELECT event_id, event_type, event_source, event_ts, payload_text AS payload
       FROM tim WHERE pre_error IS NULL AND us >= {_RANGE_US[0]} AND us < {_RANGE_US[1]}"""
     o["final_rows"] = f"""{batch} SELECT event_id, event_type, event_source, event_ts, us / 1e6 AS event_timestamp,
-      {_ROW_ID} AS row_id, us AS beam_event_time, proc_s * 1000000 AS beam_processing_time, order_id, address_1, address_2,
-      location, fast_delivery, amount, delivery_date, temperature, full_address, expected_delivery_date
+      {_ROW_ID} AS row_id, us AS beam_event_time, proc_s * 1000000 AS beam_processing_time, visit_id, page, came_from, region, signed_in,
+      millis, visit_day, scroll_share, CAST(day_checked AS DATE) AS day_checked, bounced, zone, seconds, week, step, page_number
       FROM fin WHERE stage3 IS NULL"""
     names = [
         ("event_id", "STRING"), ("event_type", "STRING"), ("event_source", "STRING"), ("event_ts", "STRING"),
         ("event_timestamp", "FLOAT64"), ("row_id", "STRING"), ("beam_event_time", "TIMESTAMP"),
-        ("beam_processing_time", "TIMESTAMP"), ("order_id", "STRING"), ("address_1", "STRING"),
-        ("address_2", "STRING"), ("location", "STRING"), ("fast_delivery", "BOOL"), ("amount", "INT64"),
-        ("delivery_date", "STRING"), ("temperature", "FLOAT64"), ("expected_delivery_date", "STRING"),
-        ("full_address", "STRING"),
+        ("beam_processing_time", "TIMESTAMP"), ("visit_id", "STRING"), ("page", "STRING"), ("came_from", "STRING"),
+        ("region", "STRING"), ("signed_in", "BOOL"), ("visit_day", "STRING"), ("millis", "INT64"), ("scroll_share", "FLOAT64"),
+        ("day_checked", "DATE"), ("bounced", "BOOLEAN"), ("zone", "INT64"), ("seconds", "FLOAT64"), ("week", "STRING"),
+        ("step", "STRING"), ("page_number", "STRING"),
     ]
     o["derived_schema"] = f"""{batch} SELECT v.name, v.position, v.type, 'NULLABLE' AS mode,
-      (SELECT count(*) FROM fin WHERE stage3 IS NULL) AS filled
+      (SELECT count(*) FROM fin WHERE stage3 IS NULL AND (v.name <> 'scroll_share' OR scroll_share IS NOT NULL)) AS filled
       FROM (VALUES {', '.join(f"('{n}', {i}, '{t}')" for i, (n, t) in enumerate(names))}) v(name, position, type)"""
     o["row_id"] = f"{_CHAIN} SELECT n, copy, {_ROW_ID} AS row_id FROM env WHERE pre_error IS NULL"
     letters = f"""{batch},
@@ -227,7 +236,7 @@ letters AS (
   UNION ALL SELECT 'schema', event_id, 'Schema policy violation: type_changes', NULL, NULL, NULL, NULL, TRUE, NULL FROM g2 WHERE stage2 = 'schema'
   UNION ALL SELECT 'schema', event_id, NULL, NULL, NULL, NULL, NULL, TRUE, NULL FROM g2 WHERE traced
   UNION ALL SELECT 'dedup', event_id, NULL, 'batch_duplicate', NULL, kept_ts, NULL, FALSE, event_source FROM fin WHERE stage3 = 'dedup'
-  UNION ALL SELECT 'validation', event_id, val_error, NULL, NULL, NULL, '["' || val_error || '"]', FALSE, event_source
+  UNION ALL SELECT 'validation', event_id, val_error, NULL, NULL, NULL, '["' || replace(val_error, '; ', '","') || '"]', FALSE, event_source
     FROM fin WHERE stage3 = 'validation')"""
     o["dlq_union"] = f"{letters} SELECT * FROM letters"
     o["topic_write"] = f"{letters} SELECT stage, event_id, error, raw FROM letters WHERE NOT (stage = 'schema' AND error IS NULL)"
@@ -239,7 +248,7 @@ letters AS (
     o["decode_messages"] = f"""{_CHAIN} SELECT n, copy, event_id, event_type, event_source, event_ts, payload_text, message_id,
       pre_error AS error FROM env"""
     o["required_fields"] = f"{_CHAIN} SELECT coalesce(pre_error, 'ok') AS outcome, count(*) AS messages FROM env GROUP BY 1"
-    o["parse_payload"] = f"""{_CHAIN} SELECT n, copy, p->>'$.order_id' AS order_id, TRY_CAST(p->>'$.amount' AS BIGINT) AS amount,
+    o["parse_payload"] = f"""{_CHAIN} SELECT n, copy, p->>'$.visit_id' AS visit_id, TRY_CAST(p->>'$.millis' AS BIGINT) AS millis,
       coalesce(json_type(p) = 'OBJECT', FALSE) AS is_object,
       CASE WHEN pre_error IS NOT NULL THEN 'preprocess' WHEN parse_error IS NOT NULL THEN 'parse' END AS stage,
       coalesce(pre_error, parse_error) AS error FROM pay"""
@@ -286,10 +295,10 @@ letters AS (
     o["tumbling_counts"] = window
     o["stream_windows"] = window
 
-    o["field_mapping"] = f"""{_CHAIN} SELECT n, copy, p->>'$.order_id' AS order_id, p->>'$.address_1' AS address_1,
-      p->>'$.address_2' AS address_2, p->>'$.location' AS location, CAST(p->>'$.fast_delivery' AS BOOLEAN) AS fast_delivery,
-      CAST(p->>'$.amount' AS BIGINT) AS amount, p->>'$.delivery_date' AS delivery_date,
-      CAST(p->>'$.temperature' AS BIGINT) AS temperature, CAST(NULL AS VARCHAR) AS deep, event_source AS source FROM okt"""
+    o["field_mapping"] = f"""{_CHAIN} SELECT n, copy, p->>'$.visit_id' AS visit_id, p->>'$.page' AS page,
+      p->>'$.referrer' AS came_from, p->>'$.region' AS region, CAST(p->>'$.signed_in' AS BOOLEAN) AS signed_in,
+      CAST(p->>'$.millis' AS BIGINT) AS millis, p->>'$.day' AS visit_day,
+      CAST(p->>'$.scroll' AS BIGINT) AS scroll_share, CAST(NULL AS VARCHAR) AS deep, event_source AS source FROM okt"""
     o["null_defaults"] = _m(
         f"SELECT event_id, CASE WHEN {_EMPTY} THEN 'UNKNOWN' ELSE {_CAST_STRING} END AS v, CAST(7 AS BIGINT) AS absent FROM m"
     )
@@ -339,13 +348,8 @@ letters AS (
         f"SELECT doc_id, {entity('[a-z0-9._]+@[a-z0-9]+[.][a-z]+')} AS email, {entity('(?:19|20)[0-9][0-9]')} AS year, "
         f"{entity('(?:license|copyright|password)')} AS keyword FROM documents"
     )
-    o["transform_all"] = f"""{_CHAIN}, t AS (SELECT n, copy, p->>'$.order_id' AS order_id, p->>'$.address_1' AS a1,
-      coalesce(p->>'$.address_2', '') AS address_2, coalesce(CAST(p->>'$.fast_delivery' AS BOOLEAN), FALSE) AS fast_delivery,
-      abs(coalesce(CAST(p->>'$.amount' AS BIGINT), 0)) AS amount, coalesce(p->>'$.delivery_date', '1970-01-01') AS delivery_date,
-      coalesce(CAST(p->>'$.temperature' AS DOUBLE), 0.0) AS temperature FROM okt)
-      SELECT n, copy, order_id, address_2, fast_delivery, amount, delivery_date, temperature,
-      CASE WHEN coalesce(a1, '') = '' THEN address_2 WHEN address_2 = '' THEN a1 ELSE a1 || ', ' || address_2 END AS full_address,
-      CAST(CAST(delivery_date AS DATE) + 5 AS VARCHAR) AS expected_delivery_date FROM t"""
+    o["transform_all"] = f"""{_CHAIN}, t AS (SELECT n, copy, {_visit('p')} FROM okt)
+      SELECT n, copy, visit_id, came_from, signed_in, millis, scroll_share, {_DERIVED} FROM t"""
 
     o["validate_required"] = _m(
         f"""SELECT event_id, CASE WHEN {_EMPTY} THEN 'Missing required field: v; Missing required payload field: v; ' ELSE '' END
@@ -402,15 +406,12 @@ letters AS (
     o["backfill_run"] = f"""{_CHAIN}, g3 AS (SELECT *, ts_type = 'UBIGINT' AS number_ts FROM grd),
       d3 AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY us DESC, event_ts DESC) AS rn FROM g3
              WHERE NOT changed_type OR (number_ts AND message_id NOT IN (SELECT message_id FROM chg_f WHERE path <> 'event_ts'))),
-      t3 AS (SELECT *, p->>'$.order_id' AS order_id, p->>'$.address_1' AS a1, coalesce(p->>'$.address_2', '') AS a2,
-             abs(coalesce(CAST(p->>'$.amount' AS BIGINT), 0)) AS amount, coalesce(p->>'$.delivery_date', '1970-01-01') AS dd,
-             coalesce(CAST(p->>'$.temperature' AS DOUBLE), 0.0) AS temperature FROM d3 WHERE rn = 1)
-      SELECT event_id, md5('{{"event_id": "' || event_id || '", "event_ts": "' || event_ts || '"}}') AS row_id, order_id, amount,
-      CASE WHEN coalesce(a1, '') = '' THEN a2 WHEN a2 = '' THEN a1 ELSE a1 || ', ' || a2 END AS full_address,
-      CAST(CAST(dd AS DATE) + 5 AS VARCHAR) AS expected_delivery_date, temperature FROM t3
-      WHERE coalesce(order_id, '') <> '' AND length(order_id) <= 100"""
+      t3 AS (SELECT *, {_visit('p')} FROM d3 WHERE rn = 1)
+      SELECT event_id, md5('{{"event_id": "' || event_id || '", "event_ts": "' || event_ts || '"}}') AS row_id, visit_id, millis,
+      scroll_share, step, week FROM (SELECT *, {_DERIVED} FROM t3)
+      WHERE coalesce(visit_id, '') <> '' AND length(visit_id) <= 64"""
     o["stream_source"] = o["decode_messages"]
     o["stream_dedup"] = f"""{batch} SELECT event_id, us AS event_us, CASE WHEN rn = 1 THEN 'main' ELSE 'not_main' END AS route FROM ded"""
-    o["streaming_run"] = f"""{live} SELECT event_id, event_ts, order_id, amount, full_address, expected_delivery_date, temperature,
+    o["streaming_run"] = f"""{live} SELECT event_id, event_ts, visit_id, millis, step, week, scroll_share,
       {_ROW_ID} AS row_id FROM fin WHERE stage3 IS NULL"""
     return o

@@ -138,5 +138,5 @@ def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     with _stateful(spark):
         drain(job.start_final({"processingTime": "1 second"}))
     return spark.read.parquet(job.table).select(
-        "event_id", "event_ts", "order_id", "amount", "full_address", "expected_delivery_date", "temperature", "row_id"
+        "event_id", "event_ts", "visit_id", "millis", "step", "week", "scroll_share", "row_id"
     )

@@ -25,7 +25,7 @@ def test_example_config_loads():
         warnings.simplefilter("always")
         cfg = C.load_config(folder)
     assert cfg.expected_schema == EXPECTED_SCHEMA
-    assert any("type check amount" in str(w.message) for w in caught)
+    assert any("type check millis" in str(w.message) for w in caught)
     assert tables.dead_letter_target(cfg, "backfill") == "dead_letters_backfill"
     assert tables.dead_letter_target(cfg, "streaming") == "dead_letters"
 
@@ -52,9 +52,9 @@ def test_bad_patterns_are_config_errors():
 
 def test_targets_and_ranges():
     dest = sample_config().destination
-    assert tables.resolve_table(dest, "streaming") == "analytics/service_requests"
+    assert tables.resolve_table(dest, "streaming") == "web/visits"
     assert tables.resolve_table(dest, "backfill", "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z") == (
-        "analytics/service_requests_backfill_20240101T000000Z_20240102T000000Z")
+        "web_reruns/visits_20240101T000000Z_20240102T000000Z")
     assert tables.resolve_table(dest, "backfill", run_id="r1").endswith("_r1")
     with pytest.raises(ValueError, match="temp_table"):
         tables.resolve_table({"target": {}}, "backfill", "a", "b")
