@@ -55,6 +55,9 @@ def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:
     (the whole envelope), ``_pubsub`` and ``_reject``.
     """
     out = df.withColumn("_text", message_text(df, value))
+    if isinstance(df.schema[value].dataType, BinaryType):
+        # Kept for the dead letter, which must not lose the bytes.
+        out = out.withColumn("_not_utf8", F.when(~F.is_valid_utf8(F.col(value)), F.base64(F.col(value))))
     out = _parse_with_fallback(out, "_text", "_event")
     out = out.withColumn(
         "_is_object",

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 REJECT_TYPE = (
     "struct<stage:string,error:string,reason:string,detail:map<string,string>>"
 )
-DEAD_LETTER_COLUMNS = ["stage", "event_id", "error", "reason", "detail", "raw", "event_json"]
-# Fixed value: characters of the input kept in a dead letter that has no event.
+DEAD_LETTER_COLUMNS = [
+    "stage", "event_id", "error", "reason", "detail", "raw", "message", "message_base64", "event_json",
+]
+# Fixed value: characters of the input that ``raw`` shows. The whole input is in ``message``.
 RAW_CHARS = 500
 # Marks rows a policy drops without a dead letter.
 SILENT = "dropped_without_record"
@@ -93,11 +95,14 @@ def _payload_text_variant(df: DataFrame) -> Column:
 
 
 def dead_letters(df: DataFrame, final_json: Column | None = None) -> DataFrame:
-    """The refused rows in the common dead-letter layout.
+    """The refused rows in the common dead-letter layout, complete enough to be sent again.
 
-    ``final_json`` is the transformed event, used for rows refused by validation.
+    A message that never became an event is kept whole: as text, or as base64 where its bytes
+    are not UTF-8. All others carry their event as JSON. ``final_json`` is the transformed
+    event, used for rows refused by validation.
     """
     stage = F.col("_reject.stage")
+    no_event = stage == "preprocess"
     text = _optional(df, "_text", "string")
     body = event_json(df)
     if final_json is not None:
@@ -109,30 +114,43 @@ def dead_letters(df: DataFrame, final_json: Column | None = None) -> DataFrame:
         F.col("_reject.error").alias("error"),
         F.col("_reject.reason").alias("reason"),
         F.col("_reject.detail").alias("detail"),
-        F.when(
-            stage.isin("preprocess", "transform"), F.substring(text, 1, RAW_CHARS)
-        ).alias("raw"),
-        F.when(~stage.isin("preprocess", "transform", "schema"), body).alias("event_json"),
+        F.when(stage.isin("preprocess", "transform"), F.substring(text, 1, RAW_CHARS)).alias("raw"),
+        F.when(no_event, text).alias("message"),
+        F.when(no_event, _optional(df, "_not_utf8", "string")).alias("message_base64"),
+        F.when(~no_event, body).alias("event_json"),
     )
 
 
 def union_dead_letters(*frames: DataFrame) -> DataFrame:
-    """All reject sets as one; a set without a stage column must be tagged before."""
+    """All reject sets as one."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def tag_stage(df: DataFrame, stage: str) -> DataFrame:
-    """Name the stage of a reject set; a stage already present wins."""
-    if "stage" in df.columns:
-        return df.withColumn("stage", F.coalesce(F.col("stage"), F.lit(stage)))
-    return df.withColumn("stage", F.lit(stage))
-
-
 def dead_letter_json(df: DataFrame) -> DataFrame:
     """One JSON text per dead letter, as written to a topic."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
 
 
+def write_dead_letters(letters: DataFrame, path: str) -> None:
+    """Dead letters as JSON lines."""
+    dead_letter_json(letters).write.mode("overwrite").text(path)
+
+
+def read_dead_letters(letters_json: DataFrame) -> DataFrame:
+    """Dead letters from their JSON texts in ``value``."""
+    kinds = ", ".join(f"{c} {'map<string,string>' if c == 'detail' else 'string'}" for c in DEAD_LETTER_COLUMNS)
+    return letters_json.select(F.from_json("value", kinds).alias("letter")).select("letter.*")
+
+
+def replayed_messages(letters: DataFrame) -> DataFrame:
+    """``value`` (bytes) of the message behind each dead letter that has one to send again.
+
+    Letters from before decoding give the bytes as received; those of events give the event.
+    """
+    value = F.coalesce(F.unbase64("message_base64"), F.col("message").cast("binary"), F.col("event_json").cast("binary"))
+    return letters.select("stage", "event_id", value.alias("value"))
+
+
 def route_by_type(df: DataFrame, path: str, column: str = "event_type") -> None:
     """Write each event below the folder of its type."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)

@@ -204,6 +204,8 @@ def schema_traces(df: DataFrame) -> DataFrame:
         text().alias("reason"),
         F.col("_schema_trace").alias("detail"),
         text().alias("raw"),
+        text().alias("message"),
+        text().alias("message_base64"),
         text().alias("event_json"),
     )
 

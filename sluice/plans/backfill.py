@@ -12,8 +12,8 @@ from sluice.operators import decode, dedup, route, schema_guard
 from sluice.operators.metrics import event_counters
 from sluice.operators.skew import HOT_ROWS
 from sluice.plans.stages import check_events, transform_and_validate
-from sluice.session import prepare, work_dir
-from sluice.sources import archive, tables
+from sluice.session import WorkFolder, prepare
+from sluice.sources import archive, tables, targets
 
 POSITION = ("_pos_file", "_pos_row")
 
@@ -56,29 +56,26 @@ def run_backfill(
     """
     prepare(spark)
     check_range(cfg, start, end)
-    table = f"{warehouse.rstrip('/')}/{tables.resolve_table(cfg.destination, 'backfill', start, end, run_id)}"
-    letters = f"{warehouse.rstrip('/')}/dead_letters/{tables.run_id_of(start, end, run_id)}"
-    tables.dead_letter_target(cfg, "backfill")
+    root, name = warehouse.rstrip("/"), targets.rerun_name(start, end, run_id)
+    table = f"{root}/{targets.rerun_table(cfg.destination, name)}"
+    letters = f"{root}/{targets.letters_target(cfg.destination, cfg.backfill_settings, targets.BACKFILL)}/{name}"
+    folder = WorkFolder(spark, "backfill", below=root)
 
     events = decode.from_archive(archive.read_archive(spark, archive_path, start, end))
     checked = check_events(events, cfg, streaming=False)
     # The envelope text is not in the archive, so these are empty here.
-    checked_path = work_dir(spark, "checked")
-    checked.write.parquet(checked_path)
-    checked = spark.read.parquet(checked_path)
+    checked = folder.write(checked, "checked")
 
     routed = transform_and_validate(dedup.batch_dedup(checked, POSITION, hot_rows), cfg)
     keep = ["_reject", "_schema_trace", "_payload", "_event_time"]
     final = {f"out_{n}": c for n, c in routed.final.items()}
-    routed_path = work_dir(spark, "routed")
-    routed.df.select(
+    done = folder.write(routed.df.select(
         *keep,
         *[F.col(c) for c in ("event_id", "event_type", "event_source", "event_ts", "event_timestamp")],
         "beam_event_time",
         "beam_processing_time",
         *[c.alias(n) for n, c in final.items()],
-    ).write.parquet(routed_path)
-    done = spark.read.parquet(routed_path)
+    ), "routed")
 
     out = [F.col(f"`out_{n}`").alias(n) for n in routed.final]
     tables.write_table(route.accepted(done).select(*out), table)
@@ -86,14 +83,15 @@ def run_backfill(
     dead = route.union_dead_letters(
         route.dead_letters(done, body), schema_guard.schema_traces(done)
     )
-    dead.write.mode("overwrite").parquet(letters)
+    route.write_dead_letters(dead, letters)
     counters = {r["counter"]: r["value"] for r in event_counters(done).collect()}
     if merge:
         merge_cfg = ((cfg.backfill_settings.get("sink") or {}).get("merge")) or {}
-        target = f"{warehouse.rstrip('/')}/{tables.resolve_table(cfg.destination, 'streaming')}"
+        target = f"{root}/{targets.live_table(cfg.destination)}"
         safety = cfg.backfill_settings.get("safety") or {}
         tables.merge_into(
             spark, target, table, merge_cfg.get("merge_keys") or ["event_id"],
             fail_if_missing=bool(safety.get("fail_if_target_table_missing", False)),
         )
+    folder.close()
     return BackfillResult(table, letters, counters)

@@ -63,15 +63,6 @@ FROM m
 """
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work where a small input has fewer splits than cores.
-
-    Large inputs have more splits than cores and are left as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def spark_raw_sql(view: str) -> str:
     b64 = "regexp_replace(base64(CAST({} AS BINARY)), '[^A-Za-z0-9+/=]', '')"
     return RAW_MESSAGES_SQL.format(
@@ -90,7 +81,7 @@ def duckdb_raw_sql() -> str:
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     columns = ["event_id", "event_type", "user_id", "value", "ts"]
-    spread(events.select(*columns), "event_id").createOrReplaceTempView("sluice_events")
+    events.select(*columns).createOrReplaceTempView("sluice_events")
     return spark.sql(spark_raw_sql("sluice_events"))
 
 

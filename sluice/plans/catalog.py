@@ -16,10 +16,10 @@ from sluice.operators.fields import EventFrame, dynamic_field, typed
 from sluice.operators.transform import field_mapping as map_fields
 from sluice.operators.transform import start_event, transform, view_kinds
 from sluice.plans import rules as R
-from sluice.plans.cases import mixed_values, raw_messages, spread
+from sluice.plans.cases import mixed_values, raw_messages
 from sluice.plans.sample_config import EXPECTED_SCHEMA, SCHEMA_MANAGEMENT, sample_config
-from sluice.plans.stages import backfill_stages, check_events, transform_and_validate
-from sluice.session import prepare, work_dir
+from sluice.plans.stages import check_events, transform_and_validate
+from sluice.session import WorkFolder, prepare, work_dir
 from sluice.sources import archive, tables
 from sluice.sources.sink_schema import derive_schema, row_id, schema_rows, to_sink
 
@@ -55,8 +55,10 @@ def _checked(spark, sf_dir, streaming=False):
     return check_events(_decoded(spark, sf_dir), sample_config(), streaming, _proc())
 
 
-def _deduped(spark, sf_dir):
-    return dedup.batch_dedup(_checked(spark, sf_dir), POSITION)
+def _deduped(spark, sf_dir, streaming=False):
+    """Dedup reads its input twice; a table keeps decode, parse and guard to one run."""
+    checked = WorkFolder(spark, "checked").write(_checked(spark, sf_dir, streaming), "rows")
+    return dedup.batch_dedup(checked, POSITION)
 
 
 def _routed(spark, sf_dir):
@@ -117,7 +119,7 @@ def row_ids(spark, sf_dir):
 def dlq_union(spark, sf_dir):
     out = _routed(spark, sf_dir).dead_letters()
     return out.select(
-        "stage", "event_id", "error", "reason", "raw",
+        "stage", "event_id", "error", "reason", "raw", "message",
         F.col("detail")["kept_event_ts"].alias("kept_event_ts"),
         F.col("detail")["validation_errors"].alias("validation_errors"),
         F.col("detail")["diff"].isNotNull().alias("has_diff"),
@@ -128,17 +130,31 @@ def dlq_union(spark, sf_dir):
 def topic_write(spark, sf_dir):
     """Dead letters as JSON text, written and read back."""
     path = work_dir(spark, "topic")
+    route.write_dead_letters(_routed(spark, sf_dir).dead_letters(with_traces=False), path)
+    return route.read_dead_letters(spark.read.text(path)).select("stage", "event_id", "error", "raw")
+
+
+def dlq_replay(spark, sf_dir):
+    """Every refused message, rebuilt from its dead letter."""
     letters = _routed(spark, sf_dir).dead_letters(with_traces=False)
-    route.dead_letter_json(letters.drop("detail", "event_json")).write.text(path)
-    back = spark.read.text(path)
-    return back.select(
-        F.get_json_object("value", "$.stage").alias("stage"),
-        F.get_json_object("value", "$.event_id").alias("event_id"),
-        F.get_json_object("value", "$.error").alias("error"),
-        F.get_json_object("value", "$.raw").alias("raw"),
+    sent = route.replayed_messages(route.read_dead_letters(route.dead_letter_json(letters))).withColumn("text", F.col("value").cast("string"))
+    early = F.col("stage") == "preprocess"
+    return sent.select(
+        "stage", "event_id", F.when(early, F.col("text")).alias("message"),
+        F.when(~early, F.get_json_object("text", "$.event_ts")).alias("event_ts"),
+        F.when(~early, F.coalesce(F.get_json_object("text", "$.payload.visit_id"), F.get_json_object("text", "$.visit_id"))).alias("visit_id"),
     )
 
 
+def transform_rejects(spark, sf_dir):
+    """A list or an object as a lookup key: the event is refused and its letter holds it."""
+    event = _mixed_event(spark, sf_dir)
+    event.df = event.df.withColumns({"_reject": route.no_reject(), "_payload": F.col("x")})
+    enrich.enrichment(event, [{"type": "static_lookup", "input_field": "v", "output_field": "w", "lookup": {"a": "b"}}])
+    letters = route.dead_letters(event.df.withColumn("event_id", F.col("event_id").cast("string")))
+    return letters.select("stage", "event_id", "error", F.get_json_object("event_json", "$.payload").alias("body"))
+
+
 def route_by_type(spark, sf_dir):
     path = work_dir(spark, "by_type")
     route.route_by_type(route.accepted(_decoded(spark, sf_dir)).select("event_id", "event_type"), path)
@@ -158,6 +174,25 @@ def merge_upsert(spark, sf_dir):
     return tables.merge_rows(orders, updates.unionByName(new), ["o_orderkey"])
 
 
+def merge_into_table(spark, sf_dir):
+    """Events merged into a table: a third is replaced and moves two days on, and some are new."""
+    events = _table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string"), "event_type", "value", F.col("ts").cast("timestamp").alias("beam_event_time")
+    )
+    later = F.col("beam_event_time") + F.expr("INTERVAL 2 DAYS")
+    moved = events.filter(F.col("event_id").cast("long") % 3 == 0).withColumns({"value": F.col("value") + 1, "beam_event_time": later})
+    new = events.filter(F.col("event_id").cast("long") % 5 == 0).withColumn("event_id", F.concat(F.lit("n"), "event_id"))
+    # Rows without a key are told apart by their content, so merging twice adds none.
+    keyless = events.filter(F.col("event_id").cast("long") % 7 == 0).withColumn("event_id", F.lit(None).cast("string"))
+    root = work_dir(spark, "merge")
+    tables.write_table(events, f"{root}/target")
+    tables.write_table(moved.unionByName(new).unionByName(keyless), f"{root}/changes")
+    for _ in range(2):
+        tables.merge_into(spark, f"{root}/target", f"{root}/changes")
+    out = spark.read.parquet(f"{root}/target")
+    return out.select("event_id", "event_type", "value", F.col("event_date").cast("string").alias("event_day"))
+
+
 # -- decode, time, lateness -------------------------------------------------------------
 
 
@@ -439,7 +474,7 @@ def derived_fields(spark, sf_dir):
 
 
 def normalize_text(spark, sf_dir):
-    event = _typed_event(spread(_table(spark, sf_dir, "documents"), "doc_id"), text="string", lang="string")
+    event = _typed_event(_table(spark, sf_dir, "documents"), text="string", lang="string")
     enrich.enrichment(event, R.NORMALIZATIONS)
     event.flush()
     return event.df.select(
@@ -449,7 +484,7 @@ def normalize_text(spark, sf_dir):
 
 
 def entity_extraction(spark, sf_dir):
-    event = _typed_event(spread(_table(spark, sf_dir, "documents"), "doc_id"), text="string")
+    event = _typed_event(_table(spark, sf_dir, "documents"), text="string")
     enrich.entity_extraction(event, R.ENTITIES)
     return _columns(event, ["doc_id"], {"email": "STRING", "year": "STRING", "keyword": "STRING"})
 
@@ -503,8 +538,7 @@ def validate_all(spark, sf_dir):
 
 def _stream_like(spark, sf_dir):
     """All stages with lateness, and dedup over the whole table."""
-    checked = _checked(spark, sf_dir, streaming=True)
-    return transform_and_validate(dedup.batch_dedup(checked, POSITION), sample_config()).df
+    return transform_and_validate(_deduped(spark, sf_dir, streaming=True), sample_config()).df
 
 
 def event_counters(spark, sf_dir):
@@ -576,8 +610,8 @@ def streaming_run(spark, sf_dir):
 @lru_cache(maxsize=1)
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = [
-        raw_archive_rows, raw_range_read, final_rows, derived_schema, dlq_union, topic_write,
-        route_by_type, merge_upsert, decode_messages, required_fields, parse_payload,
+        raw_archive_rows, raw_range_read, final_rows, derived_schema, dlq_union, dlq_replay, topic_write, transform_rejects,
+        route_by_type, merge_upsert, merge_into_table, decode_messages, required_fields, parse_payload,
         parse_event_time, assign_event_time, late_filter, event_lag, infer_string_type,
         infer_value_type, observed_schema, schema_diff, schema_policy, schema_drift_report,
         batch_dedup, batch_dedup_dropped, tumbling_counts, field_mapping, null_defaults,

@@ -228,18 +228,33 @@ all_rows AS (SELECT m.message_id, m.proc_s, coalesce(s.stage1, g.stage2, f.stage
     o["row_id"] = f"{_CHAIN} SELECT n, copy, {_ROW_ID} AS row_id FROM env WHERE pre_error IS NULL"
     letters = f"""{batch},
 letters AS (
-  SELECT 'preprocess' AS stage, event_id, pre_error AS error, NULL AS reason, substr(value, 1, 500) AS raw,
+  SELECT 'preprocess' AS stage, event_id, pre_error AS error, NULL AS reason, substr(value, 1, 500) AS raw, value AS message,
     NULL AS kept_event_ts, NULL AS validation_errors, FALSE AS has_diff, NULL AS event_source FROM env WHERE pre_error IS NOT NULL
-  UNION ALL SELECT 'parse', event_id, parse_error, NULL, NULL, NULL, NULL, FALSE, event_source FROM pay WHERE parse_error IS NOT NULL
-  UNION ALL SELECT 'event_time', event_id, 'Unsupported event_ts format', 'event_time_parse_failed', NULL, NULL, NULL, FALSE, event_source
+  UNION ALL SELECT 'parse', event_id, parse_error, NULL, NULL, NULL, NULL, NULL, FALSE, event_source FROM pay WHERE parse_error IS NOT NULL
+  UNION ALL SELECT 'event_time', event_id, 'Unsupported event_ts format', 'event_time_parse_failed', NULL, NULL, NULL, NULL, FALSE, event_source
     FROM stg1 WHERE stage1 = 'event_time'
-  UNION ALL SELECT 'schema', event_id, 'Schema policy violation: type_changes', NULL, NULL, NULL, NULL, TRUE, NULL FROM g2 WHERE stage2 = 'schema'
-  UNION ALL SELECT 'schema', event_id, NULL, NULL, NULL, NULL, NULL, TRUE, NULL FROM g2 WHERE traced
-  UNION ALL SELECT 'dedup', event_id, NULL, 'batch_duplicate', NULL, kept_ts, NULL, FALSE, event_source FROM fin WHERE stage3 = 'dedup'
-  UNION ALL SELECT 'validation', event_id, val_error, NULL, NULL, NULL, '["' || replace(val_error, '; ', '","') || '"]', FALSE, event_source
+  UNION ALL SELECT 'schema', event_id, 'Schema policy violation: type_changes', NULL, NULL, NULL, NULL, NULL, TRUE, event_source FROM g2 WHERE stage2 = 'schema'
+  UNION ALL SELECT 'schema', event_id, NULL, NULL, NULL, NULL, NULL, NULL, TRUE, NULL FROM g2 WHERE traced
+  UNION ALL SELECT 'dedup', event_id, NULL, 'batch_duplicate', NULL, NULL, kept_ts, NULL, FALSE, event_source FROM fin WHERE stage3 = 'dedup'
+  UNION ALL SELECT 'validation', event_id, val_error, NULL, NULL, NULL, NULL, '["' || replace(val_error, '; ', '","') || '"]', FALSE, event_source
     FROM fin WHERE stage3 = 'validation')"""
     o["dlq_union"] = f"{letters} SELECT * FROM letters"
     o["topic_write"] = f"{letters} SELECT stage, event_id, error, raw FROM letters WHERE NOT (stage = 'schema' AND error IS NULL)"
+    o["dlq_replay"] = f"""{batch}
+      SELECT 'preprocess' AS stage, event_id, value AS message, NULL AS event_ts, NULL AS visit_id FROM env WHERE pre_error IS NOT NULL
+      UNION ALL SELECT 'parse', event_id, NULL, event_ts, NULL FROM pay WHERE parse_error IS NOT NULL
+      UNION ALL SELECT 'event_time', event_id, NULL, event_ts, p->>'$.visit_id' FROM stg1 WHERE stage1 = 'event_time'
+      UNION ALL SELECT 'schema', event_id, NULL, event_ts, p->>'$.visit_id' FROM g2 WHERE stage2 = 'schema'
+      UNION ALL SELECT stage3, event_id, NULL, event_ts, p->>'$.visit_id' FROM fin WHERE stage3 IS NOT NULL"""
+    o["transform_rejects"] = _m(
+        "SELECT 'transform' AS stage, CAST(event_id AS VARCHAR) AS event_id, concat('Transformation failed: unhashable type: ', chr(39), "
+        "CASE jt WHEN 'ARRAY' THEN 'list' ELSE 'dict' END, chr(39)) AS error, CAST(j AS VARCHAR) AS body FROM m WHERE jt IN ('ARRAY', 'OBJECT')"
+    )
+    o["merge_into_table"] = """WITH e AS (SELECT CAST(event_id AS VARCHAR) AS id, event_id AS n, event_type, value, ts FROM events)
+      SELECT id AS event_id, event_type, CASE WHEN n % 3 = 0 THEN value + 1 ELSE value END AS value,
+        CAST(CAST(CASE WHEN n % 3 = 0 THEN ts + INTERVAL 2 DAY ELSE ts END AS DATE) AS VARCHAR) AS event_day FROM e
+      UNION ALL SELECT 'n' || id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) FROM e WHERE n % 5 = 0
+      UNION ALL SELECT NULL, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) FROM e WHERE n % 7 = 0"""
     o["route_by_type"] = f"{_CHAIN} SELECT event_type, event_id FROM env WHERE pre_error IS NULL"
     o["merge_upsert"] = """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
       CASE WHEN o_custkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Row semantics depend on these three; everything else is left to the cluster.
 SEMANTIC_SETTINGS = {
@@ -49,16 +50,39 @@ def local_session(cores: int | str = 8, app: str = "sluice", **conf: str) -> Spa
     return prepare(spark)
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+class WorkFolder:
+    """Tables that cut the lineage of a job, in a folder that all executors share.
 
-    The folder named by ``spark.checkpoint.dir`` is visible to every executor. Only where
-    it is unset (tests on one machine) is a local temporary folder used.
+    The folder lies below ``spark.checkpoint.dir``, else below ``below`` (a job's warehouse),
+    else below the session's warehouse. No setting of the session is changed. ``close`` deletes
+    it; a job does so when it has succeeded, so that a failed one can be looked into.
     """
-    import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    def __init__(self, spark: SparkSession, name: str, below: str | None = None):
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            root = f"{(below or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/_work"
+            local = re.match(r"(file:|/)", root) and spark.conf.get("spark.hadoop.fs.defaultFS", "file:").startswith("file:")
+            if local and not spark.sparkContext.master.startswith("local"):
+                raise ValueError(f"{root} is a local folder; set spark.checkpoint.dir to one that all executors share")
+        self.spark, self.path = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a table of this folder, read back."""
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def close(self) -> None:
+        self.drop("")
+
+
+def work_dir(spark: SparkSession, name: str, below: str | None = None) -> str:
+    """Path of a fresh work folder."""
+    return WorkFolder(spark, name, below).path

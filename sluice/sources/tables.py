@@ -2,48 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.config import JobConfig
-
-
-def run_id_of(start: str, end: str, run_id: str | None = None) -> str:
-    """The given run id, else the two bounds without ``:`` and ``-``."""
-    if run_id:
-        return run_id
-    return "_".join(str(t).replace(":", "").replace("-", "") for t in (start, end))
-
-
-def resolve_table(
-    destination: dict, mode: str, start: str = "", end: str = "", run_id: str | None = None
-) -> str:
-    """``dataset/table`` below the warehouse folder: the target, or the run's temporary table."""
-    if mode == "backfill":
-        if "temp_table" not in destination:
-            raise ValueError("Backfill mode requires destination.temp_table configuration")
-        temp = destination["temp_table"]
-        return f"{temp['dataset']}/{temp['table_prefix']}_{run_id_of(start, end, run_id)}"
-    return f"{destination['target']['dataset']}/{destination['target']['table']}"
-
-
-def dead_letter_target(cfg: JobConfig, mode: str) -> str:
-    """Where dead letters go: backfill may name its own place."""
-    main = cfg.destination.get("dlq_topic")
-    target = main
-    if mode == "backfill":
-        target = (cfg.backfill_settings.get("dlq") or {}).get("topic", main)
-    if not target:
-        raise ValueError("DLQ topic must be provided")
-    return target
-
-
 PARTITION = "event_date"
 BATCH = "batch_id"
 # Batch number of rows that no micro-batch wrote.
 NO_BATCH = -1
+# Folder below a table that holds merges under way; readers skip names with an underscore.
+MERGES = "_merges"
 
 
 def with_partition(rows: DataFrame, batch_id: int = NO_BATCH) -> DataFrame:
@@ -66,10 +37,69 @@ def write_table(rows: DataFrame, path: str, batch_id: int | None = None) -> None
     writer.partitionBy(PARTITION, BATCH).parquet(path)
 
 
+def _keyed(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows with ``_content``: empty, or for a NULL in the key a digest of the given columns."""
+    nulls = F.lit(False)
+    for k in keys:
+        nulls = nulls | F.col(k).isNull()
+    content = F.md5(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns])).cast("binary"))
+    return rows.withColumn("_content", F.when(nulls, content).otherwise(F.lit("")))
+
+
+def _matching(rows: DataFrame, changes: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    common = sorted((set(rows.columns) & set(changes.columns)) - {BATCH})
+    left, right = _keyed(rows, keys, common), _keyed(changes, keys, common)
+    right = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_content").alias("_key_content"))
+    same = F.col("_content") == F.col("_key_content")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return left.join(right, same, how).drop("_content")
+
+
 def merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the target after the merge: matched keys updated, new keys inserted."""
-    kept = target.join(changes.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(changes, allowMissingColumns=True)
+    """Rows of the target after the merge: matched keys updated, new keys inserted.
+
+    A row with a NULL in its key is matched by its whole content: a rerun does not insert it
+    again, and such rows are spread over all tasks.
+    """
+    return _matching(target, changes, keys, "left_anti").unionByName(changes, allowMissingColumns=True)
+
+
+class Folders:
+    """The few file system calls that a merge needs; every result is checked."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.new_path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.new_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.new_path(path))
+
+    def names(self, path: str) -> list[str]:
+        if not self.exists(path):
+            return []
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.new_path(path)) if s.isDirectory())
+
+    def move(self, source: str, target: str) -> None:
+        if self.exists(target):
+            raise OSError(f"cannot move {source}: {target} exists")
+        self.fs.mkdirs(self.new_path(target).getParent())
+        if not self.fs.rename(self.new_path(source), self.new_path(target)):
+            raise OSError(f"could not move {source} to {target}")
+
+    def delete(self, path: str) -> None:
+        self.fs.delete(self.new_path(path), True)
+
+    def write_text(self, path: str, text: str) -> None:
+        out = self.fs.create(self.new_path(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read_text(self, path: str) -> str:
+        stream = self.fs.open(self.new_path(path))
+        data = bytes(stream.readAllBytes())
+        stream.close()
+        return data.decode()
 
 
 def merge_into(
@@ -82,49 +112,56 @@ def merge_into(
     """Merge the temporary table into the target, rewriting only the touched days.
 
     A touched day holds a new row or a row that is replaced (an id can move between days).
-    The merged days are first written beside the target and then moved in, since a table
-    cannot be read and overwritten in one job.
+    Merged days are written below the target itself, so they are moved within one file
+    system. A list of all moves is stored before the first one; the old folders are moved
+    aside, the new ones in, and only then the old ones are deleted. A merge that was broken
+    off is finished first by the next one. Only folders that the merge has read are replaced:
+    batches that a running stream adds meanwhile stay.
     """
-    from sluice.session import work_dir
-
+    target_path = target_path.rstrip("/")
+    folders = Folders(spark, target_path)
+    finish_merges(folders, target_path)
     changes = spark.read.parquet(temp_path)
-    if not _exists(spark, target_path):
+    if not folders.exists(target_path):
         if fail_if_missing:
             raise ValueError(f"target table {target_path} does not exist")
         changes.write.partitionBy(PARTITION, BATCH).parquet(target_path)
         return
     target = spark.read.parquet(target_path)
-    replaced = target.join(changes.select(*keys), list(keys), "left_semi")
+    replaced = _matching(target, changes, keys, "left_semi")
     touched = changes.select(PARTITION).union(replaced.select(PARTITION)).distinct()
     # At most one row per calendar day.
-    days = [r[0] for r in touched.collect()]
-    in_days = F.coalesce(F.col(PARTITION).isin([d for d in days if d is not None]), F.lit(None in days))
-    merged = merge_rows(target.filter(in_days), changes, keys).withColumn(BATCH, F.lit(NO_BATCH))
-    staged = work_dir(spark, "merge")
-    merged.write.partitionBy(PARTITION, BATCH).parquet(staged)
-    for day in days:
-        # A day that lost its last row to another day has no staged folder and ends empty.
-        folder = f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
-        _replace_folder(spark, f"{staged}/{folder}", f"{target_path}/{folder}")
-
-
-def _path(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
-    return fs.exists(p)
-
-
-def _replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    old, fs = _path(spark, target)
-    new, _ = _path(spark, source)
-    fs.delete(old, True)
-    if fs.exists(new):
-        fs.rename(new, old)
+    days = [
+        f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0].isoformat()}" for r in touched.collect()
+    ]
+    read = [f"{day}/{batch}" for day in days for batch in folders.names(f"{target_path}/{day}")]
+    merged = changes.withColumn(BATCH, F.lit(NO_BATCH))
+    if read:
+        old = spark.read.schema(target.schema).option("basePath", target_path).parquet(*[f"{target_path}/{f}" for f in read])
+        merged = merge_rows(old, changes, keys).withColumn(BATCH, F.lit(NO_BATCH))
+    work = f"{target_path}/{MERGES}/{uuid.uuid4().hex}"
+    merged.write.partitionBy(PARTITION, BATCH).parquet(f"{work}/new")
+    new = [f"{day}/{batch}" for day in folders.names(f"{work}/new") for batch in folders.names(f"{work}/new/{day}")]
+    folders.write_text(f"{work}/moves.tmp", json.dumps({"old": read, "new": new}))
+    if not folders.fs.rename(folders.new_path(f"{work}/moves.tmp"), folders.new_path(f"{work}/moves.json")):
+        raise OSError(f"could not store the moves of {work}")
+    finish_merges(folders, target_path)
+
+
+def finish_merges(folders: Folders, target_path: str) -> None:
+    """Carry out the moves of merges that are written in full; drop those that are not."""
+    for name in folders.names(f"{target_path}/{MERGES}"):
+        work = f"{target_path}/{MERGES}/{name}"
+        if folders.exists(f"{work}/moves.json"):
+            moves = json.loads(folders.read_text(f"{work}/moves.json"))
+            for f in moves["old"]:
+                # Done already if the old folder is aside.
+                if not folders.exists(f"{work}/old/{f}"):
+                    folders.move(f"{target_path}/{f}", f"{work}/old/{f}")
+            for f in moves["new"]:
+                if folders.exists(f"{work}/new/{f}"):
+                    folders.move(f"{work}/new/{f}", f"{target_path}/{f}")
+        folders.delete(work)
 
 
 def write_batch_once(rows: DataFrame, path: str, batch_id: int, partition: str | None = None) -> bool:
@@ -133,7 +170,7 @@ def write_batch_once(rows: DataFrame, path: str, batch_id: int, partition: str |
     Replays after a failure therefore neither repeat nor change rows.
     """
     folder = f"{path}/batch_id={batch_id}"
-    if _exists(rows.sparkSession, f"{folder}/_SUCCESS"):
+    if Folders(rows.sparkSession, path).exists(f"{folder}/_SUCCESS"):
         return False
     writer = rows.write.mode("overwrite")
     if partition:

@@ -21,7 +21,7 @@ from sluice.config import JobConfig
 from sluice.operators import decode, dedup, route, schema_guard
 from sluice.operators.transform import mapping_source
 from sluice.plans.stages import check_events, transform_and_validate
-from sluice.sources import archive, tables
+from sluice.sources import archive, tables, targets
 from sluice.streaming.latest import PACKED, dedup_stream, pack, unpack
 
 
@@ -49,12 +49,11 @@ class StreamingJob:
         self.processing_time = processing_time
         self.pre_reduce, self.emit_superseded = pre_reduce, emit_superseded
         root = warehouse.rstrip("/")
-        tables.dead_letter_target(cfg, "streaming")
         self.archive = f"{root}/raw_archive"
         self.checked = f"{root}/checked_events"
-        self.letters = f"{root}/dead_letters/checks"
-        self.final_letters = f"{root}/dead_letters/final"
-        self.table = f"{root}/{tables.resolve_table(cfg.destination, 'streaming')}"
+        letters = f"{root}/{targets.letters_target(cfg.destination, cfg.backfill_settings, targets.STREAMING)}"
+        self.letters, self.final_letters = f"{letters}/checks", f"{letters}/final"
+        self.table = f"{root}/{targets.live_table(cfg.destination)}"
         self.checkpoints = f"{root}/checkpoints"
 
     # -- query 1 ----------------------------------------------------------------------
@@ -112,7 +111,7 @@ class StreamingJob:
                 route.text_map(
                     existing_ts=F.col("existing_us") / F.lit(1e6), incoming_ts=F.col("event_us") / F.lit(1e6)
                 ).alias("detail"),
-                F.lit(None).cast("string").alias("raw"),
+                *[F.lit(None).cast("string").alias(c) for c in ("raw", "message", "message_base64")],
                 F.to_json(F.struct("event_id", "event_type", "event_source", "event_ts", "payload_text")).alias("event_json"),
             )
             letters = route.union_dead_letters(routed.dead_letters(with_traces=False), dropped)

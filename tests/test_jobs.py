@@ -1,5 +1,6 @@
 """Configuration, sinks, merge and the jobs."""
 
+import contextlib
 import copy
 import datetime
 import json
@@ -11,10 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice import config as C
+from sluice.operators import decode, route
 from sluice.plans.backfill import check_range, run_backfill
 from sluice.plans.sample_config import EXPECTED_SCHEMA, sample_config
-from sluice.session import work_dir
-from sluice.sources import archive, messages, sink_schema, tables
+from sluice.session import WorkFolder, work_dir
+from sluice.sources import archive, messages, sink_schema, tables, targets
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,8 +28,11 @@ def test_example_config_loads():
         cfg = C.load_config(folder)
     assert cfg.expected_schema == EXPECTED_SCHEMA
     assert any("type check millis" in str(w.message) for w in caught)
-    assert tables.dead_letter_target(cfg, "backfill") == "dead_letters_backfill"
-    assert tables.dead_letter_target(cfg, "streaming") == "dead_letters"
+    place = lambda mode: targets.letters_target(cfg.destination, cfg.backfill_settings, mode)
+    assert place(targets.BACKFILL) == "refused/reruns" and place(targets.STREAMING) == "refused/live"
+    assert targets.letters_target(cfg.destination, {}, targets.BACKFILL) == "refused/live"
+    with pytest.raises(targets.MissingTarget, match="dlq_topic"):
+        targets.letters_target({}, {}, targets.STREAMING)
 
 
 def test_all_config_problems_are_reported_together(tmp_path):
@@ -52,12 +57,12 @@ def test_bad_patterns_are_config_errors():
 
 def test_targets_and_ranges():
     dest = sample_config().destination
-    assert tables.resolve_table(dest, "streaming") == "web/visits"
-    assert tables.resolve_table(dest, "backfill", "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z") == (
-        "web_reruns/visits_20240101T000000Z_20240102T000000Z")
-    assert tables.resolve_table(dest, "backfill", run_id="r1").endswith("_r1")
-    with pytest.raises(ValueError, match="temp_table"):
-        tables.resolve_table({"target": {}}, "backfill", "a", "b")
+    assert targets.live_table(dest) == "web/visits"
+    name = targets.rerun_name("2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")
+    assert targets.rerun_table(dest, name) == "web_reruns/visits_20240101T000000Z_20240102T000000Z"
+    assert targets.rerun_name("a", "b", "r1") == "r1"
+    with pytest.raises(targets.MissingTarget, match="temp_table"):
+        targets.rerun_table({"target": {}}, "x")
     cfg = sample_config()
     for start, end in ((None, "2024-01-01"), ("2024-01-02", "2024-01-01"), ("2024-01-01", "2024-03-01")):
         with pytest.raises(ValueError):
@@ -115,6 +120,60 @@ def test_merge_rewrites_only_touched_days(spark):
         tables.merge_into(spark, f"{root}/gone", temp, fail_if_missing=True)
 
 
+@pytest.mark.parametrize("fail_at", range(1, 6))
+def test_broken_merge_loses_nothing_and_is_finished_later(spark, fail_at, monkeypatch):
+    root = work_dir(spark, "merge-crash")
+    target, temp = f"{root}/t", f"{root}/n"
+    before = [("a", 1, 1), ("b", 1, 2), ("c", 1, 3), (None, 5, 1)]
+    tables.write_table(rows_of(spark, before), target, batch_id=0)
+    tables.write_table(rows_of(spark, [("b", 2, 4), ("a", 2, 1), (None, 5, 1)]), temp)
+    moves, real = [], tables.Folders.move
+
+    def move(self, source, to):
+        moves.append(source)
+        if len(moves) == fail_at:
+            raise OSError("no luck")
+        real(self, source, to)
+
+    monkeypatch.setattr(tables.Folders, "move", move)
+    with pytest.raises(OSError) if fail_at <= 4 else contextlib.nullcontext():
+        tables.merge_into(spark, target, temp)
+    monkeypatch.undo()
+    assert all(m.startswith(target) for m in moves)
+    # A batch that a stream adds meanwhile stays.
+    tables.write_table(rows_of(spark, [("z", 9, 2)]), target, batch_id=7)
+    tables.merge_into(spark, target, temp)
+    got = sorted((str(r.event_id), r.v, r.event_date.day) for r in spark.read.parquet(target).collect())
+    assert got == [("None", 5, 1), ("a", 2, 1), ("b", 2, 4), ("c", 1, 3), ("z", 9, 2)]
+
+
+def test_rename_that_fails_is_an_error(spark, tmp_path):
+    folders = tables.Folders(spark, str(tmp_path))
+    (tmp_path / "x").mkdir()
+    (tmp_path / "y").mkdir()
+    with pytest.raises(OSError, match="exists"):
+        folders.move(f"{tmp_path}/x", f"{tmp_path}/y")
+    with pytest.raises(Exception):
+        folders.move(f"{tmp_path}/none", f"{tmp_path}/z")
+
+
+def test_dead_letters_hold_the_whole_message(spark):
+    good = json.dumps({"event_id": "1", "event_type": "t", "event_source": "s", "event_ts": "x" * 2000, "payload": "{}"})
+    sent = [b"\xff\xfe" + b"z" * 900, ("no json " * 200).encode(), good.encode()]
+    df = spark.createDataFrame([(v, str(i)) for i, v in enumerate(sent)], "value binary, message_id string")
+    letters = route.dead_letters(decode.decode_messages(df))
+    back = route.replayed_messages(route.read_dead_letters(route.dead_letter_json(letters)))
+    assert sorted(bytes(r.value) for r in back.collect()) == sorted(sent[:2])
+    assert all(r.raw is None or len(r.raw) == 500 for r in letters.collect())
+
+
+def test_work_folder_needs_no_setting(spark, tmp_path):
+    folder = WorkFolder(spark, "t", below=str(tmp_path))
+    assert folder.write(spark.range(3), "x").count() == 3
+    folder.close()
+    assert not tables.Folders(spark, folder.path).exists(folder.path)
+
+
 def test_archive_range_prunes_days(spark):
     path = work_dir(spark, "archive-test")
     rows = spark.createDataFrame(
@@ -137,11 +196,11 @@ def test_backfill_conserves_rows_and_merges(spark):
     args = (spark, sample_config(), warehouse, _written_archive(spark, SMALL), "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z")
     result = run_backfill(*args, run_id="x", merge=True, hot_rows=1)
     c = result.counters
-    final, letters = spark.read.parquet(result.table), spark.read.parquet(result.dead_letters)
+    final, letters = spark.read.parquet(result.table), route.read_dead_letters(spark.read.text(result.dead_letters))
     assert c["events_out"] == final.count() == 775
     assert letters.count() == c["dlq_events"]
     assert c["events_in"] == final.count() + letters.filter("not (stage = 'schema' and error is null)").count()
-    target = f"{warehouse}/{tables.resolve_table(sample_config().destination, 'streaming')}"
+    target = f"{warehouse}/{targets.live_table(sample_config().destination)}"
     assert spark.read.parquet(target).count() == 775
 
 
