@@ -6,6 +6,7 @@ import json
 import os
 import re
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -14,6 +15,8 @@ try:  # YAML is optional: every file may also be JSON.
 except ImportError:  # pragma: no cover
     yaml = None
 
+from pyspark.sql import SparkSession
+
 from sluice.operators.casts import CAST_KINDS
 from sluice.operators.enrich import ENRICHMENTS
 from sluice.operators.validate import TYPE_CHECKS
@@ -44,10 +47,11 @@ def _read_text(path: str, spark=None) -> str | None:
             return None
         with open(local, encoding="utf-8") as f:
             return f.read()
-    try:  # One small file on the cluster's file system.
-        return spark.read.text(path, wholetext=True).first()[0]
-    except Exception:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # Only a file that is not there counts as absent; one that cannot be read is an error.
+    if not file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file):
         return None
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def _load(folder: str, name: str, spark=None) -> Any:
@@ -100,53 +104,84 @@ def load_config(folder: str, spark=None) -> JobConfig:
         observability=main.get("observability") or {},
         env=main.get("env", "dev"),
     )
-    check_config(cfg, problems)
+    check_config(cfg, problems, spark)
     return cfg
 
 
-def check_config(cfg: JobConfig, problems: list[str] | None = None) -> None:
-    """Raise on what cannot work, warn on what has no effect."""
+@dataclass(frozen=True)
+class Needed:
+    """A setting (dotted path in the job configuration) and when it must be there."""
+
+    path: str
+    when: Callable[[JobConfig], bool] = lambda cfg: True
+    # A block may be empty, a value may not.
+    block: bool = False
+
+
+def _tuning(cfg: JobConfig, block: str) -> dict:
+    return cfg.streaming_tuning.get(block) or {}
+
+
+def _buffers(cfg: JobConfig) -> bool:
+    return _tuning(cfg, "dedup").get("mode", "two_phase") != "none"
+
+
+NEEDED = (
+    Needed("raw_events"),
+    *(Needed(f"streaming_tuning.{name}", block=True) for name in ("dedup", "sharding", "windowing", "batching")),
+    Needed("streaming_tuning.dedup.buffer_seconds", _buffers),
+    Needed("streaming_tuning.sharding.num_shards", lambda cfg: _tuning(cfg, "dedup").get("mode") == "two_phase"),
+    Needed("streaming_tuning.windowing.window_size_sec", lambda cfg: _tuning(cfg, "windowing").get("enabled", True)),
+)
+
+
+def _present(cfg: JobConfig, item: Needed) -> bool:
+    first, *rest = item.path.split(".")
+    value = getattr(cfg, first)
+    for key in rest:
+        if not isinstance(value, dict) or key not in value:
+            return False
+        value = value[key]
+    return item.block or value not in (None, "", {}, [])
+
+
+def check_config(cfg: JobConfig, problems: list[str] | None = None, spark=None) -> None:
+    """Raise on what cannot work, warn on what has no effect.
+
+    Patterns are Java regular expressions; with a session they are compiled as such.
+    """
     problems = list(problems or [])
-    if not cfg.raw_events:
-        problems.append("missing raw_events config")
-    tuning = cfg.streaming_tuning
-    if not tuning:
-        problems.append("missing 'streaming_tuning'")
-    else:
-        for block in ("dedup", "sharding", "windowing", "batching"):
-            if block not in tuning:
-                problems.append(f"streaming_tuning missing required block: '{block}'")
-        dedup = tuning.get("dedup") or {}
-        if dedup.get("mode", "two_phase") != "none" and "buffer_seconds" not in dedup:
-            problems.append("dedup.buffer_seconds is required")
-        if dedup.get("mode") == "two_phase" and "num_shards" not in (tuning.get("sharding") or {}):
-            problems.append("sharding.num_shards is required")
-        windowing = tuning.get("windowing") or {}
-        if windowing.get("enabled", True) and "window_size_sec" not in windowing:
-            problems.append("windowing.window_size_sec is required")
+    problems += [f"setting {n.path} is needed" for n in NEEDED if n.when(cfg) and not _present(cfg, n)]
     t = cfg.transformations
-    for rule in t.get("business_rules") or []:
-        for key in ("condition", "output_field"):
-            if key not in rule:
-                problems.append(f"business rule without {key}: {rule}")
-    for item in t.get("enrichment") or []:
-        if item.get("type") == "regex_lookup":
-            problems += _bad_patterns(p.get("pattern") for p in item.get("patterns") or [])
-    for item in t.get("entity_extraction") or []:
-        problems += _bad_patterns(e.get("pattern") for e in item.get("entities") or [])
+    problems += [
+        f"business rule {rule} names no {key}"
+        for rule in t.get("business_rules") or []
+        for key in ("condition", "output_field")
+        if key not in rule
+    ]
+    lookups = [i for i in t.get("enrichment") or [] if i.get("type") == "regex_lookup"]
+    patterns = [p.get("pattern") for i in lookups for p in i.get("patterns") or []]
+    patterns += [e.get("pattern") for i in t.get("entity_extraction") or [] for e in i.get("entities") or []]
+    problems += bad_patterns(patterns, spark)
     if problems:
         raise ConfigError("; ".join(problems))
     for message in config_warnings(cfg):
         warnings.warn(message, stacklevel=3)
 
 
-def _bad_patterns(patterns) -> list[str]:
+def bad_patterns(patterns, spark=None) -> list[str]:
+    """Patterns that executors could not compile. Without a session there is no JVM to ask: then
+    only what both dialects refuse is found, and the job's start finds the rest."""
+    spark = spark or SparkSession.getActiveSession()
     out = []
     for p in patterns:
         try:
-            re.compile(p or "")
-        except re.error as e:
-            out.append(f"bad pattern {p!r}: {e}")
+            if spark is not None:
+                spark._jvm.java.util.regex.Pattern.compile(p or "")
+            else:
+                re.compile(re.sub(r"\(\?<(?=[A-Za-z])", "(?P<", p or ""))
+        except Exception as e:
+            out.append(f"bad pattern {p!r}: {str(e).splitlines()[0]}")
     return out
 
 

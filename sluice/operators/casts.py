@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.functions import timetext
 from sluice.functions.text import strip
 from sluice.operators.fields import EventFrame, Field, choose, literal, null_field, typed
+from sluice.operators.rules import UNSET, Cast, Concatenation, NullDefault, rules
 
 # Words read as booleans.
 TRUE_WORDS = ("true", "1", "yes", "y", "t")
@@ -20,19 +21,11 @@ CAST_KINDS = {
 }
 
 
-def null_default_rules(rules: Any) -> list[tuple[str, Any]]:
-    """Rules in list or map form as (field, default)."""
-    if isinstance(rules, dict):
-        return [(k, v) for k, v in rules.items() if k]
-    if isinstance(rules, list):
-        return [(r["field"], r.get("default")) for r in rules if isinstance(r, dict) and r.get("field")]
-    return []
-
-
-def null_defaults(event: EventFrame, rules: Any) -> None:
-    for name, default in null_default_rules(rules):
-        f = event.get(name)
-        event.set(name, choose(f.is_empty(), literal(default), f, f.view_kind if f.dynamic else None))
+def null_defaults(event: EventFrame, entries: Any) -> None:
+    """Replace NULL and empty values."""
+    for rule in rules(entries, NullDefault):
+        f = event.get(rule.field)
+        event.set(rule.field, choose(f.is_empty(), literal(rule.default), f, f.view_kind if f.dynamic else None))
     event.flush()
 
 
@@ -98,59 +91,42 @@ def cast_value(f: Field, to: str) -> Column | None:
     return None if parse is None else F.when(f.is_string(), parse(f.text()))
 
 
-def type_casts(event: EventFrame, rules: Any) -> None:
-    for rule in rules if isinstance(rules, list) else []:
-        if not isinstance(rule, dict):
-            continue
-        source, target = rule.get("field"), rule.get("to")
-        output = rule.get("output_field", source)
-        if not source or not target or not output:
-            continue
-        to = str(target).strip().lower()
-        f = event.get(source)
-        missing = f.is_empty() if rule.get("treat_empty_as_null", True) else f.is_null()
-        value = cast_value(f, to)
-        kind = CAST_KINDS.get(to, "string")
-        cast = typed(kind, value) if value is not None else null_field()
-        if "default" in rule:
-            default = literal(rule["default"])
-            failed = missing if value is None else missing | value.isNull()
-            event.set(output, choose(failed if value is not None else F.lit(True), default, cast, kind))
-            continue
-        # Without a default a missing or failing value leaves the output as it was.
-        before = f if output == source else event.get(output)
-        if value is None:
-            continue
-        if to == "string" and output == source:
-            event.set(output, typed("string", value))
-        else:
-            event.set(output, choose(~missing & value.isNotNull(), cast, before, kind))
+def type_casts(event: EventFrame, entries: Any) -> None:
+    """Cast fields. With a default, missing and failing values take it; without, they keep the
+    output as it was."""
+    for rule in rules(entries, Cast):
+        f = event.get(rule.field)
+        missing = f.is_empty() if rule.treat_empty_as_null else f.is_null()
+        value, kind = cast_value(f, rule.kind), CAST_KINDS.get(rule.kind, "string")
+        usable = F.lit(False) if value is None else ~missing & value.isNotNull()
+        cast = null_field() if value is None else typed(kind, value)
+        if rule.default is not UNSET:
+            event.set(rule.target, choose(~usable, literal(rule.default), cast, kind))
+        elif value is not None and rule.kind == "string" and rule.target == rule.field:
+            event.set(rule.target, cast)
+        elif value is not None:
+            event.set(rule.target, choose(usable, cast, event.get(rule.target), kind))
     event.flush()
 
 
-def concatenations(event: EventFrame, rules: Any) -> None:
-    for rule in rules if isinstance(rules, list) else []:
-        if not isinstance(rule, dict):
-            continue
-        output, inputs = rule.get("output_field"), rule.get("inputs") or []
-        if not output or not isinstance(inputs, list):
-            continue
-        defaults = rule.get("defaults") or {}
-        parts = []
-        for name in inputs:
-            f = event.get(name)
-            default = literal(defaults.get(name)).text()
-            parts.append(F.when(f.is_empty(), default).otherwise(f.text()))
-        default_value = literal(rule.get("default_value", ""))
-        separator = str(rule.get("separator", ""))
-        if not parts:
-            event.set(output, default_value)
+def concatenations(event: EventFrame, entries: Any) -> None:
+    """Join the texts of several fields."""
+    for rule in rules(entries, Concatenation):
+        if not isinstance(rule.inputs, list):
             continue
-        if rule.get("skip_nulls", True):
-            kept = F.filter(F.array(*parts), lambda p: p.isNotNull() & (p != ""))
+        otherwise = literal(rule.default_value)
+        fields = {name: event.get(name) for name in rule.inputs}
+        texts = [
+            F.when(fields[name].is_empty(), literal((rule.defaults or {}).get(name)).text()).otherwise(fields[name].text())
+            for name in rule.inputs
+        ]
+        separator = str(rule.separator)
+        if not texts:
+            event.set(rule.output_field, otherwise)
+        elif rule.skip_nulls:
+            kept = F.filter(F.array(*texts), lambda p: p.isNotNull() & (p != ""))
             joined = typed("string", F.array_join(kept, separator))
-            event.set(output, choose(F.size(kept) == 0, default_value, joined))
+            event.set(rule.output_field, choose(F.size(kept) == 0, otherwise, joined))
         else:
-            filled = [F.coalesce(p, F.lit("")) for p in parts]
-            event.set(output, typed("string", F.concat_ws(separator, *filled)))
+            event.set(rule.output_field, typed("string", F.concat_ws(separator, *[F.coalesce(t, F.lit("")) for t in texts])))
     event.flush()

@@ -232,3 +232,8 @@ def test_stream_holds_the_latest_until_quiet(spark):
     assert got == [
         ("a4", "dropped", 5_000_000), ("a5", "main", None), ("a5 again", "dropped", 5_000_000), ("b1", "superseded", 2_000_000),
         ("b2", "main", None), ("c0", "superseded", 200_000_000), ("c200", "main", None)]
+
+
+def test_patterns_are_compiled_as_executors_do(spark):
+    assert C.bad_patterns(["(?<year>[0-9]+)", "[a-z&&[^b]]"], spark) == []
+    assert len(C.bad_patterns(["(?P<year>[0-9]+)", "("], spark)) == 2
