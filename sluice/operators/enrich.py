@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import text as T
 from sluice.operators.casts import float_of_text
-from sluice.operators.fields import EventFrame, Field, choose, literal, null_field, typed
+from sluice.operators.fields import KIND_OF_SPARK, SQL_TYPES, EventFrame, Field, choose, dynamic_field, literal, null_field, quoted, typed
 from sluice.operators.route import reject_struct, reject_where
 from sluice.operators.skew import HOT_ROWS, hot_key_counts, split_join
 
@@ -33,42 +33,41 @@ def business_rules(event: EventFrame, rules: Any) -> None:
     event.flush()
 
 
-def _literal_map(entries: dict[Any, Any]) -> tuple[Column, str]:
-    """Keys to values as a MAP, and the common kind of the values or ``dynamic``."""
+def _look_up(key: Column, entries: dict[Any, Any], default: Field) -> Field:
+    """Value of a constant map at the key, else the default. One search of the map per row."""
+    if not entries:
+        return default
     values = [literal(v) for v in entries.values()]
     kinds = {v.kind for v in values} - {"null"}
     kind = kinds.pop() if len(kinds) == 1 else ("string" if not kinds else "dynamic")
     pairs: list[Column] = []
-    for key, v in zip(entries, values):
-        pairs += [F.lit(key), v.as_variant() if kind == "dynamic" else v.view]
-    return F.create_map(*pairs), kind
-
-
-def _look_up(key: Column, entries: dict[Any, Any], default: Field) -> Field:
-    """Value of a constant map at the key, else the default."""
-    if not entries:
-        return default
-    table, kind = _literal_map(entries)
-    found = F.map_contains_key(table, key)
-    hit = table[key]
-    if kind == "dynamic":
-        from sluice.operators.fields import dynamic_field
-
-        return choose(F.coalesce(found, F.lit(False)), dynamic_field(hit), default)
-    return choose(F.coalesce(found, F.lit(False)), typed(kind, hit), default)
+    for entry, v in zip(entries, values):
+        # A struct tells a NULL value from an absent key.
+        pairs += [F.lit(entry), F.struct((v.as_variant() if kind == "dynamic" else v.view).alias("v"))]
+    hit = F.try_element_at(F.create_map(*pairs), key)
+    found = dynamic_field(hit["v"]) if kind == "dynamic" else typed(kind, hit["v"])
+    return choose(hit.isNotNull(), found, default)
 
 
 def static_lookup(event: EventFrame, cfg: dict) -> None:
-    """Exact key to value. Text keys match text only; numbers and booleans match by value."""
+    """Exact key to value. Text keys match text only; numbers and booleans match by value.
+
+    Whole numbers are compared as such: as doubles, keys beyond 2**53 would meet their neighbours.
+    """
     f = event.get(cfg.get("input_field"))
     table = cfg.get("lookup") or {}
     texts = {k: v for k, v in table.items() if isinstance(k, str)}
-    numbers = {float(k): v for k, v in table.items() if isinstance(k, (bool, int, float))}
+    numbers = {k: v for k, v in table.items() if isinstance(k, (bool, int, float))}
+    whole = {int(k): v for k, v in numbers.items() if k == int(k) and abs(k) < 2**63}
+    # Keys of float rows; a whole number that no double equals matches none of them.
+    floats = {float(k): v for k, v in numbers.items() if float(k) == k}
     result = literal(cfg.get("default"))
     if None in table:
         result = choose(f.is_null(), literal(table[None]), result)
     if numbers:
-        result = _look_up(f.number(), numbers, result)
+        kind = f.kinds()
+        result = _look_up(F.when(kind == "float", f.number()), floats, result)
+        result = _look_up(F.when(kind.isin("integer", "boolean"), f.whole()), whole, result)
     if texts:
         result = _look_up(F.when(f.is_string(), f.text()), texts, result)
     if f.dynamic:
@@ -83,6 +82,25 @@ def static_lookup(event: EventFrame, cfg: dict) -> None:
     event.set(cfg["output_field"], result)
 
 
+def table_lookup(event: EventFrame, cfg: dict) -> None:
+    """Static lookup whose map is a table: ``table`` (a Parquet path), ``key`` and ``value`` columns.
+
+    Keys are compared as text, so a small and a large table give the same.
+    """
+    f = event.get(cfg.get("input_field"))
+    event.flush()
+    table = event.df.sparkSession.read.parquet(cfg["table"])
+    table = table.select(F.col(cfg["key"]).cast("string").alias("_table_id"), F.col(cfg["value"]).alias("_table_v"))
+    kind = KIND_OF_SPARK.get(table.schema["_table_v"].dataType.simpleString(), "string")
+    out = f"_table_{cfg['output_field']}"
+    joined = lookup_table(
+        event.df.withColumn("_table_key", f.text()), table.withColumn("_table_v", F.col("_table_v").cast(SQL_TYPES[kind])),
+        "_table_key", "_table_id", "_table_v", out, [event.df.columns[0]], default=cfg.get("default"),
+    )
+    event.df = joined.drop("_table_key")
+    event.set(cfg["output_field"], typed(kind, F.col(quoted(out))))
+
+
 def range_lookup(event: EventFrame, cfg: dict) -> None:
     """First range that holds the number; open ends and exclusive bounds allowed."""
     f = event.get(cfg.get("input_field"))
@@ -169,6 +187,7 @@ def normalization(event: EventFrame, cfg: dict) -> None:
 
 ENRICHMENTS = {
     "static_lookup": static_lookup,
+    "table_lookup": table_lookup,
     "range_lookup": range_lookup,
     "multi_key_lookup": multi_key_lookup,
     "regex_lookup": regex_lookup,
@@ -195,7 +214,7 @@ def entity_extraction(event: EventFrame, items: Any) -> None:
         usable = F.coalesce(T.strip(text) != "", F.lit(False))
         for ent in cfg["entities"]:
             pattern = "(?iu)" + ent["pattern"]
-            match = F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 0))
+            match = F.regexp_substr(text, F.lit(pattern))
             before = event.get(ent["name"], nested=False)
             event.set(ent["name"], choose(usable, typed("string", match), before))
     event.flush()
@@ -227,7 +246,7 @@ def lookup_table(
     value = F.struct(F.col("_lv").alias("v"))
     if pairs.limit(max_broadcast + 1).count() <= max_broadcast:
         small = pairs.select("_lk", value.alias("_hit"))
-        out = df.join(F.broadcast(small), F.col(key) == F.col("_lk"), "left").drop("_lk")
+        out = df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col("_lk")), "left").drop("_lk")
     else:
         renamed = pairs.select(F.col("_lk").alias(key), value.alias("_hit"))
         hot_keys = hot_key_counts(df, key, hot_rows).filter(F.col(key).isNotNull())

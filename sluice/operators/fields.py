@@ -22,7 +22,7 @@ from sluice.functions import jsonvalue as J
 from sluice.functions.text import float_text
 
 SQL_TYPES = {"string": "string", "integer": "bigint", "float": "double", "boolean": "boolean"}
-_KIND_OF_SQL = {
+KIND_OF_SPARK = {
     "string": "string", "varchar": "string", "char": "string",
     "tinyint": "integer", "smallint": "integer", "int": "integer", "bigint": "integer",
     "float": "float", "double": "float", "boolean": "boolean",
@@ -102,6 +102,17 @@ class Field:
             return self.view.cast("double")
         return F.lit(None).cast("double")
 
+    def whole(self) -> Column:
+        """Value as bigint for integer and boolean rows, else NULL."""
+        if self.dynamic:
+            n = F.try_variant_get(self.variant, "$", "bigint")
+            return F.when(self.kind_col == "integer", n).when(
+                self.kind_col == "boolean", F.try_variant_get(self.variant, "$", "boolean").cast("bigint")
+            )
+        if self.kind in ("integer", "boolean"):
+            return self.view.cast("bigint")
+        return F.lit(None).cast("bigint")
+
     def child(self, keys: list[str]) -> "Field":
         if not self.dynamic:
             return null_field()
@@ -161,6 +172,16 @@ def choose(condition: Column, yes: Field, no: Field, view_kind: str | None = Non
     return Field("dynamic", None, variant, kind_col, view_kind)
 
 
+def put(parent: Column, keys: list[str], value: Column) -> Column:
+    """An object VARIANT with another value below the keys; what is no object becomes one."""
+    members = F.try_variant_get(parent, "$", "map<string,variant>")
+    if len(keys) > 1:
+        value = put(F.try_variant_get(parent, J.path(keys[0]), "variant"), keys[1:], value)
+    rest = F.map_filter(F.coalesce(members, F.create_map().cast("map<string,variant>")), lambda k, _: k != keys[0])
+    absent = F.parse_json(F.lit("null"))
+    return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(keys[0]), F.coalesce(value, absent))))
+
+
 class EventFrame:
     """A DataFrame whose columns include the fields of an event.
 
@@ -187,6 +208,13 @@ class EventFrame:
         return null_field()
 
     def set(self, path: str, field: Field) -> None:
+        """Give the field at a path a value. Below an object that the event holds, the object
+        itself changes, so that it is written with the new value."""
+        root, *below = path.split(".")
+        if below and path not in self.fields and (root in self.fields or root in self._pending):
+            parent = self.get(root)
+            if parent.dynamic:
+                path, field = root, dynamic_field(put(parent.variant, below, field.as_variant()), parent.view_kind)
         if path in self._pending:
             self.flush()
         self.assigned.add(path)
@@ -224,8 +252,8 @@ class EventFrame:
         except Exception as e:
             raise ValueError(f"rule expression {text!r} cannot be resolved: {e}") from e
         c = F.expr(text)
-        if kind in _KIND_OF_SQL:
-            name = _KIND_OF_SQL[kind]
+        if kind in KIND_OF_SPARK:
+            name = KIND_OF_SPARK[kind]
             return typed(name, c.cast(SQL_TYPES[name]))
         if kind.startswith("decimal"):
             return typed("float", c.cast("double"))

@@ -93,29 +93,82 @@ def stage_series(routed: DataFrame, time_column: str, window_sec: int) -> DataFr
     )
 
 
+# Windows that one task looks at together when runs are found.
+CHUNK_WINDOWS = 4096
+
+
+def _runs(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows (start, end, windows, peak) that follow each other without a gap, as one row."""
+    order = Window.partitionBy(*keys).orderBy("breach_start")
+    new = F.when(F.col("breach_start") == F.lag("breach_end").over(order), 0).otherwise(1)
+    marked = rows.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
+    return marked.groupBy(*keys, "_run").agg(
+        F.min("breach_start").alias("breach_start"), F.max("breach_end").alias("breach_end"),
+        F.sum("windows").alias("windows"), F.max("peak").alias("peak"),
+    ).drop("_run")
+
+
 def alert_breaches(
     series: DataFrame,
     value: str,
-    threshold: float,
-    duration_sec: int,
-    alignment_sec: int,
+    threshold: float | Column,
+    duration_sec: int | Column,
+    alignment_sec: int | Column,
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Runs of consecutive windows above the threshold that last at least the duration.
 
-    ``series`` has ``window_start`` (epoch seconds) and one aligned value per window, so it
-    is already small: one row per window and series. A window without data ends a run.
+    ``series`` has ``window_start`` (epoch seconds) and one aligned value per window. Runs are
+    found in stretches of ``CHUNK_WINDOWS`` windows first; only the runs of a series, not its
+    windows, then meet in one task. A window without data ends a run.
     """
-    over = series.filter(F.col(value) > F.lit(threshold))
-    order = Window.partitionBy(*keys).orderBy("window_start")
-    gap = F.col("window_start") - F.lag("window_start").over(order)
-    marked = over.withColumn(
-        "_run", F.sum(F.when(gap.isNull() | (gap != alignment_sec), 1).otherwise(0)).over(order)
+    width = F.lit(alignment_sec) if not isinstance(alignment_sec, Column) else alignment_sec
+    limit = F.lit(threshold) if not isinstance(threshold, Column) else threshold
+    least = F.lit(duration_sec) if not isinstance(duration_sec, Column) else duration_sec
+    over = series.filter(F.col(value) > limit).select(
+        *keys, F.floor(F.col("window_start") / (width * CHUNK_WINDOWS)).alias("_chunk"),
+        F.col("window_start").alias("breach_start"), (F.col("window_start") + width).alias("breach_end"),
+        F.lit(1).cast("long").alias("windows"), F.col(value).alias("peak"), least.alias("_least"),
+    )
+    wide = (*keys, "_least")
+    runs = _runs(_runs(over, (*wide, "_chunk")).drop("_chunk"), wide)
+    return runs.filter(F.col("breach_end") - F.col("breach_start") >= F.col("_least")).drop("_least")
+
+
+def alert_points(routed: DataFrame, at: Column, now: Column | None = None) -> DataFrame:
+    """(metric, at, value) that configured alerts watch: a row per refused event and stage, and
+    the lag of each accepted one."""
+    refused = routed.filter(F.col("_reject").isNotNull()).select(
+        F.explode(F.array(F.lit("refused"), F.concat(F.lit("refused."), F.col("_reject.stage")))).alias("metric"),
+        at.alias("at"), F.lit(1.0).alias("value"),
     )
-    runs = marked.groupBy(*keys, "_run").agg(
-        F.min("window_start").alias("breach_start"),
-        (F.max("window_start") + F.lit(alignment_sec)).alias("breach_end"),
-        F.count(F.lit(1)).alias("windows"),
-        F.max(value).alias("peak"),
+    lag = routed.filter(F.col("_reject").isNull()).select(
+        F.lit("lag_ms").alias("metric"), at.alias("at"), event_lag_ms(now).cast("double").alias("value")
     )
-    return runs.filter(F.col("windows") * alignment_sec >= duration_sec).drop("_run")
+    return refused.unionByName(lag.filter(F.col("value").isNotNull()))
+
+
+def configured_alerts(points: DataFrame, observability: dict) -> DataFrame:
+    """Breaches of the alerts that the configuration lists, by alert name.
+
+    Each alert names its metric, how values of a window are aligned (SUM or MEAN), the window,
+    the threshold and how long it must be exceeded. All alerts are one aggregate: the list is
+    a literal of the configuration's size.
+    """
+    alerts = [
+        F.struct(
+            F.lit(name).alias("alert"), F.lit(str(a["metric"])).alias("watched"),
+            F.lit(str(a.get("align", "SUM")).upper()).alias("align"), F.lit(int(a.get("alignment_sec", 60))).cast("long").alias("width"),
+            F.lit(float(a["threshold"])).alias("threshold"), F.lit(int(a.get("duration_sec", 0))).cast("long").alias("least"),
+        )
+        for name, a in (observability.get("alerts") or {}).items()
+    ]
+    if not alerts:
+        raise ValueError("observability.alerts lists no alert")
+    matching = F.filter(F.array(*alerts), lambda a: a["watched"] == F.col("metric"))
+    rows = points.select(F.explode(matching).alias("a"), F.unix_seconds("at").alias("s"), "value").select("a.*", "s", "value")
+    aligned = rows.groupBy(
+        "alert", "align", "width", "threshold", "least", (F.col("s") - F.pmod("s", "width")).alias("window_start")
+    ).agg(F.sum("value").alias("total"), F.avg("value").alias("mean"))
+    series = aligned.withColumn("aligned", F.when(F.col("align") == "MEAN", F.col("mean")).otherwise(F.col("total")))
+    return alert_breaches(series, "aligned", F.col("threshold"), F.col("least"), F.col("width"), ("alert",))

@@ -20,7 +20,7 @@ from sluice.plans.cases import mixed_values, raw_messages
 from sluice.plans.sample_config import EXPECTED_SCHEMA, SCHEMA_MANAGEMENT, sample_config
 from sluice.plans.stages import check_events, transform_and_validate
 from sluice.session import WorkFolder, prepare, work_dir
-from sluice.sources import archive, tables
+from sluice.sources import archive, tables, targets
 from sluice.sources.sink_schema import derive_schema, row_id, schema_rows, to_sink
 
 POSITION = ["message_id"]
@@ -500,6 +500,45 @@ def transform_all(spark, sf_dir):
     )
 
 
+def nested_default(spark, sf_dir):
+    """Defaults below an object change the object itself."""
+    d = _table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.parse_json(F.concat(
+            F.lit('{"name": "'), F.col("c_name"), F.lit('", "city": '),
+            F.when(F.col("c_custkey") % 2 == 0, F.lit('""')).otherwise(F.lit('"Ulm"')), F.lit("}"),
+        )).alias("x"),
+    )
+    event = EventFrame(d, {})
+    event.set("v", dynamic_field(F.col("x")))
+    event.flush()
+    casts.null_defaults(event, {"v.city": "UNKNOWN", "v.geo.zone": 3})
+    event.flush()
+    v = F.to_json(event.get("v").variant)
+    return event.df.select(
+        "c_custkey", *[F.get_json_object(v, f"$.{p}").alias(p.replace(".", "_")) for p in ("name", "city", "geo.zone")]
+    )
+
+
+def large_key_lookup(spark, sf_dir):
+    """Neighbouring keys beyond the exact range of doubles."""
+    d = _table(spark, sf_dir, "orders").select("o_orderkey", (F.lit(R.LARGE_KEY) + F.col("o_orderkey") % 4).alias("big"))
+    event = _typed_event(d, big="integer")
+    enrich.enrichment(event, [R.LARGE_LOOKUP])
+    return _columns(event, ["o_orderkey"], {"found": "STRING"})
+
+
+def configured_table_lookup(spark, sf_dir):
+    """A lookup table that a rule names."""
+    event = _typed_event(_table(spark, sf_dir, "customer"), c_nationkey="integer", c_name="string")
+    rule = {
+        "type": "table_lookup", "input_field": "c_nationkey", "output_field": "nation", "default": "NONE",
+        "table": f"{sf_dir}/nation.parquet", "key": "n_nationkey", "value": "n_name",
+    }
+    enrich.enrichment(event, [rule])
+    return _columns(event, ["c_custkey"], {"nation": "STRING"})
+
+
 # -- validation -------------------------------------------------------------------------
 
 
@@ -533,6 +572,38 @@ def validate_all(spark, sf_dir):
     return d.select("n", "copy", F.col("_reject.error").alias("error"))
 
 
+def event_time_check(spark, sf_dir):
+    """A field mapped onto the event time is checked again."""
+    event = start_event(route.accepted(_timed(spark, sf_dir)))
+    map_fields(event, {"event_ts": "payload.day", "visit_id": "payload.visit_id"})
+    casts.null_defaults(event, {"event_ts": "never"})
+    event.flush()
+    event.set("event_ts", typed("string", F.when(F.col("n") % 2 == 0, F.concat(event.get("event_ts").text(), F.lit("?"))).otherwise(event.get("event_ts").text())))
+    event.flush()
+    return event.df.select("n", "copy", val.event_time_message(event).alias("message"))
+
+
+def source_by_mode(spark, sf_dir):
+    """The source that each mode reads, counted by type."""
+    from sluice.sources.messages import read_source
+
+    rows = read_source(prepare(spark), "backfill", archive=(_written_archive(spark, sf_dir), *RANGE))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+def letters_target(spark, sf_dir):
+    """Dead letters written at the place of each mode, and read back from there."""
+    cfg, root = sample_config(), work_dir(spark, "letters")
+    letters = route.dead_letters(_decoded(spark, sf_dir))
+    out = []
+    for mode in (targets.STREAMING, targets.BACKFILL):
+        place = targets.letters_target(cfg.destination, cfg.backfill_settings, mode)
+        route.write_dead_letters(letters, f"{root}/{place}")
+        back = route.read_dead_letters(spark.read.text(f"{root}/{place}"))
+        out.append(back.select(F.lit(place).alias("target"), "stage", "error", "message"))
+    return out[0].unionByName(out[1])
+
+
 # -- metrics and alerts -----------------------------------------------------------------
 
 
@@ -566,6 +637,13 @@ def alert_breaches(spark, sf_dir):
     return metrics.alert_breaches(total, "events", 2, 7200, 3600)
 
 
+def configured_alerts(spark, sf_dir):
+    """Alerts of the configuration: refused events summed, lag averaged."""
+    d = _stream_like(spark, sf_dir)
+    points = metrics.alert_points(d, _proc())
+    return metrics.configured_alerts(points, sample_config().observability)
+
+
 # -- whole jobs -------------------------------------------------------------------------
 
 
@@ -619,7 +697,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lookup_table_large, range_lookup, multi_key_lookup, regex_lookup, conditional_set,
         derived_fields, normalize_text, entity_extraction, transform_all, validate_required,
         validate_length, validate_types, validate_all, event_counters, lag_distribution,
-        lag_series, dashboard_series, alert_breaches, backfill_run, stream_source,
+        lag_series, dashboard_series, alert_breaches, configured_alerts, nested_default,
+        large_key_lookup, configured_table_lookup, event_time_check, source_by_mode, letters_target, backfill_run, stream_source,
         stream_windows, stream_dedup, streaming_run,
     ]
     out = {f.__name__: f for f in functions}

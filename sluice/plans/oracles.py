@@ -416,6 +416,28 @@ letters AS (
       SELECT min(ws) AS breach_start, max(ws) + 3600 AS breach_end, count(*) AS windows, max(events) AS peak FROM ovr
       GROUP BY grp HAVING count(*) * 3600 >= 7200"""
 
+    o["configured_alerts"] = f"""{counters},
+      pts AS (SELECT 'refused_events' AS alert, 2.0 AS threshold, 7200 AS least, CAST(floor(proc_s / 3600.0) AS BIGINT) * 3600 AS ws,
+          CAST(count(*) AS DOUBLE) AS v FROM all_rows WHERE stage IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT 'slow_events', 5050.0, 3600, CAST(floor(a.proc_s / 3600.0) AS BIGINT) * 3600,
+          avg(CAST(a.proc_s * 1000 - CAST(floor(s.us / 1000) AS BIGINT) AS DOUBLE))
+          FROM all_rows a JOIN stg1 s USING (message_id) WHERE a.stage IS NULL AND s.us > 999 GROUP BY ALL),
+      ovr AS (SELECT *, ws - 3600 * row_number() OVER (PARTITION BY alert ORDER BY ws) AS grp FROM pts WHERE v > threshold)
+      SELECT alert, min(ws) AS breach_start, max(ws) + 3600 AS breach_end, count(*) AS windows, max(v) AS peak FROM ovr
+      GROUP BY alert, grp, least HAVING count(*) * 3600 >= least"""
+    o["nested_default"] = """SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'UNKNOWN' ELSE 'Ulm' END AS city,
+      '3' AS geo_zone FROM customer"""
+    o["large_key_lookup"] = """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'even' WHEN 1 THEN 'odd' WHEN 3 THEN 'last' ELSE 'none' END
+      AS found FROM orders"""
+    o["configured_table_lookup"] = """SELECT c_custkey, coalesce(n_name, 'NONE') AS nation FROM customer
+      LEFT JOIN nation ON c_nationkey = n_nationkey"""
+    o["event_time_check"] = f"""{_CHAIN} SELECT n, copy, CASE WHEN n % 2 = 0 OR json_type(p) <> 'OBJECT'
+      THEN 'event_ts is not in a supported timestamp format' END AS message FROM okt"""
+    o["source_by_mode"] = f"""{_CHAIN} SELECT event_type, count(*) AS events FROM tim
+      WHERE pre_error IS NULL AND us >= {_RANGE_US[0]} AND us < {_RANGE_US[1]} GROUP BY 1"""
+    o["letters_target"] = f"""{_CHAIN} SELECT target, 'preprocess' AS stage, pre_error AS error, value AS message
+      FROM env, (VALUES ('refused/live'), ('refused/reruns')) t(target) WHERE pre_error IS NOT NULL"""
+
     # The archive keeps its rows under another position, so ties on equal times are excluded
     # by construction: the time texts of the copies differ.
     o["backfill_run"] = f"""{_CHAIN}, g3 AS (SELECT *, ts_type = 'UBIGINT' AS number_ts FROM grd),

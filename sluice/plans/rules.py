@@ -108,3 +108,10 @@ ENTITIES = [
         ],
     }
 ]
+
+# Three neighbours that doubles cannot tell apart.
+LARGE_KEY = 2**53
+LARGE_LOOKUP = {
+    "type": "static_lookup", "input_field": "big", "output_field": "found", "default": "none",
+    "lookup": {2**53: "even", 2**53 + 1: "odd", 2**53 + 3: "last"},
+}

@@ -102,7 +102,7 @@ BACKFILL = {
 OBSERVABILITY = {
     "alerts": {
         "refused_events": {"metric": "refused", "align": "SUM", "alignment_sec": 3600, "threshold": 2, "duration_sec": 7200},
-        "slow_events": {"metric": "lag_ms", "align": "MEAN", "alignment_sec": 3600, "threshold": 8000, "duration_sec": 3600},
+        "slow_events": {"metric": "lag_ms", "align": "MEAN", "alignment_sec": 3600, "threshold": 5050, "duration_sec": 3600},
     }
 }
 

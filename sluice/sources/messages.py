@@ -6,13 +6,21 @@ unique per message.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 MESSAGE_SCHEMA = "value binary, message_id string, attributes map<string,string>, publish_time timestamp"
 
 
+def header_map(headers: Column) -> Column:
+    """Headers of a message as a map. A key may stand there more than once; the last one wins."""
+    entries = F.coalesce(headers, F.array().cast("array<struct<key:string,value:binary>>"))
+    last = F.filter(
+        entries, lambda h, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == h["key"])
+    )
+    return F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+
+
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """A Kafka topic (needs Spark's Kafka package on the class path)."""
     raw = (
@@ -23,14 +31,10 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str
         .options(**options)
         .load()
     )
-    headers = F.transform(
-        F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
-    )
     return raw.select(
         "value",
         F.concat_ws("-", "topic", "partition", "offset").alias("message_id"),
-        F.map_from_entries(headers).alias("attributes"),
+        header_map(F.col("headers")).alias("attributes"),
         F.col("timestamp").alias("publish_time"),
     )
 
@@ -65,12 +69,11 @@ def read_source(
     raise ValueError(f"Unsupported job_mode: {mode}")
 
 
-def kafka_writer(values: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
-    """Write a stream with a ``value`` column to a topic."""
-    return (
-        values.select("value")
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )
+def write_topic(values: DataFrame, topic: str) -> None:
+    """Write the ``value`` column of a batch to a topic (``kafka:servers/topic``), else as text
+    files below a path. For use in ``foreachBatch`` as well."""
+    if topic.startswith("kafka:"):
+        servers, name = topic.removeprefix("kafka:").rsplit("/", 1)
+        values.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", name).save()
+    else:
+        values.select(F.col("value").cast("string")).write.mode("append").text(topic)

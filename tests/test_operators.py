@@ -272,3 +272,39 @@ def test_alert_runs(spark):
     series = spark.createDataFrame([(60 * i, v) for i, v in [(0, 9), (1, 9), (2, 1), (3, 9), (5, 9), (6, 9), (7, 9)]], "window_start long, v int")
     rows = metrics.alert_breaches(series, "v", 5, 120, 60).orderBy("breach_start").collect()
     assert [(r.breach_start, r.breach_end, r.windows) for r in rows] == [(0, 120, 2), (300, 480, 3)]
+
+
+def test_repeated_header_keys_keep_the_last_value(spark):
+    from sluice.sources.messages import header_map
+
+    df = spark.createDataFrame(
+        [([("a", b"1"), ("b", b"2"), ("a", b"3")],), ([],), (None,)], "headers array<struct<key:string,value:binary>>"
+    )
+    assert [r[0] for r in df.select(header_map(F.col("headers"))).collect()] == [{"b": "2", "a": "3"}, {}, {}]
+
+
+def test_default_below_an_object_changes_the_object(spark):
+    df = spark.createDataFrame([('{"city":"","zip":"1"}',), ("5",), ("null",)], "j string").withColumn("x", F.parse_json("j"))
+    event = EventFrame(df, {})
+    event.set("v", dynamic_field(F.col("x")))
+    event.flush()
+    casts.null_defaults(event, {"v.city": "Ulm"})
+    event.flush()
+    got = [json.loads(r[0]) for r in event.df.select(F.to_json(event.get("v").variant)).collect()]
+    assert got == [{"city": "Ulm", "zip": "1"}, {"city": "Ulm"}, {"city": "Ulm"}]
+
+
+def test_neighbouring_whole_numbers_are_told_apart(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big,), (big + 1,), (7,), (None,)], "n long")
+    event = EventFrame(df, {"n": typed("integer", F.col("n"))})
+    enrich.enrichment(event, [{"type": "static_lookup", "input_field": "n", "output_field": "o", "lookup": {big: "x", 7.0: "y"}}])
+    assert [r[0] for r in event.df.select(event.get("o").text()).collect()] == ["x", None, "y", None]
+
+
+def test_alert_runs_across_stretches(spark):
+    start = metrics.CHUNK_WINDOWS * 60 * 5
+    hot = [start + 60 * i for i in range(-3, 4)] + [start + 60 * i for i in (10, 20, 21)]
+    df = spark.createDataFrame([(w, 9) for w in hot], "window_start long, n long")
+    got = sorted(map(tuple, metrics.alert_breaches(df, "n", 5, 120, 60).select("breach_start", "windows").collect()))
+    assert got == [(start - 180, 7), (start + 1200, 2)]
