@@ -403,6 +403,12 @@ letters AS (
     o["event_counters"] = counters + " " + " UNION ALL ".join(
         f"SELECT '{n}' AS counter, CAST({e} AS BIGINT) AS value FROM all_rows" for n, e in lines.items()
     )
+    # Transform and validation come in the second query.
+    checks = {
+        n: e.replace("stage", "early") for n, e in lines.items()
+    }
+    o["stream_counters"] = f"""{counters}, early_rows AS (SELECT *, CASE WHEN stage IN ('validation', 'transform') THEN NULL ELSE stage END AS early
+      FROM all_rows) """ + " UNION ALL ".join(f"SELECT '{n}' AS counter, CAST({e} AS BIGINT) AS value FROM early_rows" for n, e in checks.items())
     lag = f"""{_CHAIN}, lg AS (SELECT CAST(floor(proc_s / 3600.0) AS BIGINT) * 3600 AS window_start,
       proc_s * 1000 - CAST(floor(us / 1000) AS BIGINT) AS lag FROM okt WHERE lateness <= 120 AND lateness >= 0 AND us > 999)"""
     o["lag_distribution"] = f"""{lag} SELECT window_start, count(*) AS lag_count, CAST(sum(lag) AS BIGINT) AS lag_sum,

@@ -165,15 +165,16 @@ def finish_merges(folders: Folders, target_path: str) -> None:
 
 
 def write_batch_once(rows: DataFrame, path: str, batch_id: int, partition: str | None = None) -> bool:
-    """Write a micro-batch to its own folder; a batch already complete is left alone.
+    """Write a micro-batch to its own folder; a batch already there is left alone.
 
-    Replays after a failure therefore neither repeat nor change rows.
+    The folder is written under a name that readers skip and then moved as a whole, so a reader
+    sees all of a batch or nothing, and a replay neither repeats nor changes rows.
     """
-    folder = f"{path}/batch_id={batch_id}"
-    if Folders(rows.sparkSession, path).exists(f"{folder}/_SUCCESS"):
+    folders, folder = Folders(rows.sparkSession, path), f"{path}/batch_id={batch_id}"
+    if folders.exists(folder):
         return False
-    writer = rows.write.mode("overwrite")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(folder)
+    staged = f"{path}/_staged/{batch_id}-{uuid.uuid4().hex}"
+    writer = rows.write.partitionBy(partition) if partition else rows.write
+    writer.parquet(staged)
+    folders.move(staged, folder)
     return True

@@ -128,6 +128,14 @@ def dedup_stream(spark: SparkSession, checked: DataFrame, buffer_seconds: float
     )
 
 
+def stream_counters(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Counters that the checking query wrote, over all its micro-batches."""
+    path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")
+    job = StreamingJob(spark, sample_config(), work_dir(spark, "stream"), processing_time=F.timestamp_seconds("proc_s"))
+    job.start_checks(file_messages(spark, path, schema), {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(job.counters).groupBy("counter").agg(F.sum("value").alias("value"))
+
+
 def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Both streaming queries over all messages; the final table is read back."""
     path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")

@@ -18,13 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import JobConfig
-from sluice.operators import decode, dedup, route, schema_guard
+from sluice.operators import decode, dedup, metrics, route, schema_guard
 from sluice.operators.transform import mapping_source
 from sluice.plans.stages import check_events, transform_and_validate
 from sluice.sources import archive, tables, targets
 from sluice.streaming.latest import PACKED, dedup_stream, pack, unpack
 
 
+# Window of the lag table that each micro-batch adds to.
+LAG_WINDOW_SEC = 60
+
+
 def needs_envelope(cfg: JobConfig) -> bool:
     """Whether a mapping reads envelope keys beyond the payload and the four standard ones."""
     sources = [mapping_source(s) or "" for s in (cfg.transformations.get("field_mapping") or {}).values()]
@@ -54,6 +58,7 @@ class StreamingJob:
         letters = f"{root}/{targets.letters_target(cfg.destination, cfg.backfill_settings, targets.STREAMING)}"
         self.letters, self.final_letters = f"{letters}/checks", f"{letters}/final"
         self.table = f"{root}/{targets.live_table(cfg.destination)}"
+        self.counters, self.lag = f"{root}/metrics/counters", f"{root}/metrics/lag"
         self.checkpoints = f"{root}/checkpoints"
 
     # -- query 1 ----------------------------------------------------------------------
@@ -63,7 +68,8 @@ class StreamingJob:
         now = self.processing_time
         if now is None:
             now = F.lit(datetime.datetime.now(datetime.timezone.utc))
-        decoded = decode.decode_messages(batch)
+        # Archive and checks both read it.
+        decoded = decode.decode_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         checked = check_events(decoded, self.cfg, streaming=True, processing_time=now)
         dedup_cfg = self.cfg.streaming_tuning.get("dedup") or {}
         if self.pre_reduce and dedup_cfg.get("mode", "single") != "none":
@@ -82,8 +88,12 @@ class StreamingJob:
             tables.write_batch_once(letters, self.letters, batch_id)
             packed = pack(route.accepted(checked), needs_envelope(self.cfg))
             tables.write_batch_once(packed, self.checked, batch_id)
+            tables.write_batch_once(metrics.event_counters(checked).coalesce(1), self.counters, batch_id)
+            lag = metrics.lag_distribution(checked.filter(route.ok()), LAG_WINDOW_SEC)
+            tables.write_batch_once(lag.coalesce(1), self.lag, batch_id)
         finally:
             checked.unpersist()
+            decoded.unpersist()
 
     def start_checks(self, messages: DataFrame, trigger: dict) -> StreamingQuery:
         return (

@@ -30,18 +30,21 @@ PACKED = T.StructType(
     ]
 )
 NAMES = PACKED.names
+# What the state of a key holds: its newest event, and when it has been quiet long enough.
+HELD = T.StructType([*PACKED.fields, T.StructField("deadline_ms", T.LongType())])
 ROUTED = T.StructType(
     [*PACKED.fields, T.StructField("route", T.StringType()), T.StructField("existing_us", T.LongType())]
 )
 
 
 class LatestEvent(StatefulProcessor):
-    """Value state with the newest event of the key, and one processing-time timer.
+    """Value state with the newest event of the key and its deadline, and one processing-time timer.
 
-    A strictly newer event replaces the buffered one and restarts the quiet period. An older
-    or equal one leaves with route ``dropped``. When the timer fires the buffered event
-    leaves with route ``main`` and the state is cleared, so a later event starts anew. Rows
-    are taken one by one; a key's rows are never held together.
+    A strictly newer event replaces the buffered one and moves the deadline. An older or equal
+    one leaves with route ``dropped``. A timer that fires before the deadline is set again for
+    it, so that an update costs no look at the timers; at the deadline the buffered event leaves
+    with route ``main`` and the state is cleared, so a later event starts anew. Rows are taken
+    one by one; a key's rows are never held together.
     """
 
     def __init__(self, buffer_seconds: float, max_state_age_sec: float, emit_superseded: bool):
@@ -51,13 +54,14 @@ class LatestEvent(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", PACKED)
+        self.latest = handle.getValueState("latest", HELD)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # get() gives None where the key has no state.
         held = self.latest.get()
         had_timer = held is not None
-        held_us = held[NAMES.index("event_us")] if held is not None else None
+        held = tuple(held)[: len(NAMES)] if had_timer else None
+        held_us = held[NAMES.index("event_us")] if had_timer else None
         changed = False
         for row in rows:
             us = row["event_us"]
@@ -72,16 +76,19 @@ class LatestEvent(StatefulProcessor):
             else:
                 yield self._out(tuple(row[n] for n in NAMES), "dropped", held_us)
         if changed:
-            self.latest.update(held)
-            if had_timer:
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.buffer_ms)
+            deadline = timerValues.getCurrentProcessingTimeInMs() + self.buffer_ms
+            self.latest.update((*held, deadline))
+            if not had_timer:
+                self.handle.registerTimer(deadline)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self.latest.get()
         if held is not None:
-            yield self._out(held, "main", None)
+            *event, deadline = held
+            if deadline > timerValues.getCurrentProcessingTimeInMs():
+                self.handle.registerTimer(deadline)
+                return
+            yield self._out(event, "main", None)
         self.latest.clear()
 
     def close(self) -> None:
