@@ -9,7 +9,7 @@ from sluice.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4)
+def spark(tmp_path_factory):
+    session = local_session(4, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield session
     session.stop()
