@@ -29,6 +29,7 @@ WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+LOWER = {b: b + 32 for b in range(65, 91)}
 # Fixed phrases of the contract and their labels.
 BASE_PHRASES = {
     "under the mit license": "mit",
@@ -182,7 +183,7 @@ def scan(text: str | None) -> tuple:
         labels.add(label)
     level = None
     if tags:
-        ends = [m.end() for m in WORDS.finditer(text)]
+        ends = [m.end() for m in WORDS.finditer(text.translate(LOWER))]
         n_tag = TAG.count(" ") + 1
         for start in tags:
             after = text[ends[flat.count(" ", 0, start) - 2 + n_tag] :]
