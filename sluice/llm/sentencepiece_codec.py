@@ -22,6 +22,7 @@ get equal ids, rows that repeat a doc_id are rows of their own, other columns ar
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,12 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm.common import table, text_slices
 
 SPACE = "▁"
+PUNCTUATION = string.punctuation
 CHUNK = re.compile(r"\n|\x20*[^\x20\n]+|\x20+")
 # Chunks whose ids a worker remembers, and bytes of chunks that one suffix array indexes.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 600_000
 INDEX_BYTES = 160_000
 # Neighbouring pieces whose fate a worker remembers, and text bytes that are encoded at once.
-CACHE_PAIRS = 400_000
+CACHE_PAIRS = 600_000
 PIECE_BYTES = 2 << 20
 # Bytes of a suffix that are sorted; of longer pieces the rest is compared.
 DEPTH = 16
@@ -67,6 +69,9 @@ class Vocabulary:
         self.unknown_id = model.unk_id()
         self.score = {t: model.get_score(i) for t, i in self.pieces.items()}
         self.chunked = not any(" " in t.lstrip(" ") or "\n" in t for t in self.pieces)
+        # Neighbours inside a piece; a text may be cut between any others.
+        self.inner = {t[i : i + 2] for t in self.pieces for i in range(len(t) - 1)}
+        self.alone: dict[int, bool] = {}
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
         # Search keys of all pieces, in the order of ``order``.
         self.order = np.array(sorted(self.pieces.values()))
@@ -101,7 +106,8 @@ class Vocabulary:
         return self._merges[piece]
 
     def stays(self, piece: int) -> bool:
-        return self.merges(piece) is not None
+        self.alone[piece] = found = self.merges(piece) is not None
+        return found
 
     def apart(self, left: int, right: int) -> bool:
         """Do two neighbouring pieces stay apart? Their merges run side by side, best score first,
@@ -204,7 +210,7 @@ def encode_chunks(v: Vocabulary, chunks: list[str]) -> list[bytes]:
     last = [none] * (len(data) + 1)
     for s in chunk_start.tolist():
         last[s] = start_mark
-    apart, known = v.apart, v._apart.get
+    apart, known, alone = v.apart, v._apart.get, v.alone.get
     for s, e, p in zip(begin.tolist(), end.tolist(), piece.tolist()):
         before = last[s]
         if before == none or last[e] != none:
@@ -212,7 +218,10 @@ def encode_chunks(v: Vocabulary, chunks: list[str]) -> list[bytes]:
         if p >= size:
             last[e] = p
         elif before < 0 or before >= size:
-            if v.stays(p):
+            ok = alone(p)
+            if ok is None:
+                ok = v.stays(p)
+            if ok:
                 last[e] = p
         else:
             ok = known(before * size + p)
@@ -247,6 +256,24 @@ class Encoder:
         self.v = vocabulary(path)
         self.known: dict[str, bytes] = {}
 
+    def learn(self, new: set[str]) -> None:
+        """Encode chunks; punctuation behind a word is cut off where no piece holds both."""
+        split = {}
+        for chunk in new:
+            head = chunk.rstrip(PUNCTUATION)
+            if head and len(head) < len(chunk) and chunk[len(head) - 1 : len(head) + 1] not in self.v.inner:
+                split[chunk] = head, chunk[len(head) :]
+        parts = new.difference(split).union(*split.values()).difference(self.known)
+        batch: list[str] = []
+        held = 0
+        for i, chunk in enumerate(parts, 1):
+            batch.append(chunk)
+            held += len(chunk)
+            if held >= INDEX_BYTES or i == len(parts):
+                self.known.update(zip(batch, encode_chunks(self.v, batch)))
+                batch, held = [], 0
+        self.known.update({c: self.known[h] + self.known[t] for c, (h, t) in split.items()})
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = CHUNK.findall if self.v.chunked else lambda t: [t]
         # The first word counts as one behind a space.
@@ -255,15 +282,7 @@ class Encoder:
         if len(self.known) > CACHE_CHUNKS:
             # Frequent chunks are in this piece as well.
             self.known = {c: self.known[c] for c in here.intersection(self.known)}
-        new = list(here.difference(self.known))
-        batch: list[str] = []
-        held = 0
-        for i, chunk in enumerate(new):
-            batch.append(chunk)
-            held += len(chunk)
-            if held >= INDEX_BYTES or i == len(new) - 1:
-                self.known.update(zip(batch, encode_chunks(self.v, batch)))
-                batch, held = [], 0
+        self.learn(here.difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
