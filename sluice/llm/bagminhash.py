@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result = folder.write(
         signed.join(copies, "copy", "left")
         .join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("id", F.coalesce("component", "rep", "id").alias("class_id")),
+        .select("id", F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("class_id")),
         "result",
     )
     folder.drop("signed", "copies", "reps", "met", "groups", "members", "sets")
