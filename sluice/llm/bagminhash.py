@@ -238,9 +238,11 @@ def tiles(reps: DataFrame, buckets: DataFrame, groups: DataFrame) -> DataFrame:
     plan = of_group.join(by_bucket, "component", "left").select(
         "component", "blocks", (F.col("docs") * F.col("blocks") > F.coalesce("bucket_rows", F.lit(0))).alias("split")
     )
+    # Here and below: sums are dealt anew before a join, so that the join may split a hot key.
+    plan = plan.repartition("component", "blocks")
     whole = groups.join(plan.filter("NOT split"), "component").select("id", F.struct(F.lit(-1).alias("band"), F.col("component").alias("key")).alias("domain"), "blocks")
     parts = in_bucket.select("id", "band", "key").join(
-        of_bucket.join(plan.filter("split").select("component"), "component", "left_semi").select("band", "key", "blocks"), ["band", "key"]
+        of_bucket.join(plan.filter("split").select("component"), "component", "left_semi").select("band", "key", "blocks").repartition("band", "key", "blocks"), ["band", "key"]
     ).select("id", F.struct("band", "key").alias("domain"), "blocks")
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     return (
@@ -298,7 +300,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    met = folder.write(buckets.join(shared.drop("high"), ["band", "key"]), "met")
+    shared = shared.select("band", "key", "low").repartition("band", "key", "low")
+    met = folder.write(buckets.join(shared, ["band", "key"]), "met")
     groups = folder.write(components(met.select(F.col("id").alias("a"), F.col("low").alias("b")), folder, "candidates"), "groups")
     members = folder.write(tiles(reps, met.select("id", "band", "key"), groups), "members")
     links = verified_links(rows.filter("id IS NOT NULL"), members, folder, similarity)

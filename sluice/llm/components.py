@@ -21,10 +21,11 @@ def components(links: DataFrame, folder: WorkFolder, name: str) -> DataFrame:
     edges, state = folder.write(edges, f"{name}-0"), None
     for i in range(1, MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
+        # Dealt anew, so that the join may split a hub's rows (they would stay with the aggregate).
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")).repartition("a", "low")
         large = both.join(low, "a").filter("b > a AND b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        small = large.join(least.repartition("a", "low"), "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         stars = small.unionByName(least.withColumnRenamed("low", "b")).distinct()
         edges = folder.write(stars, f"{name}-{i}")
         folder.drop(f"{name}-{i - 1}")
