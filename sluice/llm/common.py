@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import WorkFolder  # noqa: F401
+
 # Bytes of text that a Python worker handles at once; one longer text is handled alone.
 SLICE_BYTES = 4 << 20
 # Words are runs of anything but ASCII white space.
@@ -61,28 +62,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def word_count(text: Column) -> Column:
     """Words of a text as a long; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
-class WorkFolder:
-    """Tables that cut the lineage of a job, in the shared folder of ``spark.checkpoint.dir``.
-
-    Where the setting is absent (tests, one machine) the warehouse is used, which a cluster
-    shares as well. Executors can be lost at any time: a table written here stays.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        root = spark.conf.get("spark.checkpoint.dir", None) or (
-            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-        )
-        self.spark, self.path = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Delete tables that no later step reads."""
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
