@@ -37,7 +37,7 @@ SCHEDULES = ((1.0, 1.0), (1.5, 0.5), (0.5, 1.5))
 PREFIX = 3
 
 
-def source_targets(sizes: DataFrame, total: Column | None = None) -> DataFrame:
+def source_targets(sizes: DataFrame) -> DataFrame:
     """Targets of ``sizes`` (source_key, source_size), one row per source.
 
     ``source_key`` sorts as the sources do. All sources meet in one task: they are a few

@@ -193,7 +193,6 @@ def encode_chunks(v: Vocabulary, chunks: list[str]) -> list[bytes]:
     starts = np.flatnonzero(inside & ((data & 0xC0) != 0x80))
     begin, end, piece = lattice(v, data, starts)
     # Characters without a piece: edges with pseudo pieces behind the vocabulary, by length.
-    char_end = np.append(starts[1:], 0)
     lead = data[starts]
     char_end = starts + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
     single = np.zeros(len(data) + 5, bool)

@@ -48,7 +48,6 @@ def test_equals_brute_force_with_ties_and_odd_rows(spark):
 
 def test_large_values_few_rows_and_empty_table(spark):
     rows = [(0, [3000.0, -7.5], "", ""), (10, [-2999.0, 1.0], "", ""), (3, [0.001, 0.0], "", "")]
-    assert run(spark, rows) == plain([r[:2] for r in rows], 5, 10) or True
     got = run(spark, rows)
     assert [r[:3] for r in got] == [r[:3] for r in plain([r[:2] for r in rows], 5, 10)]
     assert run(spark, []) == []
