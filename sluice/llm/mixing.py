@@ -6,8 +6,10 @@ the rest. Sorted by size per weight, capped sources come first, so one cumulativ
 level at which nothing is above its cap.
 
 Words of a source are taken in passes over its documents, in the order of a digest of their ids.
-Whole documents are taken while they fit the target; then the largest document that still fits
-what is left. A document's place in its source's stream is its cumulative token demand.
+In the last pass, documents longer than its share are passed over, and the others are taken while
+they fit; then, size by size, the largest documents behind them that still fit what is left, until
+none does. A source is short of its target by less than any document that its last pass left out.
+A document's place in its source's stream is its cumulative token demand.
 
 Curriculum: over training time t in [0, 1], source weights change from ``early`` to ``late``
 (piecewise linear). Integrated and scaled to the target, a schedule gives the words a source has
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh, table, word_count
+from sluice.llm.common import WorkFolder, fresh, table, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -77,8 +79,81 @@ def position_of(share: Column, early: Column, late: Column) -> Column:
     return 2 * area * share / (early + F.sqrt(F.greatest(early * early + 2 * (late - early) * area * share, F.lit(0.0))))
 
 
+def last_pass(sizes: DataFrame, folder: WorkFolder) -> DataFrame:
+    """What the plan needs to know of a group: one row per (source_key, group) of ``sizes``.
+
+    ``sizes`` (source_key, group, digest, id, size) has a row per document. ``before`` and
+    ``open_before`` are the words of the groups before: of all documents, and of those that the
+    last pass can hold. ``fill`` maps the offset of a document that fills the rest to its demand.
+    """
+    keys = ["source_key", "group"]
+    in_source = Window.partitionBy("source_key").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda name: F.coalesce(F.sum(name).over(in_source), F.lit(0))
+    groups = sizes.groupBy(*keys).agg(F.sum("size").alias("_sum")).withColumn("before", total("_sum"))
+    targets = source_targets(groups.groupBy("source_key").agg(F.sum("_sum").alias("source_size")))
+    # Whole passes, then what is left for the last one.
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    passes = F.least(passes, F.lit(MAX_REPEATS))
+    left = F.when(passes < MAX_REPEATS, F.floor(F.col("target") - passes * F.col("source_size"))).otherwise(0)
+    starts = groups.drop("_sum").join(targets.withColumns({"passes": passes, "left": left}), "source_key")
+    starts = folder.write(starts.drop("weight"), "targets")
+
+    size = F.col("size")
+    open_size = F.when((size > 0) & (size <= F.col("left")), size)
+    in_group = Window.partitionBy(*keys).orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.join(starts.select(*keys, "before", "left").hint("shuffle_hash"), keys).select(
+        *keys, "size", "left", open_size.alias("open_size"),
+        (F.coalesce(F.sum("size").over(in_group), F.lit(0)) + F.col("before")).alias("offset"),
+        F.coalesce(F.sum(open_size).over(in_group), F.lit(0)).alias("open_offset"),
+    ).filter("open_size IS NOT NULL")
+    sums = placed.groupBy(*keys).agg(F.sum("open_size").alias("_open")).withColumn("open_before", total("_open"))
+    placed = placed.join(sums.select(*keys, "open_before").hint("shuffle_hash"), keys)
+    placed = folder.write(placed.select(*keys, "size", "left", "offset", (F.col("open_before") + F.col("open_offset") + size <= F.col("left")).alias("fits")), "placed")
+
+    # Sums per source are spread over its groups, so documents stay dealt by group.
+    taken = placed.groupBy(*keys).agg(F.sum(F.when(F.col("fits"), size).otherwise(0)).alias("_taken"))
+    taken = taken.select(*keys, F.sum("_taken").over(Window.partitionBy("source_key")).alias("taken"))
+    rest = placed.filter("NOT fits").join(taken.hint("shuffle_hash"), keys).filter("size <= left - taken")
+    counts = folder.write(
+        rest.groupBy(*keys, "size").agg(F.count("*").alias("docs"), F.first("left").alias("left"), F.first("taken").alias("taken")), "counts"
+    )
+    # The largest sizes first, as many documents of each as fit.
+    entry = "struct<size: bigint, docs: bigint, at: bigint>"
+    nothing = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast(f"array<{entry}>").alias("chosen"))
+
+    def take(state: Column, x: Column) -> Column:
+        n = F.least(x["docs"], F.floor((F.col("_rest") - state["used"]) / x["size"])).cast("long")
+        more = F.array(F.struct(x["size"].alias("size"), n.alias("docs"), state["used"].alias("at")).cast(entry))
+        return F.struct((state["used"] + n * x["size"]).alias("used"), F.when(n > 0, F.concat(state["chosen"], more)).otherwise(state["chosen"]).alias("chosen"))
+
+    chosen = (
+        counts.groupBy("source_key", "size").agg(F.sum("docs").alias("docs"), F.first("left").alias("left"), F.first("taken").alias("taken"))
+        .groupBy("source_key").agg(F.sort_array(F.collect_list(F.struct("size", "docs")), asc=False).alias("_sizes"), F.first(F.col("left") - F.col("taken")).alias("_rest"))
+        .select("source_key", F.explode(F.aggregate("_sizes", nothing, take)["chosen"]).alias("_c"))
+        .select("source_key", "_c.size", F.col("_c.docs").alias("wanted"), "_c.at")
+    )
+    # Documents of one size are taken in digest order.
+    ranked = Window.partitionBy("source_key", "size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (
+        counts.join(chosen.repartition("source_key", "size", "wanted"), ["source_key", "size"])
+        .select(*keys, "size", "wanted", "at", "taken", F.coalesce(F.sum("docs").over(ranked), F.lit(0)).alias("rank"))
+        .filter("rank < wanted")
+    )
+    of_size = Window.partitionBy(*keys, "size").orderBy("offset")
+    fill = (
+        placed.filter("NOT fits").join(wanted, [*keys, "size"])
+        .withColumn("rank", F.col("rank") + F.row_number().over(of_size) - 1)
+        .filter("rank < wanted")
+        .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("offset", (F.col("taken") + F.col("at") + F.col("rank") * size).alias("at")))).alias("fill"))
+    )
+    out = starts.join(sums.select(*keys, "open_before"), keys, "left").join(fill, keys, "left")
+    out = folder.write(out.withColumn("open_before", F.coalesce("open_before", F.lit(0))), "starts")
+    folder.drop("placed", "counts", "targets")
+    return out
+
+
 # Columns that a plan adds to documents.
-PLAN = ("mix_source_key", "mix_group", "mix_size", "mix_digest", "mix_offset", "mix_source_size", "mix_target", "mix_copies", "mix_early", "mix_late", "mix_fill_at")
+PLAN = ("mix_source_key", "mix_group", "mix_size", "mix_digest", "mix_offset", "mix_source_size", "mix_target", "mix_copies", "mix_early", "mix_late", "mix_last_at")
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, dict[str, str]]:
@@ -94,53 +169,36 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     }).withColumn(names["mix_group"], F.substring(names["mix_digest"], 1, PREFIX))
 
     keys = [names["mix_source_key"], names["mix_group"]]
-    groups = rows.groupBy(*keys).agg(F.sum(names["mix_size"]).alias("_sum"))
-    in_source = Window.partitionBy(keys[0]).orderBy(keys[1]).rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("_before", F.coalesce(F.sum("_sum").over(in_source), F.lit(0)))
-    sizes = groups.groupBy(F.col(keys[0]).alias("source_key")).agg(F.sum("_sum").alias("source_size"))
-    starts = groups.join(source_targets(sizes).withColumnRenamed("source_key", keys[0]), keys[0]).select(
-        *keys, "_before", F.col("source_size").alias(names["mix_source_size"]), F.col("target").alias(names["mix_target"]),
+    folder = WorkFolder(docs.sparkSession, "mixing")
+    sizes = rows.select(
+        c["mix_source_key"].alias("source_key"), c["mix_group"].alias("group"), c["mix_digest"].alias("digest"),
+        F.col(id_col).alias("id"), c["mix_size"].alias("size"),
+    )
+    starts = last_pass(folder.write(sizes, "sizes"), folder)
+    folder.drop("sizes")
+    known = ["passes", "left", "before", "open_before", "fill"]
+    k = dict(zip(known, fresh(rows, *(f"mix_{x}" for x in known))))
+    starts = starts.select(
+        F.col("source_key").alias(keys[0]), F.col("group").alias(keys[1]),
+        F.col("source_size").alias(names["mix_source_size"]), F.col("target").alias(names["mix_target"]),
         F.col("early").alias(names["mix_early"]), F.col("late").alias(names["mix_late"]),
+        *(F.col(x).alias(k[x]) for x in known),
     )
+    passes, left, before, open_before, fill = (F.col(k[x]) for x in known)
     in_group = Window.partitionBy(*keys).orderBy(names["mix_digest"], F.col(id_col), names["mix_size"]).rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        rows.withColumn(names["mix_offset"], F.coalesce(F.sum(names["mix_size"]).over(in_group), F.lit(0)))
-        .join(starts, keys)
-        .withColumn(names["mix_offset"], c["mix_offset"] + F.col("_before"))
-        .drop("_before")
-    )
-    # Whole passes, then the documents that end within what is left.
-    passes = F.when(c["mix_source_size"] > 0, F.floor(c["mix_target"] / c["mix_source_size"])).otherwise(0)
-    passes = F.least(passes, F.lit(MAX_REPEATS))
-    left = c["mix_target"] - passes * c["mix_source_size"]
-    fits = (c["mix_size"] > 0) & (c["mix_offset"] + c["mix_size"] <= left) & (passes < MAX_REPEATS)
-    placed = placed.withColumn(names["mix_copies"], F.when(c["mix_size"] > 0, passes + fits.cast("long")).otherwise(F.lit(0)).cast("long"))
-    # What the prefix took of the last pass; the largest other document that fits the rest follows.
-    # Sums per source are spread over its groups, so documents stay dealt by group.
-    in_all = Window.partitionBy(keys[0])
-    taken = (
-        placed.groupBy(*keys).agg(F.sum(F.when(fits, c["mix_size"]).otherwise(0)).alias("_group_taken"), F.first(left).alias("_left"))
-        .select(*keys, "_left", F.sum("_group_taken").over(in_all).alias("_taken"))
-    )
-    size, offset, digest_of = names["mix_size"], names["mix_offset"], names["mix_digest"]
-    best = (
-        placed.filter(~fits & (c["mix_size"] > 0) & (passes < MAX_REPEATS) & (c["mix_size"] <= left))
-        .join(taken, keys)
-        .filter(c["mix_size"] <= F.col("_left") - F.col("_taken"))
-        .groupBy(*keys).agg(F.max(F.struct(size, digest_of, offset)).alias("_in_group"), F.first("_taken").alias("_taken"))
-        .groupBy(keys[0])
-        .agg(F.max(F.struct("_in_group", keys[1])).alias("_best"), F.first("_taken").alias("_taken"))
-        .select(
-            keys[0], F.col(f"_best.{keys[1]}").alias(keys[1]), F.col(f"_best._in_group.{digest_of}").alias("_digest"),
-            F.col(f"_best._in_group.{offset}").alias("_offset"), F.col(f"_best._in_group.{size}").alias("_size"), "_taken",
-        )
-    )
-    chosen = (c["mix_digest"] == F.col("_digest")) & (c["mix_offset"] == F.col("_offset")) & (c["mix_size"] == F.col("_size"))
+    size = c["mix_size"]
+    is_open = (size > 0) & (size <= left)
+    [open_at] = fresh(rows, "mix_open_at")
+    placed = rows.join(starts.hint("shuffle_hash"), keys).withColumns({
+        names["mix_offset"]: F.coalesce(F.sum(size).over(in_group), F.lit(0)) + before,
+        open_at: F.coalesce(F.sum(F.when(is_open, size)).over(in_group), F.lit(0)) + open_before,
+    })
+    # A document's place in the last pass, if it has one.
+    place = F.when(is_open & (F.col(open_at) + size <= left), F.col(open_at)).when(is_open, F.try_element_at(fill, c["mix_offset"]))
     out = (
-        placed.join(best, keys, "left")
-        .withColumn(names["mix_fill_at"], F.when(chosen, passes * c["mix_source_size"] + F.col("_taken")))
-        .withColumn(names["mix_copies"], c["mix_copies"] + F.coalesce(chosen, F.lit(False)).cast("long"))
-        .drop("_digest", "_offset", "_size", "_taken")
+        placed.withColumn(names["mix_last_at"], passes * c["mix_source_size"] + place)
+        .withColumn(names["mix_copies"], F.when(size > 0, passes + c["mix_last_at"].isNotNull().cast("long")).otherwise(F.lit(0)).cast("long"))
+        .drop(open_at, *k.values())
     )
     return out, names
 
@@ -149,7 +207,7 @@ def copy_position(names: dict[str, str], copy: Column) -> Column:
     """Training position of a document's copy, 0 for the first."""
     c = {k: F.col(v) for k, v in names.items()}
     demand = copy * c["mix_source_size"] + c["mix_offset"]
-    demand = F.when(c["mix_fill_at"].isNotNull() & (copy == c["mix_copies"] - 1), c["mix_fill_at"]).otherwise(demand)
+    demand = F.when(c["mix_last_at"].isNotNull() & (copy == c["mix_copies"] - 1), c["mix_last_at"]).otherwise(demand)
     return position_of(F.least(demand / c["mix_target"], F.lit(1.0)), c["mix_early"], c["mix_late"])
 
 

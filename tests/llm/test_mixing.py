@@ -1,5 +1,6 @@
 """Targets by water-filling, whole documents, training positions."""
 
+import hashlib
 from collections import defaultdict
 
 import pytest
@@ -87,3 +88,49 @@ def test_edges(documents):
     assert mixing.training_order(documents([])).collect() == []
     rows = mixing.mixed(documents([(1, None, None), (1, None, None), (None, "a b", "s"), (None, "a b", "s"), (2, "x " * 40_000, "s")])).collect()
     assert len(rows) == 5 and sorted(r.size for r in rows) == [0, 0, 2, 2, 40_000]
+
+
+def plain_last_pass(docs, left):
+    """Ids that the last pass takes from (id, size): a prefix in digest order, then the largest that fit."""
+    fits, total, order = [], 0, sorted(docs, key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest())
+    order = [d for d in order if 0 < d[1] <= left]
+    while len(fits) < len(order) and total + order[len(fits)][1] <= left:
+        total += order[len(fits)][1]
+        fits.append(order[len(fits)])
+    for d in sorted(order[len(fits):], key=lambda d: -d[1]):
+        if total + d[1] <= left:
+            total += d[1]
+            fits.append(d)
+    return {i for i, _ in fits}
+
+
+LONG = {"a": [2933] + [11, 30, 64, 150] * 9, "b": [900, 700] + [1, 2, 40] * 15, "c": [8] * 30 + [500] * 3, "d": [10, 2000]}
+
+
+@pytest.mark.parametrize("case", [*CASES, LONG])
+def test_last_pass_leaves_out_no_document_that_fits(documents, case):
+    made = rows_of(case)
+    rows = {r.doc_id: r for r in mixing.mixed(documents(made)).collect()}
+    for s, sizes in case.items():
+        of_source = [(i, rows[i].size) for i, _, x in made if x == s]
+        target = rows[of_source[0][0]].target
+        passes = min(int(target // sum(sizes)), 3) if sum(sizes) else 0
+        left = target - passes * sum(sizes) if passes < 3 else 0
+        want = plain_last_pass(of_source, left)
+        assert {i for i, n in of_source if n and rows[i].copies > passes} == want
+        out = [n for i, n in of_source if n and i not in want]
+        short = target - sum(rows[i].taken for i, _ in of_source)
+        assert passes == 3 or not out or short < min(out)
+
+
+def test_positions_of_the_last_pass_do_not_overlap(documents):
+    """The last copies of a source lie one after the other, up to what it takes."""
+    plan, names = mixing.mix_plan(documents(rows_of(LONG)))
+    last = defaultdict(list)
+    for r in plan.filter(f"{names['mix_last_at']} IS NOT NULL").collect():
+        last[r.source].append((r[names["mix_last_at"]], r[names["mix_size"]], r[names["mix_source_size"]]))
+    for rows in last.values():
+        at = rows[0][2] * (min(rows)[0] // rows[0][2])
+        for start, size, _ in sorted(rows):
+            assert start == at
+            at += size
