@@ -15,28 +15,27 @@ links than it has documents. A chain of many small buckets is compared bucket by
 that takes fewer rows; both ways are exact. Texts of similarity 0.8 or more, directly or by others, are
 one class, named by its smallest doc_id.
 
-Exact copies meet by a digest of their text first, and one of them stands for all, so a copy
-group of any size costs one signature. Narrow tables in the shared work folder cut the lineage;
-texts are shuffled once.
+Exact copies meet by a digest of their text first, and one of them stands for all. What is compared
+and linked are distinct texts, numbered, not ids: rows that share an id stay apart unless their texts
+are similar. Narrow tables in the shared work folder cut the lineage; texts are shuffled once.
 
 Rows with equal texts are one class, also texts without words that are equal. A NULL text is in
-no class but its own. Rows that repeat a doc_id have a class each; if such rows are the first of
-two classes, these become one. A NULL doc_id takes no part and has no class. Other columns are
-never read. An empty table gives no rows.
+no class but its own. Rows that repeat a doc_id have a class each, by their texts; two classes whose
+smallest doc_id is the same bear the same name. A NULL doc_id links texts like others, but is given no
+class name. Other columns are never read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WorkFolder, table, text_slices
+from sluice.llm.common import WorkFolder, fresh, table, text_slices
 from sluice.llm.components import components
 
 SHINGLE = 5
@@ -148,20 +147,29 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return mix((bits * PLACES[:ROWS]).sum(axis=2) + STEP * np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
 
 
+def digest(text: Column) -> Column:
+    """128 bits that stand for a text; NULL for NULL."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
+def row_key(doc_id: Column) -> Column:
+    """An id as a key that is never NULL."""
+    return F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))
+
+
 def sign(docs: DataFrame) -> DataFrame:
-    """(id, copy, n, bands) of each row of ``docs`` (id, text): text digest, shingles, band keys."""
+    """(id, copy, n, bands) of each row of ``docs`` (id, copy, text): shingles, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            texts = part.column("text").to_pylist()
-            sets = [shingles(t) for t in texts]
+            sets = [shingles(t) for t in part.column("text").to_pylist()]
             keys = band_keys(signatures(sets))
             sizes = np.array([len(s) for s in sets], np.int64)
             offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
-                    pa.array([None if t is None else hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts], pa.binary()),
+                    part.column("copy"),
                     pa.array(sizes),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[sizes > 0].reshape(-1))),
                 ],
@@ -252,9 +260,13 @@ def tiles(reps: DataFrame, buckets: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def verified_links(docs: DataFrame, members: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
+def verified_links(docs: DataFrame, copies: DataFrame, members: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join all similar documents of each tile."""
-    needed = members.select("id").distinct()
+    needed = copies.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", "copy", "rep")
+    # Texts of rows without an id are brought together by digest; those are few, or else copies.
+    with_id = docs.filter("id IS NOT NULL").join(needed.withColumnRenamed("rep", "id"), ["id", "copy"]).select(F.col("node").alias("id"), "text")
+    without = docs.filter("id IS NULL AND text IS NOT NULL").groupBy("copy").agg(F.first("text").alias("text"))
+    without = without.join(needed.filter("rep IS NULL"), "copy").select(F.col("node").alias("id"), "text")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -278,7 +290,7 @@ def verified_links(docs: DataFrame, members: DataFrame, folder: WorkFolder, simi
         a, b = zip(*found) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    sets = docs.join(needed, "id", "left_semi").filter("text IS NOT NULL").mapInArrow(to_sets, "id long, set binary")
+    sets = with_id.unionByName(without).mapInArrow(to_sets, "id long, set binary")
     sets = folder.write(sets.distinct(), "sets")
     keys = ["band", "key", "i", "j"]
     dealt = (
@@ -287,16 +299,24 @@ def verified_links(docs: DataFrame, members: DataFrame, folder: WorkFolder, simi
     return dealt.mapInArrow(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(id, class_id) of every row of ``docs``."""
+def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame, WorkFolder]:
+    """Rows of ``docs`` as (id, copy), and (copy, class_id, stays) of every distinct text.
+
+    The class is NULL where no row of it has an id. ``stays`` marks one text of each class, the
+    smallest digest of those under its smallest id.
+    """
     spark = docs.sparkSession
     folder = WorkFolder(spark, "near_duplicates")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), digest(F.col(text_col)).alias("copy"))
     signed = folder.write(sign(rows), "signed")
-    known = signed.filter("id IS NOT NULL AND copy IS NOT NULL")
-    copies = folder.write(known.groupBy("copy").agg(F.min("id").alias("rep")), "copies")
+    known = signed.filter("copy IS NOT NULL")
+    # Numbers of distinct texts are fixed once they are written.
+    copies = known.groupBy("copy").agg(F.min("id").alias("rep"))
+    copies = folder.write(copies.withColumn("node", F.monotonically_increasing_id()), "copies")
+    # One row stands for a text, however many repeat its id.
+    one = known.filter("n > 0").withColumn("key", row_key(F.col("id"))).groupBy("copy", "key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
     reps = folder.write(
-        known.filter("n > 0").join(copies.withColumnRenamed("rep", "id"), ["copy", "id"], "left_semi").select("id", "n", "bands"), "reps"
+        one.join(copies.withColumn("key", row_key(F.col("rep"))), ["copy", "key"]).select(F.col("node").alias("id"), "n", "bands"), "reps"
     )
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
@@ -304,27 +324,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = folder.write(buckets.join(shared, ["band", "key"]), "met")
     groups = folder.write(components(met.select(F.col("id").alias("a"), F.col("low").alias("b")), folder, "candidates"), "groups")
     members = folder.write(tiles(reps, met.select("id", "band", "key"), groups), "members")
-    links = verified_links(rows.filter("id IS NOT NULL"), members, folder, similarity)
+    links = verified_links(rows, copies, members, folder, similarity)
     classes = components(links, folder, "classes")
+    joined = folder.write(
+        copies.join(classes.withColumnRenamed("id", "node"), "node", "left").select("copy", "rep", F.coalesce("component", "node").alias("component")),
+        "joined",
+    )
+    # The smallest id and a text under it name a class; ids go before rows without one.
+    first = joined.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "copy")).alias("first"))
+    first = first.select("component", F.col("first.rep").alias("class_id"), F.col("first.copy").alias("first")).repartition("component", "first")
+    texts = folder.write(
+        joined.join(first, "component").select("copy", "class_id", (F.col("copy") == F.col("first")).alias("stays")), "texts"
+    )
+    folder.drop("copies", "reps", "met", "groups", "members", "sets", "joined")
+    return signed.select("id", "copy"), texts, folder
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """(id, class_id) of every row of ``docs``."""
+    signed, texts, folder = classified(docs, id_col, text_col, similarity)
     result = folder.write(
-        signed.join(copies, "copy", "left")
-        .join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("id", F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("class_id")),
-        "result",
+        signed.join(texts, "copy", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id")), "result"
     )
-    folder.drop("signed", "copies", "reps", "met", "groups", "members", "sets")
+    folder.drop("signed", "texts")
     return result.withColumnRenamed("id", id_col)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without near-duplicates: of each class the row with the smallest id stays.
+    """The documents without near-duplicates: of each class one row stays, with the smallest id.
 
-    Rows without an id stay. Of rows that repeat the staying id, one does.
+    Of texts of a class that share this id, the one with the smallest digest stays; of equal rows,
+    one. A class without any id keeps one row. NULL texts stay, once per id, and all without an id.
     """
-    classes = near_duplicates(docs, id_col, text_col, similarity)
-    keep = classes.filter(F.col(id_col) == F.col("class_id")).select(id_col).distinct()
-    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    _, texts, folder = classified(docs, id_col, text_col, similarity)
+    key, copy = fresh(docs, "near_key", "near_copy")
+    keyed = docs.withColumns({key: row_key(F.col(id_col)), copy: digest(F.col(text_col))})
+    keep = texts.filter("stays").select(row_key(F.col("class_id")).alias(key), F.col("copy").alias(copy))
+    kept = keyed.filter(F.col(text_col).isNotNull()).join(keep, [key, copy], "left_semi").dropDuplicates([key, copy])
+    blank = docs.filter(F.col(text_col).isNull())
+    blank_once = blank.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+    folder.drop("signed")
+    return kept.select(*docs.columns).unionByName(blank_once).unionByName(blank.filter(F.col(id_col).isNull()))
 
 
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

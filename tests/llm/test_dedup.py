@@ -92,6 +92,34 @@ def test_repeated_rows_and_empty_table(spark, documents):
     assert bagminhash.near_duplicates(documents([])).collect() == []
 
 
+A = "one river ran past the old mill and people came to see it every single day of that long and warm year"
+NEAR = " ".join([A] * 3 + ["end"])
+FAR = "quite other words stand here and nothing of them is found in any of the texts that came before this one"
+
+
+def test_texts_under_one_id_stay_apart(spark, documents):
+    """Neither a shared id nor a near copy of one of its texts takes the other text along."""
+    got = sorted(r.text for r in bagminhash.one_of_each(documents([(5, A, "s"), (5, FAR, "s")])).collect())
+    assert got == sorted([A, FAR])
+    rows = [(5, " ".join([A] * 3), "s"), (5, FAR, "s"), (1, NEAR, "s")]
+    assert sorted((r.doc_id, r.class_id) for r in bagminhash.near_duplicates(documents(rows)).collect()) == [(1, 1), (5, 1), (5, 5)]
+    assert sorted((r.doc_id, r.text) for r in bagminhash.one_of_each(documents(rows)).collect()) == [(1, NEAR), (5, FAR)]
+
+
+def test_rows_without_an_id_are_compared(spark, documents):
+    rows = [(None, " ".join([A] * 3), "s")] * 3 + [(None, NEAR, "s"), (None, FAR, "s"), (None, None, "s"), (None, None, "s"), (0, FAR, "s"), (4, None, "s")]
+    kept = [(r.doc_id, r.text) for r in bagminhash.one_of_each(documents(rows)).collect()]
+    assert len(kept) == 5 and sum(i is None and t in (" ".join([A] * 3), NEAR) for i, t in kept) == 1
+    assert Counter(x for x in kept if x[0] is not None or x[1] is None) == {(0, FAR): 1, (4, None): 1, (None, None): 2}
+
+
+def test_many_repeats_of_a_row_are_one_class(spark, documents):
+    rows = [(5, " ".join([A] * 3), "s")] * 200 + [(6, NEAR, "s")]
+    made = documents(rows)
+    assert Counter(r.class_id for r in bagminhash.near_duplicates(made).collect()) == {5: 201}
+    assert [(r.doc_id, r.text) for r in bagminhash.one_of_each(made).collect()] == [rows[0][:2]]
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b c d e f", 5, b"x"), (2, "a b c d e f", 6, b"y")], "doc_id int, text string, class_id int, copy binary")
     assert sorted((r.doc_id, r.class_id) for r in bagminhash.near_duplicates(df).collect()) == [(1, 1), (2, 1)]
