@@ -137,5 +137,51 @@ FROM typed
 """
 
 
+OP12 = """
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS i, vec_id, label::VARCHAR AS label, embedding::DOUBLE[] AS v FROM embeddings),
+valid AS (
+  SELECT * FROM r WHERE label IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+scaled AS (SELECT i, vec_id, label, list_transform(v, lambda x: x / list_max(list_transform(v, lambda y: abs(y)))) AS v FROM valid),
+unit AS (SELECT i, vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM scaled),
+links AS (
+  SELECT a.i AS a, b.i AS b FROM unit a JOIN unit b ON a.label = b.label AND a.i <> b.i
+  WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))) / (a.n * b.n) >= 0.98
+),
+reach(a, b) AS (SELECT i, i FROM r UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+lowest AS (SELECT reach.a AS i, min(r.vec_id) AS component_id FROM reach JOIN r ON r.i = reach.b GROUP BY reach.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = r.i)::BIGINT AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM r JOIN lowest USING (i)
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT row_number() OVER () AS i, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.i AS anchor, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+positive AS (
+  SELECT anchor, anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, positive_id, rank, other AS negative_id, positive_score, score AS negative_score FROM (
+  SELECT p.*, s.other, s.score, row_number() OVER (PARTITION BY p.anchor, positive_id ORDER BY s.score DESC, s.other)::INTEGER AS rank
+  FROM positive p JOIN scored s USING (anchor)
+  WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+) AS p WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op3_topk": OP3, "op6_mixing": OP6, "op9_warc": OP9}
+    return {
+        "op1_quality_rules": OP1, "op3_topk": OP3, "op6_mixing": OP6, "op9_warc": OP9, "op12_vector_dedup": OP12, "op13_hard_negatives": OP13,
+    }

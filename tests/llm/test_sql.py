@@ -34,6 +34,9 @@ CONTRACT = {
     "op8_sentencepiece": "doc_id n_tokens ids",
     "op9_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op10_token_records": "doc_id start n_tokens ids_crc32",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_vector_dedup": "vec_id n_links component_id kept",
+    "op13_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
