@@ -8,12 +8,13 @@ it are split off. The first point of each component is its signature value, so t
 in a component with the probability of their weighted Jaccard similarity. Points are drawn
 until the latest first point of the text is passed, which needs few points per shingle.
 
-``BANDS`` bands of ``ROWS`` values link candidates: a pair of similarity 0.8 meets in a band with
-probability 0.99995. Documents that meet directly or by others form a candidate group. All pairs of a group
-are compared exactly, in tiles of two blocks of documents that a task holds at a time; a tile passes on no more
-links than it has documents. A chain of many small buckets is compared bucket by bucket, where
-that takes fewer rows; both ways are exact. Texts of similarity 0.8 or more, directly or by others, are
-one class, named by its smallest doc_id.
+``BANDS`` bands of ``ROWS`` values make candidates: texts that share a bucket, whatever its size; a pair of
+similarity 0.8 does with probability 0.99995. Texts of similarity 0.8 or more that share a bucket, directly
+or by others, are one class, named by its smallest doc_id. In rounds, each text is compared exactly with one
+pivot of its buckets (the smallest by a hash of the round) and classes are contracted; buckets that lie
+within one class drop out. What rounds no longer halve is compared in tiles: of a bucket, texts outside its largest class
+against all texts of other classes. So a group of near copies costs a comparison per text and
+round, not per pair, and every candidate pair is compared or already in one class.
 
 Exact copies meet by a digest of their text first, and one of them stands for all. What is compared
 and linked are distinct texts, numbered, not ids: rows that share an id stay apart unless their texts
@@ -46,6 +47,8 @@ SIZE = BANDS * ROWS
 BLOCK_DOCS = 96
 BLOCK_SHINGLES = 200_000
 CACHE_WORDS = 500_000
+# Rounds of pivots; each one but the last halves what is left to compare.
+MAX_ROUNDS = 64
 # Odd multipliers of the hash mixes.
 STEP, M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 PLACES = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
@@ -204,11 +207,33 @@ def similar_pairs(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray,
     return np.argwhere(np.triu(allowed & (both >= similarity * together - 1e-6), 1))
 
 
-def tile_links(ids: list[int], sets: list[np.ndarray], blocks: list[int], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest of the similar pairs of a tile: within one block, or between its two."""
-    block = np.array(blocks)
-    first, second = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-    root = list(range(len(ids)))
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets overlap enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "set_a"):
+            keep = []
+            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                # The shorter one holds enough only if it is long enough.
+                likely = min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-6
+                both = len(np.intersect1d(x, y, assume_unique=True)) if likely else 0
+                keep.append(likely and both >= similarity * (len(x) + len(y) - both) - 1e-6)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    # Dealt by both ids, so that the second join may split a common pivot.
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b"
+    )
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def tile_links(ids: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the similar pairs, of different classes, of the rows ``first`` with the others.
+
+    A text may stand on both sides.
+    """
+    root = {c: c for c in classes.tolist()}
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -216,53 +241,76 @@ def tile_links(ids: list[int], sets: list[np.ndarray], blocks: list[int], simila
         return x
 
     out = []
-    for a, b in similar_pairs(sets, first, second, similarity).tolist():
-        x, y = find(a), find(b)
+    for a, b in similar_pairs(sets, np.flatnonzero(first), np.flatnonzero(~first), similarity).tolist():
+        x, y = find(classes[a]), find(classes[b])
         if x != y:
             root[max(x, y)] = min(x, y)
-            if ids[a] != ids[b]:
-                out.append((ids[a], ids[b]))
+            out.append((int(ids[a]), int(ids[b])))
     return out
 
 
-def n_blocks(docs: str, n_shingles: str):
-    """Blocks of a group, from its numbers of documents and shingles."""
-    return F.greatest(F.ceil(F.col(docs) / BLOCK_DOCS), F.ceil(F.col(n_shingles) / BLOCK_SHINGLES), F.lit(1)).cast("long")
+def n_blocks(docs: Column, n_shingles: Column) -> Column:
+    """Blocks of a side, from its numbers of documents and shingles."""
+    return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(n_shingles / BLOCK_SHINGLES), F.lit(1)).cast("long")
 
 
-def tiles(reps: DataFrame, buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """(id, domain, i, j, block): each document of a candidate group once per tile of its block.
+def tiles(live: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(band, key, i, j, first, id, component) of ``live`` (band, key, id, component): both sides of each tile.
 
-    A domain is a candidate group, or each bucket of it where the buckets make fewer rows.
+    The first side holds a bucket's texts outside its largest class, the second one all of them. Here
+    and elsewhere sums are dealt anew before a join, so that the join may split a hot key.
     """
-    sized = groups.join(reps.groupBy("id").agg(F.sum("n").alias("n")), "id")
-    of_group = sized.groupBy("component").agg(F.count("id").alias("docs"), F.sum("n").alias("n")).withColumn("blocks", n_blocks("docs", "n"))
-    in_bucket = buckets.join(sized, "id")
-    of_bucket = (
-        in_bucket.groupBy("band", "key").agg(F.count("id").alias("docs"), F.sum("n").alias("n"), F.min("component").alias("component"))
-        .filter("docs > 1").withColumn("blocks", n_blocks("docs", "n"))
-    )
-    by_bucket = of_bucket.groupBy("component").agg(F.sum(F.col("docs") * F.col("blocks")).alias("bucket_rows"))
-    plan = of_group.join(by_bucket, "component", "left").select(
-        "component", "blocks", (F.col("docs") * F.col("blocks") > F.coalesce("bucket_rows", F.lit(0))).alias("split")
-    )
-    # Here and below: sums are dealt anew before a join, so that the join may split a hot key.
-    plan = plan.repartition("component", "blocks")
-    whole = groups.join(plan.filter("NOT split"), "component").select("id", F.struct(F.lit(-1).alias("band"), F.col("component").alias("key")).alias("domain"), "blocks")
-    parts = in_bucket.select("id", "band", "key").join(
-        of_bucket.join(plan.filter("split").select("component"), "component", "left_semi").select("band", "key", "blocks").repartition("band", "key", "blocks"), ["band", "key"]
-    ).select("id", F.struct("band", "key").alias("domain"), "blocks")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    return (
-        whole.unionByName(parts)
-        .select("id", "domain", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-        .select("id", "domain", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    bucket = ["band", "key"]
+    sized = live.join(sizes, "id")
+    by_class = sized.groupBy(*bucket, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    plan = by_class.groupBy(*bucket).agg(
+        F.max(F.struct("docs", "n", "component")).alias("top"), F.sum("docs").alias("docs"), F.sum("n").alias("n")
     )
+    plan = plan.select(
+        *bucket, F.col("top.component").alias("top"), n_blocks(F.col("docs"), F.col("n")).alias("nj"),
+        n_blocks(F.col("docs") - F.col("top.docs"), F.col("n") - F.col("top.n")).alias("ni"),
+    ).repartition(*bucket, "top")
+    placed = live.join(plan, bucket)
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    keep = [*bucket, "i", "j", "first", "id", "component"]
+    strays = placed.filter("component <> top").withColumns({"i": block("ni"), "first": F.lit(True)}).withColumn("j", every("nj"))
+    everyone = placed.withColumns({"j": block("nj"), "first": F.lit(False)}).withColumn("i", every("ni"))
+    return strays.select(*keep).unionByName(everyone.select(*keep))
+
+
+def tile_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all similar texts of each tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held, found = None, [], []
+
+        def close() -> None:
+            ids, classes, first, raw = zip(*held)
+            if any(first) and not all(first):
+                found.extend(tile_links(np.array(ids), np.array(classes), [np.frombuffer(r, np.uint64) for r in raw], np.array(first), similarity))
+
+        for batch in text_slices(batches, "set"):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "i", "j", "id", "component", "first", "set")))
+            for *where, doc, component, first, raw in rows:
+                if where != tile:
+                    if held:
+                        close()
+                    tile, held = where, []
+                held.append((doc, component, first, raw))
+        if held:
+            close()
+        a, b = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
+    keys = ["band", "key", "i", "j"]
+    dealt = members.join(sets, "id").select(*keys, "id", "component", "first", "set").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, "a long, b long")
 
-def verified_links(docs: DataFrame, copies: DataFrame, members: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) that join all similar documents of each tile."""
-    needed = copies.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", "copy", "rep")
+
+def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, set) of the texts ``ids``: the multiset of their shingles as a set."""
+    needed = copies.join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "copy", "rep")
     # Texts of rows without an id are brought together by digest; those are few, or else copies.
     with_id = docs.filter("id IS NOT NULL").join(needed.withColumnRenamed("rep", "id"), ["id", "copy"]).select(F.col("node").alias("id"), "text")
     without = docs.filter("id IS NULL AND text IS NOT NULL").groupBy("copy").agg(F.first("text").alias("text"))
@@ -273,30 +321,44 @@ def verified_links(docs: DataFrame, copies: DataFrame, members: DataFrame, folde
             sets = [occurrences(shingles(t)).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, ids, sets, blocks, found = None, [], [], [], []
-        for batch in text_slices(batches, "set"):
-            rows = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "i", "j", "id", "set", "block")))
-            for *where, doc, raw, block in rows:
-                if where != tile:
-                    if len(ids) > 1:
-                        found += tile_links(ids, sets, blocks, similarity)
-                    tile, ids, sets, blocks = where, [], [], []
-                ids.append(doc)
-                sets.append(np.frombuffer(raw, np.uint64))
-                blocks.append(block)
-        if len(ids) > 1:
-            found += tile_links(ids, sets, blocks, similarity)
-        a, b = zip(*found) if found else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return with_id.unionByName(without).mapInArrow(to_sets, "id long, set binary").distinct()
 
-    sets = with_id.unionByName(without).mapInArrow(to_sets, "id long, set binary")
-    sets = folder.write(sets.distinct(), "sets")
-    keys = ["band", "key", "i", "j"]
-    dealt = (
-        members.join(sets, "id").select("id", "domain.*", "i", "j", "block", "set").repartition(*keys).sortWithinPartitions(*keys)
-    )
-    return dealt.mapInArrow(link, "a long, b long")
+
+def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, component) of the texts that are similar to another one of their buckets ``met`` (id, band, key).
+
+    A round halves the texts that still share a bucket with another class, or is the last
+    one before the tiles. Classes of a round only grow, so no pair is left out by dropping
+    buckets that lie within one class.
+    """
+    live, links, classes, last = met, None, None, None
+    for i in range(MAX_ROUNDS):
+        if classes is not None:
+            live = live.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        else:
+            live = live.withColumn("component", F.col("id"))
+        pivot = F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("order"), "id", "component"))
+        mixed = live.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot"))
+        mixed = mixed.filter("low < high").select("band", "key", "pivot").repartition("band", "key", "pivot")
+        live = folder.write(live.join(mixed, ["band", "key"]), f"live-{i}")
+        asked = live.filter("component <> pivot.component").groupBy("id").agg(F.min("pivot").alias("pivot"))
+        pairs = folder.write(asked.select(F.col("id").alias("a"), F.col("pivot.id").alias("b")), f"pairs-{i}")
+        n = pairs.count()
+        rest = live.select("id", "band", "key", "component")
+        if not n:
+            break
+        settled = last is not None and 2 * n > last
+        found = tile_pairs(tiles(rest, sizes), sets, similarity) if settled else verified(pairs, sets, similarity)
+        found = folder.write(found, f"links-{i}")
+        links = found if links is None else links.unionByName(found)
+        classes = folder.write(components(links, folder, f"round-{i}"), f"classes-{i}")
+        folder.drop(*(f"{x}-{i - 1}" for x in ("live", "pairs", "classes")))
+        if settled:
+            break
+        live, last = rest.drop("component"), n
+    if classes is None:
+        return met.select("id", F.col("id").alias("component")).limit(0)
+    return classes
 
 
 def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame, WorkFolder]:
@@ -321,11 +383,9 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     shared = shared.select("band", "key", "low").repartition("band", "key", "low")
-    met = folder.write(buckets.join(shared, ["band", "key"]), "met")
-    groups = folder.write(components(met.select(F.col("id").alias("a"), F.col("low").alias("b")), folder, "candidates"), "groups")
-    members = folder.write(tiles(reps, met.select("id", "band", "key"), groups), "members")
-    links = verified_links(rows, copies, members, folder, similarity)
-    classes = components(links, folder, "classes")
+    met = folder.write(buckets.join(shared, ["band", "key"]).select("id", "band", "key"), "met")
+    sets = folder.write(sets_of(rows, copies, met.select("id").distinct()), "sets")
+    classes = similar_classes(met, reps.groupBy("id").agg(F.max("n").alias("n")), sets, folder, similarity)
     joined = folder.write(
         copies.join(classes.withColumnRenamed("id", "node"), "node", "left").select("copy", "rep", F.coalesce("component", "node").alias("component")),
         "joined",
@@ -336,7 +396,7 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     texts = folder.write(
         joined.join(first, "component").select("copy", "class_id", (F.col("copy") == F.col("first")).alias("stays")), "texts"
     )
-    folder.drop("copies", "reps", "met", "groups", "members", "sets", "joined")
+    folder.drop("copies", "reps", "met", "sets", "joined")
     return signed.select("id", "copy"), texts, folder
 
 

@@ -75,8 +75,7 @@ def test_classes_equal_brute_force(spark, documents):
     assert classes == plain_classes([r[:2] for r in rows])
 
 
-def test_bucket_domains_give_the_same(spark, documents):
-    """A chain of small groups is compared bucket by bucket."""
+def test_chain_of_small_buckets(spark, documents):
     rng = random.Random(8)
     words = [str(rng.random()) for _ in range(400)]
     texts = [" ".join(words[i : i + 100]) for i in range(0, 300, 3)]
@@ -84,6 +83,52 @@ def test_bucket_domains_give_the_same(spark, documents):
     assert got == plain_classes(list(enumerate(texts)))
 
 
+def near_copies(n):
+    rng = random.Random(n)
+    base = [str(rng.random()) for _ in range(120)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        copy[rng.randrange(120)] = str(rng.random())
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_work_on_a_group_of_near_copies_is_in_proportion(spark, documents, monkeypatch):
+    """Links and compared pairs of a group grow with its rows, not with their square."""
+    made = {}
+    write = WorkFolder.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        if name.startswith(("links", "pairs")):
+            made[n] = made.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(WorkFolder, "write", counted)
+    for n in (200, 400, 800):
+        got = bagminhash.near_duplicates(documents(near_copies(n))).collect()
+        assert {r.class_id for r in got} == {0}
+    assert made[400] < 2.5 * made[200] and made[800] < 2.5 * made[400] and made[800] < 4 * 800
+
+
+def test_a_bucket_of_unlike_texts_is_compared_in_full(spark):
+    """Texts that share every bucket, in pairs that are similar only to each other."""
+    rng = random.Random(11)
+    rows, sets = [], []
+    for i in range(150):
+        words = [str(rng.random()) for _ in range(120)]
+        for j in range(2):
+            other = list(words)
+            other[rng.randrange(120)] = str(rng.random())
+            rows.append((2 * i + j, 0, 1))
+            sets.append((2 * i + j, bytearray(bagminhash.occurrences(bagminhash.shingles(" ".join(other))).tobytes())))
+    met = spark.createDataFrame(rows, "id long, band int, key long")
+    sizes = spark.createDataFrame([(r[0], 116) for r in rows], "id long, n long")
+    found = bagminhash.similar_classes(met, sizes, spark.createDataFrame(sets, "id long, set binary"), WorkFolder(spark, "t"))
+    assert {r.id: r.component for r in found.collect()} == {i: i - i % 2 for i in range(300)}
+
+
 def test_repeated_rows_and_empty_table(spark, documents):
     rows = [(7, "a b c d e f g", "s"), (7, "a b c d e f g", "s"), (9, "a b c d e f g", "s"), (8, "other words stand in this text", "s")]
     got = sorted((r.doc_id, r.class_id) for r in bagminhash.near_duplicates(documents(rows)).collect())
