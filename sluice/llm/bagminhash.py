@@ -10,11 +10,14 @@ until the latest first point of the text is passed, which needs few points per s
 
 ``BANDS`` bands of ``ROWS`` values make candidates: texts that share a bucket, whatever its size; a pair of
 similarity 0.8 does with probability 0.99995. Texts of similarity 0.8 or more that share a bucket, directly
-or by others, are one class, named by its smallest doc_id. In rounds, each text is compared exactly with one
-pivot of its buckets (the smallest by a hash of the round) and classes are contracted; buckets that lie
-within one class drop out. What rounds no longer halve is compared in tiles: of a bucket, texts outside its largest class
-against all texts of other classes. So a group of near copies costs a comparison per text and
-round, not per pair, and every candidate pair is compared or already in one class.
+or by others, are one class, named by its smallest doc_id. In rounds, each text is compared exactly with few
+pivots (the smallest of a bucket by a hash of the round; those that share most buckets first) and classes are
+contracted; buckets that lie within one class drop out. When few of a round's pairs are links, what is left is
+compared in tiles: of a bucket, texts outside its largest class against all texts of other classes. Buckets
+beyond a tile (many texts that share a passage and little else) are first cut by a filter that loses nothing: texts of similarity s
+share one of the n - ceil(s * n) + 1 rarest of their n shingles, so buckets of rare shingles take
+their place. So a group of near copies costs a few comparisons per text and round, not per pair, and every
+candidate pair is compared, ruled out or already in one class.
 
 Exact copies meet by a digest of their text first, and one of them stands for all. What is compared
 and linked are distinct texts, numbered, not ids: rows that share an id stay apart unless their texts
@@ -47,8 +50,10 @@ SIZE = BANDS * ROWS
 BLOCK_DOCS = 96
 BLOCK_SHINGLES = 200_000
 CACHE_WORDS = 500_000
-# Rounds of pivots; each one but the last halves what is left to compare.
-MAX_ROUNDS = 64
+# Pivots that a text is compared with in a round, and the share of these pairs that must be links for another round.
+PIVOTS = 4
+LEAST_FOUND = 0.05
+MAX_ROUNDS = 12
 # Odd multipliers of the hash mixes.
 STEP, M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 PLACES = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
@@ -208,27 +213,30 @@ def similar_pairs(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray,
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets overlap enough."""
+    """Those of ``pairs`` (a, b) that share a band and whose sets overlap enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "set_a"):
             keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+            for x, y, p, q in zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b", "bands_a", "bands_b"))):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 # The shorter one holds enough only if it is long enough.
-                likely = min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-6
+                likely = min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-6 and share_band(p, q)
                 both = len(np.intersect1d(x, y, assume_unique=True)) if likely else 0
                 keep.append(likely and both >= similarity * (len(x) + len(y) - both) - 1e-6)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # Dealt by both ids, so that the second join may split a common pivot.
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b"
-    )
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"), F.col("bands").alias(f"bands_{x}"))
+    # The second join may split a common pivot.
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "set_a", "set_b", "bands_a", "bands_b").mapInArrow(run, "a long, b long")
+
+
+def share_band(a: bytes, b: bytes) -> bool:
+    return bool((np.frombuffer(a, np.int64) == np.frombuffer(b, np.int64)).any())
 
 
-def tile_links(ids: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+def tile_links(ids: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], bands: list[bytes], first: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """A spanning forest of the similar pairs, of different classes, of the rows ``first`` with the others.
 
     A text may stand on both sides.
@@ -243,7 +251,7 @@ def tile_links(ids: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], fir
     out = []
     for a, b in similar_pairs(sets, np.flatnonzero(first), np.flatnonzero(~first), similarity).tolist():
         x, y = find(classes[a]), find(classes[b])
-        if x != y:
+        if x != y and share_band(bands[a], bands[b]):
             root[max(x, y)] = min(x, y)
             out.append((int(ids[a]), int(ids[b])))
     return out
@@ -254,23 +262,28 @@ def n_blocks(docs: Column, n_shingles: Column) -> Column:
     return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(n_shingles / BLOCK_SHINGLES), F.lit(1)).cast("long")
 
 
-def tiles(live: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(band, key, i, j, first, id, component) of ``live`` (band, key, id, component): both sides of each tile.
+def sides(live: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Per bucket of ``live`` (band, key, id, component): its largest class, blocks of each side, and rows of its tiles.
 
-    The first side holds a bucket's texts outside its largest class, the second one all of them. Here
-    and elsewhere sums are dealt anew before a join, so that the join may split a hot key.
+    The first side holds a bucket's texts outside its largest class, the second one all of them.
     """
     bucket = ["band", "key"]
-    sized = live.join(sizes, "id")
-    by_class = sized.groupBy(*bucket, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    by_class = live.join(sizes, "id").groupBy(*bucket, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
     plan = by_class.groupBy(*bucket).agg(
         F.max(F.struct("docs", "n", "component")).alias("top"), F.sum("docs").alias("docs"), F.sum("n").alias("n")
     )
-    plan = plan.select(
-        *bucket, F.col("top.component").alias("top"), n_blocks(F.col("docs"), F.col("n")).alias("nj"),
-        n_blocks(F.col("docs") - F.col("top.docs"), F.col("n") - F.col("top.n")).alias("ni"),
-    ).repartition(*bucket, "top")
-    placed = live.join(plan, bucket)
+    strays = F.col("docs") - F.col("top.docs")
+    plan = plan.withColumns({"nj": n_blocks(F.col("docs"), F.col("n")), "ni": n_blocks(strays, F.col("n") - F.col("top.n"))})
+    return plan.select(*bucket, F.col("top.component").alias("top"), "ni", "nj", (strays * F.col("nj") + F.col("docs") * F.col("ni")).alias("rows"))
+
+
+def tiles(live: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(band, key, i, j, first, id, component) of ``live`` (band, key, id, component): both sides of each tile.
+
+    Here and elsewhere sums are dealt anew before a join, so that the join may split a hot key.
+    """
+    bucket = ["band", "key"]
+    placed = live.join(sides(live, sizes).drop("rows").repartition(*bucket, "top"), bucket)
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     keep = [*bucket, "i", "j", "first", "id", "component"]
@@ -279,6 +292,24 @@ def tiles(live: DataFrame, sizes: DataFrame) -> DataFrame:
     return strays.select(*keep).unionByName(everyone.select(*keep))
 
 
+def least_tiles(live: DataFrame, sizes: DataFrame, folder: WorkFolder) -> DataFrame:
+    """``live``, with the buckets of a group of texts that meet by them taken as one, where that makes fewer rows.
+
+    Pairs must share a band in either case, so the links are the same.
+    """
+    low = live.groupBy("band", "key").agg(F.min("id").alias("low")).repartition("band", "key", "low")
+    met = live.join(low, ["band", "key"]).select(F.col("id").alias("a"), F.col("low").alias("b"))
+    groups = folder.write(components(met, folder, "group").select("id", F.col("component").alias("group")), "groups")
+    texts = live.select("id", "component").distinct().join(groups, "id")
+    whole = texts.select(F.lit(-2).alias("band"), F.col("group").alias("key"), "id", "component")
+    of_bucket = low.join(groups.withColumnRenamed("id", "low"), "low").select("band", "key", "group")
+    by_bucket = sides(live, sizes).join(of_bucket, ["band", "key"]).groupBy("group").agg(F.sum("rows").alias("by_bucket"))
+    one = sides(whole, sizes).join(by_bucket, F.col("key") == F.col("group")).filter("rows < by_bucket").select("group")
+    one = folder.write(one, "one")
+    apart = live.join(groups, "id").join(one, "group", "left_anti").select("band", "key", "id", "component")
+    return whole.join(one.withColumnRenamed("group", "key"), "key", "left_semi").select("band", "key", "id", "component").unionByName(apart)
+
+
 def tile_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that join all similar texts of each tile."""
 
@@ -286,30 +317,31 @@ def tile_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
         tile, held, found = None, [], []
 
         def close() -> None:
-            ids, classes, first, raw = zip(*held)
+            ids, classes, first, raw, bands = zip(*held)
             if any(first) and not all(first):
-                found.extend(tile_links(np.array(ids), np.array(classes), [np.frombuffer(r, np.uint64) for r in raw], np.array(first), similarity))
+                sets = [np.frombuffer(r, np.uint64) for r in raw]
+                found.extend(tile_links(np.array(ids), np.array(classes), sets, bands, np.array(first), similarity))
 
         for batch in text_slices(batches, "set"):
-            rows = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "i", "j", "id", "component", "first", "set")))
-            for *where, doc, component, first, raw in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "i", "j", "id", "component", "first", "set", "bands")))
+            for *where, doc, component, first, raw, bands in rows:
                 if where != tile:
                     if held:
                         close()
                     tile, held = where, []
-                held.append((doc, component, first, raw))
+                held.append((doc, component, first, raw, bands))
         if held:
             close()
         a, b = zip(*found) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     keys = ["band", "key", "i", "j"]
-    dealt = members.join(sets, "id").select(*keys, "id", "component", "first", "set").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = members.join(sets, "id").select(*keys, "id", "component", "first", "set", "bands").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, "a long, b long")
 
 
 def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, set) of the texts ``ids``: the multiset of their shingles as a set."""
+    """(id, set, bands) of the texts ``ids``: the multiset of their shingles as a set, and their band keys."""
     needed = copies.join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "copy", "rep")
     # Texts of rows without an id are brought together by digest; those are few, or else copies.
     with_id = docs.filter("id IS NOT NULL").join(needed.withColumnRenamed("rep", "id"), ["id", "copy"]).select(F.col("node").alias("id"), "text")
@@ -318,47 +350,106 @@ def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame) -> DataFrame:
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            sets = [occurrences(shingles(t)).tobytes() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
+            found = [shingles(t) for t in part.column("text").to_pylist()]
+            keys = [k.tobytes() for k in band_keys(signatures(found))]
+            sets = [occurrences(f).tobytes() for f in found]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary()), pa.array(keys, pa.binary())], names=["id", "set", "bands"])
+
+    # An id and text that repeat give equal rows.
+    return with_id.unionByName(without).mapInArrow(to_sets, "id long, set binary, bands binary").distinct()
+
+
+class Contraction:
+    """Classes of texts that grow with the links found, and the links so far."""
+
+    def __init__(self, sets: DataFrame, folder: WorkFolder, similarity: float):
+        self.sets, self.folder, self.similarity = sets, folder, similarity
+        self.links = self.classes = None
+        self.step = 0
+
+    def add(self, found: DataFrame) -> int:
+        """Take in links (a, b); their number."""
+        found = self.folder.write(found, f"links-{self.step}")
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.classes = self.folder.write(components(self.links, self.folder, f"round-{self.step}"), f"classes-{self.step}")
+        self.step += 1
+        return found.count()
+
+    def mixed(self, met: DataFrame) -> DataFrame:
+        """Rows of the buckets ``met`` (id, band, key) that hold several classes, with their class and the bucket's pivot."""
+        if self.classes is None:
+            rows = met.withColumn("component", F.col("id"))
+        else:
+            rows = met.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        pivot = F.min(F.struct(F.xxhash64("id", F.lit(self.step)).alias("order"), "id", "component"))
+        several = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot"))
+        several = several.filter("low < high").select("band", "key", "pivot").repartition("band", "key", "pivot")
+        return self.folder.write(rows.join(several, ["band", "key"]), f"live-{self.step}")
+
+    def rounds(self, met: DataFrame) -> DataFrame:
+        """Compare with pivots while enough of the pairs are links; what is left (id, band, key, component)."""
+        for _ in range(MAX_ROUNDS):
+            live = self.mixed(met)
+            met = live.select("id", "band", "key", "component")
+            # A text and its pivots, at most one of each bucket; those of the most buckets first.
+            asked = live.filter("component <> pivot.component").groupBy("id", "pivot").agg(F.count("*").alias("buckets"))
+            best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("buckets")).alias("less"), "pivot"))), 1, PIVOTS)
+            asked = asked.groupBy("id").agg(best.alias("best")).select(F.col("id").alias("a"), F.explode("best.pivot.id").alias("b"))
+            pairs = self.folder.write(asked, f"pairs-{self.step}")
+            n = pairs.count()
+            if not n or self.add(verified(pairs, self.sets, self.similarity)) < LEAST_FOUND * n:
+                break
+            met = met.drop("component")
+        return met
+
+
+def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
+    """(id, band, key): for each text its rarest shingles, one of which it shares with any similar text.
+
+    The order is the number of these texts that hold a shingle; shingles of a single text are the rarest
+    and make no bucket.
+    """
 
-    return with_id.unionByName(without).mapInArrow(to_sets, "id long, set binary").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "set"):
+            found = [np.frombuffer(s, np.int64) for s in part.column("set").to_pylist()]
+            sizes = [len(f) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(part.column("id").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))],
+                names=["id", "n", "key"],
+            )
+
+    each = sets.join(ids, "id", "left_semi").select("id", "set").mapInArrow(run, "id long, n long, key long")
+    shared = each.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").repartition("key", "held")
+    held = each.join(shared, "key").groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("held", "key"))).alias("keys"))
+    prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-6) + 1
+    own = F.col("n") - F.size("keys")
+    return held.filter(prefix > own).select("id", F.lit(-1).alias("band"), F.explode(F.slice("keys", F.lit(1), (prefix - own).cast("int"))["key"]).alias("key"))
 
 
 def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component) of the texts that are similar to another one of their buckets ``met`` (id, band, key).
 
-    A round halves the texts that still share a bucket with another class, or is the last
-    one before the tiles. Classes of a round only grow, so no pair is left out by dropping
-    buckets that lie within one class.
+    Classes only grow, so no pair is left out by dropping buckets that lie within one class.
     """
-    live, links, classes, last = met, None, None, None
-    for i in range(MAX_ROUNDS):
-        if classes is not None:
-            live = live.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        else:
-            live = live.withColumn("component", F.col("id"))
-        pivot = F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("order"), "id", "component"))
-        mixed = live.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot"))
-        mixed = mixed.filter("low < high").select("band", "key", "pivot").repartition("band", "key", "pivot")
-        live = folder.write(live.join(mixed, ["band", "key"]), f"live-{i}")
-        asked = live.filter("component <> pivot.component").groupBy("id").agg(F.min("pivot").alias("pivot"))
-        pairs = folder.write(asked.select(F.col("id").alias("a"), F.col("pivot.id").alias("b")), f"pairs-{i}")
-        n = pairs.count()
-        rest = live.select("id", "band", "key", "component")
-        if not n:
-            break
-        settled = last is not None and 2 * n > last
-        found = tile_pairs(tiles(rest, sizes), sets, similarity) if settled else verified(pairs, sets, similarity)
-        found = folder.write(found, f"links-{i}")
-        links = found if links is None else links.unionByName(found)
-        classes = folder.write(components(links, folder, f"round-{i}"), f"classes-{i}")
-        folder.drop(*(f"{x}-{i - 1}" for x in ("live", "pairs", "classes")))
-        if settled:
-            break
-        live, last = rest.drop("component"), n
-    if classes is None:
+    state = Contraction(sets, folder, similarity)
+    left = state.rounds(met)
+    if left.count():
+        per_bucket = left.join(sizes, "id").groupBy("band", "key").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+        large = per_bucket.filter((F.col("docs") > BLOCK_DOCS) | (F.col("n") > BLOCK_SHINGLES)).select("band", "key")
+        large = folder.write(large, "large")
+        small = left.join(large, ["band", "key"], "left_anti")
+        beyond = folder.write(left.join(large, ["band", "key"], "left_semi").select("id").distinct(), "beyond")
+        state.add(tile_pairs(tiles(small, sizes), sets, similarity))
+        if beyond.count():
+            rare = folder.write(rare_shingles(sets, beyond, similarity), "rare")
+            left = state.rounds(rare)
+            if left.count():
+                left = folder.write(least_tiles(left, sizes, folder), "left")
+                state.add(tile_pairs(tiles(left, sizes), sets, similarity))
+    if state.classes is None:
         return met.select("id", F.col("id").alias("component")).limit(0)
-    return classes
+    return state.classes
 
 
 def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame, WorkFolder]:
@@ -396,7 +487,7 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     texts = folder.write(
         joined.join(first, "component").select("copy", "class_id", (F.col("copy") == F.col("first")).alias("stays")), "texts"
     )
-    folder.drop("copies", "reps", "met", "sets", "joined")
+    folder.drop("copies", "reps", "met", "sets", "joined", "rare", "beyond", "large", "groups", "one", "left")
     return signed.select("id", "copy"), texts, folder
 
 
