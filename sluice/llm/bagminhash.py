@@ -52,7 +52,7 @@ BLOCK_SHINGLES = 200_000
 CACHE_WORDS = 500_000
 # Pivots that a text is compared with in a round, and the share of these pairs that must be links for another round.
 PIVOTS = 4
-LEAST_FOUND = 0.05
+LEAST_FOUND = 0.25
 MAX_ROUNDS = 12
 # Odd multipliers of the hash mixes.
 STEP, M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -436,17 +436,13 @@ def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: W
     left = state.rounds(met)
     if left.count():
         per_bucket = left.join(sizes, "id").groupBy("band", "key").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
-        large = per_bucket.filter((F.col("docs") > BLOCK_DOCS) | (F.col("n") > BLOCK_SHINGLES)).select("band", "key")
-        large = folder.write(large, "large")
-        small = left.join(large, ["band", "key"], "left_anti")
+        large = folder.write(per_bucket.filter((F.col("docs") > BLOCK_DOCS) | (F.col("n") > BLOCK_SHINGLES)).select("band", "key"), "large")
         beyond = folder.write(left.join(large, ["band", "key"], "left_semi").select("id").distinct(), "beyond")
-        state.add(tile_pairs(tiles(small, sizes), sets, similarity))
+        rest = left.join(large, ["band", "key"], "left_anti")
         if beyond.count():
-            rare = folder.write(rare_shingles(sets, beyond, similarity), "rare")
-            left = state.rounds(rare)
-            if left.count():
-                left = folder.write(least_tiles(left, sizes, folder), "left")
-                state.add(tile_pairs(tiles(left, sizes), sets, similarity))
+            rare = state.mixed(rare_shingles(sets, beyond, similarity)).select("id", "band", "key", "component")
+            rest = rest.select(*rare.columns).unionByName(least_tiles(rare, sizes, folder))
+        state.add(tile_pairs(tiles(folder.write(rest, "rest"), sizes), sets, similarity))
     if state.classes is None:
         return met.select("id", F.col("id").alias("component")).limit(0)
     return state.classes
@@ -487,7 +483,7 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     texts = folder.write(
         joined.join(first, "component").select("copy", "class_id", (F.col("copy") == F.col("first")).alias("stays")), "texts"
     )
-    folder.drop("copies", "reps", "met", "sets", "joined", "rare", "beyond", "large", "groups", "one", "left")
+    folder.drop("copies", "reps", "met", "sets", "joined", "beyond", "large", "groups", "one", "rest")
     return signed.select("id", "copy"), texts, folder
 
 
