@@ -193,6 +193,41 @@ def merge_into_table(spark, sf_dir):
     return out.select("event_id", "event_type", "value", F.col("event_date").cast("string").alias("event_day"))
 
 
+def _dated_events(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string"), "event_type", "value", F.col("ts").cast("timestamp").alias("beam_event_time")
+    )
+
+
+def merge_days_searched(spark, sf_dir):
+    """Which days a merge searches for replaced rows: corrections of single days, and one new day."""
+    events = _dated_events(spark, sf_dir)
+    root = work_dir(spark, "filtered")
+    tables.write_table(events, f"{root}/target")
+    names = tables.data_folders(tables.Folders(spark, f"{root}/target"), f"{root}/target")
+    tables.write_filters(spark, f"{root}/target", names, ["event_id"])
+    some = events.filter((F.dayofmonth("beam_event_time") % 9 == 4) & (F.col("event_id").cast("long") % 50 == 0))
+    moved = some.withColumn("beam_event_time", F.lit("2031-01-01").cast("timestamp"))
+    tables.write_table(moved, f"{root}/changes")
+    report = tables.merge_into(spark, f"{root}/target", f"{root}/changes")
+    day = lambda names: F.array(*[F.lit(n.split("/")[0].split("=")[1]) for n in names]).cast("array<string>")
+    counted = spark.read.parquet(f"{root}/target").groupBy(F.col("event_date").cast("string").alias("event_day")).agg(F.count("*").alias("events"))
+    return counted.withColumn("searched", F.array_contains(day(report.searched), F.col("event_day")))
+
+
+def compacted_table(spark, sf_dir):
+    """Events written in fifty micro-batches, and packed into few folders."""
+    path = work_dir(spark, "compacted")
+    events = _dated_events(spark, sf_dir).withColumn("_batch", F.col("event_id").cast("long") % 50)
+    # One write lays out all batches as fifty micro-batches would.
+    tables.with_partition(events).withColumn(tables.BATCH, F.col("_batch").cast("int")).drop("_batch").write.partitionBy(tables.PARTITION, tables.BATCH).parquet(path)
+    tables.compact(spark, path, ["event_id"])
+    rows = spark.read.parquet(path)
+    return rows.groupBy(F.col("event_date").cast("string").alias("event_day"), "event_type").agg(
+        F.count("*").alias("events"), F.max("value").alias("largest"), F.count_distinct(tables.BATCH).alias("folders")
+    )
+
+
 # -- decode, time, lateness -------------------------------------------------------------
 
 
@@ -652,10 +687,9 @@ def backfill_run(spark, sf_dir):
     from sluice.plans.backfill import run_backfill
 
     warehouse = work_dir(prepare(spark), "warehouse")
-    result = run_backfill(
-        spark, sample_config(), warehouse, _written_archive(spark, sf_dir),
-        "2023-12-31T00:00:00Z", "2024-01-31T00:00:00Z",
-    )
+    path = _written_archive(spark, sf_dir)
+    low, high = archive.archive_bounds(spark, path)
+    result = run_backfill(spark, sample_config(), warehouse, path, low.isoformat(), high.isoformat())
     return spark.read.parquet(result.table).select(
         "event_id", "row_id", "visit_id", "millis", "scroll_share", "step", "week"
     )
@@ -695,7 +729,7 @@ def streaming_run(spark, sf_dir):
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = [
         raw_archive_rows, raw_range_read, final_rows, derived_schema, dlq_union, dlq_replay, topic_write, transform_rejects,
-        route_by_type, merge_upsert, merge_into_table, decode_messages, required_fields, parse_payload,
+        route_by_type, merge_upsert, merge_into_table, merge_days_searched, compacted_table, decode_messages, required_fields, parse_payload,
         parse_event_time, assign_event_time, late_filter, event_lag, infer_string_type,
         infer_value_type, observed_schema, schema_diff, schema_policy, schema_drift_report,
         batch_dedup, batch_dedup_dropped, tumbling_counts, field_mapping, null_defaults,

@@ -255,6 +255,12 @@ letters AS (
         CAST(CAST(CASE WHEN n % 3 = 0 THEN ts + INTERVAL 2 DAY ELSE ts END AS DATE) AS VARCHAR) AS event_day FROM e
       UNION ALL SELECT 'n' || id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) FROM e WHERE n % 5 = 0
       UNION ALL SELECT NULL, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) FROM e WHERE n % 7 = 0"""
+    o["merge_days_searched"] = """WITH e AS (SELECT CAST(ts AS DATE) AS d, day(CAST(ts AS DATE)) % 9 = 4 AND event_id % 50 = 0 AS moved FROM events)
+      SELECT CAST(d AS VARCHAR) AS event_day, count(*) FILTER (NOT moved) AS events, bool_or(moved) AS searched
+      FROM e GROUP BY d HAVING count(*) FILTER (NOT moved) > 0
+      UNION ALL SELECT '2031-01-01', count(*), FALSE FROM e WHERE moved HAVING count(*) > 0"""
+    o["compacted_table"] = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_day, event_type, count(*) AS events, max(value) AS largest,
+      count(DISTINCT CASE WHEN event_id % 50 >= 48 THEN event_id % 50 ELSE -1 END) AS folders FROM events GROUP BY ALL"""
     o["route_by_type"] = f"{_CHAIN} SELECT event_type, event_id FROM env WHERE pre_error IS NULL"
     o["merge_upsert"] = """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
       CASE WHEN o_custkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders

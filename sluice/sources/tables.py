@@ -5,16 +5,24 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.sources import key_filters
+
 PARTITION = "event_date"
 BATCH = "batch_id"
 # Batch number of rows that no micro-batch wrote.
 NO_BATCH = -1
 # Folder below a table that holds merges under way; readers skip names with an underscore.
 MERGES = "_merges"
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+# Compaction: folders below the first size are packed into folders of about the second one.
+SMALL_BYTES, PACKED_BYTES = 128 << 20, 1 << 30
+# The newest batches are left alone, as a stream may write them again.
+KEEP_BATCHES = 2
 
 
 def with_partition(rows: DataFrame, batch_id: int = NO_BATCH) -> DataFrame:
@@ -80,6 +88,12 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.new_path(path)) if s.isDirectory())
 
+    def files(self, path: str) -> dict[str, int]:
+        """Sizes of the data files right below a folder."""
+        found = self.fs.listStatus(self.new_path(path)) if self.exists(path) else []
+        sizes = {s.getPath().getName(): s.getLen() for s in found if s.isFile()}
+        return {name: size for name, size in sizes.items() if name[:1] not in "_."}
+
     def move(self, source: str, target: str) -> None:
         if self.exists(target):
             raise OSError(f"cannot move {source}: {target} exists")
@@ -102,19 +116,73 @@ class Folders:
         return data.decode()
 
 
+def data_folders(folders: Folders, path: str) -> list[str]:
+    """``event_date=.../batch_id=...`` folders of a table."""
+    days = [d for d in folders.names(path) if d.startswith(f"{PARTITION}=")]
+    return [f"{day}/{batch}" for day in days for batch in folders.names(f"{path}/{day}")]
+
+
+def read_folders(spark: SparkSession, path: str, names: Sequence[str], schema=None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
+
+
+@dataclass
+class MergeReport:
+    """What a merge looked into: folders of the target, those searched for keys, and days rewritten."""
+
+    folders: list[str]
+    searched: list[str]
+    days: list[str]
+
+
+def _folder_name():
+    day = F.coalesce(F.col(PARTITION).cast("string"), F.lit(NULL_DAY))
+    return F.concat(F.lit(f"{PARTITION}="), day, F.lit(f"/{BATCH}="), F.col(BATCH).cast("string"))
+
+
+def _stamps(folders: Folders, path: str, names: Sequence[str]) -> dict[str, str]:
+    return {n: key_filters.stamp_of(list(folders.files(f"{path}/{n}"))) for n in names}
+
+
+def write_filters(spark: SparkSession, path: str, names: Sequence[str], keys: Sequence[str]) -> None:
+    """Add the key filters of some folders; only their key columns are read."""
+    if not names:
+        return
+    stamps = _stamps(Folders(spark, path), path, names)
+    rows = read_folders(spark, path, names).select(*keys, PARTITION, BATCH)
+    made = key_filters.folder_filters(rows, keys, _folder_name(), key_filters.stamps_frame(spark, stamps))
+    made.hint("coalesce", 8).write.mode("append").parquet(f"{path}/{key_filters.FILTERS}")
+
+
+def folders_to_search(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str]) -> tuple[list[str], list[str], list[str]]:
+    """(all folders, folders that may hold a key of ``changes``, folders without a filter of their files)."""
+    folders = Folders(spark, path)
+    names = data_folders(folders, path)
+    if not folders.exists(f"{path}/{key_filters.FILTERS}") or not names:
+        return names, names, names
+    current = key_filters.stamps_frame(spark, _stamps(folders, path, names))
+    filters = key_filters.read_filters(spark, path).join(F.broadcast(current), ["folder", "stamp"], "left_semi")
+    known = {r.folder for r in filters.select("folder").distinct().collect()}
+    held = {r.folder for r in key_filters.folders_with(filters, changes, keys).collect()}
+    return names, [n for n in names if n in held or n not in known], [n for n in names if n not in known]
+
+
 def merge_into(
     spark: SparkSession,
     target_path: str,
     temp_path: str,
     keys: Sequence[str] = ("event_id",),
     fail_if_missing: bool = False,
-) -> None:
+) -> MergeReport:
     """Merge the temporary table into the target, rewriting only the touched days.
 
-    A touched day holds a new row or a row that is replaced (an id can move between days).
-    Merged days are written below the target itself, so they are moved within one file
-    system. A list of all moves is stored before the first one; the old folders are moved
-    aside, the new ones in, and only then the old ones are deleted. A merge that was broken
+    A touched day holds a new row or a row that is replaced (an id can move between days). Replaced rows
+    are looked for only in folders whose key filter may hold a changed key, and in folders
+    without a filter, which get one. Merged days are written below the target itself, so they are moved within
+    one file system. A list of all moves is stored before the first one; the old folders are moved
+    aside, the new ones in, and only then the old ones are deleted; between the two moves a reader that lists the
+    table anew does not see these days. A merge that was broken
     off is finished first by the next one. Only folders that the merge has read are replaced:
     batches that a running stream adds meanwhile stay.
     """
@@ -125,27 +193,93 @@ def merge_into(
     if not folders.exists(target_path):
         if fail_if_missing:
             raise ValueError(f"target table {target_path} does not exist")
-        changes.write.partitionBy(PARTITION, BATCH).parquet(target_path)
-        return
-    target = spark.read.parquet(target_path)
-    replaced = _matching(target, changes, keys, "left_semi")
-    touched = changes.select(PARTITION).union(replaced.select(PARTITION)).distinct()
+        changes.hint("rebalance", PARTITION).write.partitionBy(PARTITION, BATCH).parquet(target_path)
+        write_filters(spark, target_path, data_folders(folders, target_path), keys)
+        return MergeReport([], [], [])
+    names, searched, unfiltered = folders_to_search(spark, target_path, changes, keys)
+    touched, schema = changes.select(PARTITION), None
+    if names:
+        schema = spark.read.parquet(target_path).schema
+    if searched:
+        replaced = _matching(read_folders(spark, target_path, searched, schema), changes, keys, "left_semi")
+        touched = touched.union(replaced.select(PARTITION))
     # At most one row per calendar day.
-    days = [
-        f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0].isoformat()}" for r in touched.collect()
-    ]
-    read = [f"{day}/{batch}" for day in days for batch in folders.names(f"{target_path}/{day}")]
+    days = sorted(f"{PARTITION}={NULL_DAY if r[0] is None else r[0].isoformat()}" for r in touched.distinct().collect())
+    read = [n for n in names if n.split("/")[0] in set(days)]
     merged = changes.withColumn(BATCH, F.lit(NO_BATCH))
     if read:
-        old = spark.read.schema(target.schema).option("basePath", target_path).parquet(*[f"{target_path}/{f}" for f in read])
-        merged = merge_rows(old, changes, keys).withColumn(BATCH, F.lit(NO_BATCH))
+        merged = merge_rows(read_folders(spark, target_path, read, schema), changes, keys).withColumn(BATCH, F.lit(NO_BATCH))
     work = f"{target_path}/{MERGES}/{uuid.uuid4().hex}"
-    merged.write.partitionBy(PARTITION, BATCH).parquet(f"{work}/new")
-    new = [f"{day}/{batch}" for day in folders.names(f"{work}/new") for batch in folders.names(f"{work}/new/{day}")]
-    folders.write_text(f"{work}/moves.tmp", json.dumps({"old": read, "new": new}))
+    # Files of about one size, however the days differ.
+    merged.hint("rebalance", PARTITION).write.partitionBy(PARTITION, BATCH).parquet(f"{work}/new")
+    new = data_folders(folders, f"{work}/new")
+    _store_moves(folders, work, read, new)
+    finish_merges(folders, target_path)
+    write_filters(spark, target_path, sorted({*new, *(n for n in unfiltered if n not in set(read))}), keys)
+    return MergeReport(names, searched, days)
+
+
+def _store_moves(folders: Folders, work: str, old: Sequence[str], new: Sequence[str]) -> None:
+    folders.write_text(f"{work}/moves.tmp", json.dumps({"old": list(old), "new": list(new)}))
     if not folders.fs.rename(folders.new_path(f"{work}/moves.tmp"), folders.new_path(f"{work}/moves.json")):
         raise OSError(f"could not store the moves of {work}")
-    finish_merges(folders, target_path)
+
+
+def bins(sizes: dict[str, int], most: int) -> list[list[str]]:
+    """First-fit decreasing: names in bins of at most ``most`` bytes (a larger one alone)."""
+    out: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        at = next((i for i, (held, _) in enumerate(out) if held + size <= most), None)
+        if at is None:
+            out.append((size, [name]))
+        else:
+            out[at] = (out[at][0] + size, [*out[at][1], name])
+    return [names for _, names in out]
+
+
+def compact(
+    spark: SparkSession, path: str, keys: Sequence[str] | None = None, small_bytes: int = SMALL_BYTES, packed_bytes: int = PACKED_BYTES, keep: int = KEEP_BATCHES
+) -> list[str]:
+    """Pack small batch folders of each day into few large ones; the new folders.
+
+    Only names and sizes come to the driver. One job writes all new folders, whose batch numbers are
+    negative ones that their day does not have yet; folders are exchanged by a stored list
+    of moves, as in a merge, and a broken-off run is finished by the next one. The ``keep`` newest batches stay as they are.
+    With ``keys``, the new folders get key filters.
+    """
+    path = path.rstrip("/")
+    folders = Folders(spark, path)
+    finish_merges(folders, path)
+    names = data_folders(folders, path)
+    batch_of = {n: int(n.rsplit("=", 1)[1]) for n in names}
+    newest = set(sorted({b for b in batch_of.values() if b >= 0})[-keep:] if keep else [])
+    by_day: dict[str, dict[str, int]] = {}
+    for n in names:
+        size = sum(folders.files(f"{path}/{n}").values())
+        if size < small_bytes and batch_of[n] not in newest:
+            by_day.setdefault(n.split("/")[0], {})[n] = size
+    plan = []
+    for day, sizes in by_day.items():
+        free = min([0, *(b for n, b in batch_of.items() if n.split("/")[0] == day)]) - 1
+        for packed in bins(sizes, packed_bytes):
+            if len(packed) > 1:
+                plan += [(n, free) for n in packed]
+                free -= 1
+    if not plan:
+        return []
+    old = [n for n, _ in plan]
+    # A row per folder that is packed, as many as were listed.
+    to = F.broadcast(spark.createDataFrame(plan, "_folder string, _to int"))
+    rows = read_folders(spark, path, old, spark.read.parquet(path).schema)
+    rows = rows.withColumn("_folder", _folder_name()).join(to, "_folder").withColumn(BATCH, F.col("_to")).drop("_folder", "_to")
+    work = f"{path}/{MERGES}/{uuid.uuid4().hex}"
+    rows.hint("rebalance", PARTITION, BATCH).write.partitionBy(PARTITION, BATCH).parquet(f"{work}/new")
+    new = data_folders(folders, f"{work}/new")
+    _store_moves(folders, work, old, new)
+    finish_merges(folders, path)
+    if keys:
+        write_filters(spark, path, new, keys)
+    return new
 
 
 def finish_merges(folders: Folders, target_path: str) -> None:
@@ -164,7 +298,7 @@ def finish_merges(folders: Folders, target_path: str) -> None:
         folders.delete(work)
 
 
-def write_batch_once(rows: DataFrame, path: str, batch_id: int, partition: str | None = None) -> bool:
+def write_batch_once(rows: DataFrame, path: str, batch_id: int | str, partition: str | None = None) -> bool:
     """Write a micro-batch to its own folder; a batch already there is left alone.
 
     The folder is written under a name that readers skip and then moved as a whole, so a reader

@@ -78,10 +78,7 @@ class StreamingJob:
             checked = dedup.batch_dedup(checked, self.position, stage_reason="duplicate_or_older_event")
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tables.write_batch_once(
-                archive.archive_rows(decoded, now).withColumn("event_date", F.to_date("event_ts")),
-                self.archive, batch_id, "event_date",
-            )
+            archive.write_archive_batch(archive.archive_rows(decoded, now), self.archive, batch_id)
             letters = route.union_dead_letters(
                 route.dead_letters(checked), schema_guard.schema_traces(checked)
             )
