@@ -713,6 +713,19 @@ def stream_dedup(spark, sf_dir):
     return demo.dedup_stream(prepare(spark), _checked(spark, sf_dir))
 
 
+def stream_state_age(spark, sf_dir):
+    from sluice.streaming import demo
+
+    return demo.state_age(prepare(spark), _table(spark, sf_dir, "events"), 86_400)
+
+
+def stream_letters(spark, sf_dir):
+    """Dead letters of the checking query, read as JSON lines from the target of the streaming mode."""
+    from sluice.streaming import demo
+
+    return demo.stream_letters(prepare(spark), _raw(spark, sf_dir))
+
+
 def stream_counters(spark, sf_dir):
     from sluice.streaming import demo
 
@@ -739,7 +752,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         validate_length, validate_types, validate_all, event_counters, lag_distribution,
         lag_series, dashboard_series, alert_breaches, configured_alerts, nested_default,
         large_key_lookup, configured_table_lookup, event_time_check, source_by_mode, letters_target, backfill_run, stream_source,
-        stream_windows, stream_dedup, stream_counters, streaming_run,
+        stream_windows, stream_dedup, stream_state_age, stream_letters, stream_counters, streaming_run,
     ]
     out = {f.__name__: f for f in functions}
     out["row_id"] = row_ids

@@ -459,6 +459,13 @@ letters AS (
       SELECT event_id, md5('{{"event_id": "' || event_id || '", "event_ts": "' || event_ts || '"}}') AS row_id, visit_id, millis,
       scroll_share, step, week FROM (SELECT *, {_DERIVED} FROM t3)
       WHERE coalesce(visit_id, '') <> '' AND length(visit_id) <= 64"""
+    o["stream_letters"] = f"{_CHAIN} SELECT 'preprocess' AS stage, pre_error AS error, value AS message FROM env WHERE pre_error IS NOT NULL"
+    # Pending after the first step: the newest event of even number.
+    o["stream_state_age"] = """WITH e AS (SELECT user_id, event_id, epoch_us(ts) AS us FROM events),
+      u AS (SELECT user_id, max(us) FILTER (event_id % 2 = 0) AS a, max(us) FILTER (event_id % 2 = 1) AS b, count(*) AS n FROM e GROUP BY 1),
+      k AS (SELECT *, coalesce(b > a, FALSE) AS newer, coalesce(b > a, FALSE) AND b - a > 86400000000 AS aged FROM u)
+      SELECT user_id, greatest(a, b) AS main_us, 1 AS main, (newer AND NOT aged)::INT AS superseded, aged::INT AS expired,
+        n - 1 - newer::INT AS dropped FROM k"""
     o["stream_source"] = o["decode_messages"]
     o["stream_dedup"] = f"""{batch} SELECT event_id, us AS event_us, CASE WHEN rn = 1 THEN 'main' ELSE 'not_main' END AS route FROM ded"""
     o["streaming_run"] = f"""{live} SELECT event_id, event_ts, visit_id, millis, step, week, scroll_share,

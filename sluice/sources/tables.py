@@ -298,8 +298,8 @@ def finish_merges(folders: Folders, target_path: str) -> None:
         folders.delete(work)
 
 
-def write_batch_once(rows: DataFrame, path: str, batch_id: int | str, partition: str | None = None) -> bool:
-    """Write a micro-batch to its own folder; a batch already there is left alone.
+def write_batch_once(rows: DataFrame, path: str, batch_id: int | str, partition: str | None = None, text: bool = False) -> bool:
+    """Write a micro-batch to its own folder, as Parquet or lines of text; a batch already there is left alone.
 
     The folder is written under a name that readers skip and then moved as a whole, so a reader
     sees all of a batch or nothing, and a replay neither repeats nor changes rows.
@@ -309,6 +309,9 @@ def write_batch_once(rows: DataFrame, path: str, batch_id: int | str, partition:
         return False
     staged = f"{path}/_staged/{batch_id}-{uuid.uuid4().hex}"
     writer = rows.write.partitionBy(partition) if partition else rows.write
-    writer.parquet(staged)
+    if text:
+        writer.text(staged)
+    else:
+        writer.parquet(staged)
     folders.move(staged, folder)
     return True

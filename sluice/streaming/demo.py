@@ -3,43 +3,22 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import decode, route, windows
 from sluice.plans.sample_config import sample_config
-from sluice.session import ROCKSDB, work_dir
+from sluice.session import work_dir
+from sluice.sources import tables
 from sluice.sources.messages import file_messages
-from sluice.streaming.jobs import StreamingJob, drain
-from sluice.streaming.latest import PACKED, dedup_stream as keyed_dedup, pack
+from sluice.streaming.jobs import StreamingJob
+from sluice.streaming.calendar import DeadlineCalendar
+from sluice.streaming.latest import PACKED, pack
 
 _RAW_COLUMNS = ["n", "c", "copy", "value", "proc_s", "message_id"]
 
 
-@contextmanager
-def _stateful(spark: SparkSession) -> Iterator[None]:
-    """Settings for a bounded run of keyed state: RocksDB, and no more state stores than cores.
-
-    The number of stores is fixed when a query first starts; a long-running job sets
-    ``spark.sql.shuffle.partitions`` for its own load before that.
-    """
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
-    }
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _to_files(df: DataFrame, name: str) -> tuple[str, str]:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -104,30 +83,55 @@ def window_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
     return last.select("window_start", "window_end", "event_type", "p.events", "p.users")
 
 
-def dedup_stream(spark: SparkSession, checked: DataFrame, buffer_seconds: float = 1.0) -> DataFrame:
-    """Keyed dedup of one burst: every id leaves once as main, its other versions do not."""
-    path, _ = _to_files(pack(route.accepted(checked)), "packed")
-    routed = keyed_dedup(
-        spark.readStream.schema(PACKED).parquet(path), buffer_seconds, 10**9, emit_superseded=True
+def _calendar_run(spark: SparkSession, packed: DataFrame, calendar: DeadlineCalendar, out: str, name: str) -> DataFrame:
+    """All events as a stream through the calendar, then a step behind the last deadline."""
+    path, _ = _to_files(packed, name)
+    last = [-1]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch_once(calendar.step(batch, batch_id, now_ms=batch_id), out, batch_id)
+        last[0] = batch_id
+
+    stream = spark.readStream.schema(PACKED).parquet(path)
+    query = (
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", work_dir(spark, f"{name}-checkpoint")).trigger(availableNow=True).start()
     )
-    out = work_dir(spark, "deduped")
-    with _stateful(spark):
-        query = (
-            routed.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", work_dir(spark, "deduped-checkpoint"))
-            .outputMode("append")
-            .trigger(processingTime="1 second")
-            .start()
-        )
-        drain(query)
-    rows = spark.read.schema(routed.schema).parquet(out)
+    query.awaitTermination()
+    final = last[0] + 1
+    tables.write_batch_once(calendar.flush(final, final + calendar.buffer_ms), out, final)
+    return spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PACKED.fields) + ", route string, existing_us bigint").parquet(out)
+
+
+def dedup_stream(spark: SparkSession, checked: DataFrame, buffer_seconds: float = 1.0) -> DataFrame:
+    """Dedup of one burst: every id leaves once as main, its other versions do not."""
+    calendar = DeadlineCalendar(spark, work_dir(spark, "pending"), buffer_seconds, 10**9, emit_superseded=True)
+    rows = _calendar_run(spark, pack(route.accepted(checked)), calendar, work_dir(spark, "deduped"), "packed")
     return rows.select(
         "event_id", "event_us",
         F.when(F.col("route") == "main", "main").otherwise("not_main").alias("route"),
     )
 
 
+def state_age(spark: SparkSession, events: DataFrame, max_age_sec: float) -> DataFrame:
+    """Events by user in two steps, the second of which meets pending ones beyond the state age."""
+    packed = events.select(
+        F.col("user_id").cast("string").alias("event_id"), "event_type", F.lit("t").alias("event_source"), F.col("ts").cast("string").alias("event_ts"),
+        *[F.lit(None).cast("string").alias(c) for c in ("kinds", "envelope")], F.col("event_id").cast("string").alias("payload_text"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_us"), F.lit(0).cast("bigint").alias("proc_us"),
+    )
+    calendar = DeadlineCalendar(spark, work_dir(spark, "aged-pending"), 100, max_age_sec, emit_superseded=True)
+    out, number = work_dir(spark, "aged"), F.col("payload_text").cast("long") % 2
+    tables.write_batch_once(calendar.step(packed.filter(number == 0), 0, 0), out, 0)
+    tables.write_batch_once(calendar.step(packed.filter(number == 1), 1, 1), out, 1)
+    # A replay gives the same rows.
+    tables.write_batch_once(calendar.step(packed, 1, 2), f"{out}-replay", 1)
+    tables.write_batch_once(calendar.flush(2, 10**6), out, 2)
+    rows = spark.read.parquet(out)
+    n = lambda what: F.count(F.when(F.col("route") == what, 1)).alias(what)
+    main = F.max(F.when(F.col("route") == "main", F.col("event_us"))).alias("main_us")
+    return rows.groupBy(F.col("event_id").cast("long").alias("user_id")).agg(main, n("main"), n("superseded"), n("expired"), n("dropped"))
+
+
 def stream_counters(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Counters that the checking query wrote, over all its micro-batches."""
     path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")
@@ -136,6 +140,15 @@ def stream_counters(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return spark.read.parquet(job.counters).groupBy("counter").agg(F.sum("value").alias("value"))
 
 
+def stream_letters(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Letters of messages that never became events, as the checking query wrote them."""
+    path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")
+    job = StreamingJob(spark, sample_config(), work_dir(spark, "stream"), processing_time=F.timestamp_seconds("proc_s"))
+    job.start_checks(file_messages(spark, path, schema), {"availableNow": True}).awaitTermination()
+    letters = route.read_dead_letters(spark.read.text(job.letters))
+    return letters.filter("stage = 'preprocess'").select("stage", "error", "message")
+
+
 def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Both streaming queries over all messages; the final table is read back."""
     path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")
@@ -143,8 +156,7 @@ def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     cfg.streaming_tuning["dedup"].update(buffer_seconds=1, max_state_age_sec=10**9)
     job = StreamingJob(spark, cfg, work_dir(spark, "stream"), processing_time=F.timestamp_seconds("proc_s"))
     job.start_checks(file_messages(spark, path, schema), {"availableNow": True}).awaitTermination()
-    with _stateful(spark):
-        drain(job.start_final({"processingTime": "1 second"}))
+    job.drain_final(job.start_final({"processingTime": "1 second"}))
     return spark.read.parquet(job.table).select(
         "event_id", "event_ts", "visit_id", "millis", "step", "week", "scroll_share", "row_id"
     )

@@ -1,8 +1,8 @@
-"""The streaming job: two queries around the keyed state.
+"""The streaming job: two queries around the dedup of ids.
 
 1. source -> decode -> archive; payload, time, lateness, schema guard -> dead letters and a
    table of checked events.
-2. checked events -> keyed dedup -> transform -> validate -> final table and dead letters.
+2. checked events -> dedup by a calendar of deadlines -> transform -> validate -> final table and dead letters.
 
 Each micro-batch writes folders named by its number, so a replay repeats nothing.
 """
@@ -22,7 +22,8 @@ from sluice.operators import decode, dedup, metrics, route, schema_guard
 from sluice.operators.transform import mapping_source
 from sluice.plans.stages import check_events, transform_and_validate
 from sluice.sources import archive, tables, targets
-from sluice.streaming.latest import PACKED, dedup_stream, pack, unpack
+from sluice.streaming.calendar import DeadlineCalendar, with_clock
+from sluice.streaming.latest import PACKED, pack, unpack
 
 
 # Window of the lag table that each micro-batch adds to.
@@ -56,10 +57,17 @@ class StreamingJob:
         self.archive = f"{root}/raw_archive"
         self.checked = f"{root}/checked_events"
         letters = f"{root}/{targets.letters_target(cfg.destination, cfg.backfill_settings, targets.STREAMING)}"
-        self.letters, self.final_letters = f"{letters}/checks", f"{letters}/final"
+        # JSON lines of both queries lie at the target itself.
+        self.letters = letters
         self.table = f"{root}/{targets.live_table(cfg.destination)}"
         self.counters, self.lag = f"{root}/metrics/counters", f"{root}/metrics/lag"
         self.checkpoints = f"{root}/checkpoints"
+        dedup_cfg = cfg.streaming_tuning.get("dedup") or {}
+        self.calendar = None
+        if dedup_cfg.get("mode", "single") != "none":
+            self.calendar = DeadlineCalendar(
+                spark, f"{root}/pending_events", dedup_cfg["buffer_seconds"], dedup_cfg.get("max_state_age_sec", 1800), emit_superseded
+            )
 
     # -- query 1 ----------------------------------------------------------------------
 
@@ -82,7 +90,7 @@ class StreamingJob:
             letters = route.union_dead_letters(
                 route.dead_letters(checked), schema_guard.schema_traces(checked)
             )
-            tables.write_batch_once(letters, self.letters, batch_id)
+            tables.write_batch_once(route.dead_letter_json(letters), self.letters, f"checks-{batch_id}", text=True)
             packed = pack(route.accepted(checked), needs_envelope(self.cfg))
             tables.write_batch_once(packed, self.checked, batch_id)
             tables.write_batch_once(metrics.event_counters(checked).coalesce(1), self.counters, batch_id)
@@ -109,9 +117,7 @@ class StreamingJob:
             routed = transform_and_validate(unpack(main), self.cfg)
             tables.write_table(routed.final_rows(), self.table, batch_id)
             others = batch.filter(F.col("route") != "main")
-            reason = F.when(F.col("route") == "dropped", F.lit("duplicate_or_older_event")).otherwise(
-                F.lit("superseded")
-            )
+            reason = F.when(F.col("route") == "dropped", F.lit("duplicate_or_older_event")).otherwise(F.col("route"))
             dropped = others.select(
                 F.lit("dedup").alias("stage"), "event_id", F.lit(None).cast("string").alias("error"),
                 reason.alias("reason"),
@@ -122,31 +128,43 @@ class StreamingJob:
                 F.to_json(F.struct("event_id", "event_type", "event_source", "event_ts", "payload_text")).alias("event_json"),
             )
             letters = route.union_dead_letters(routed.dead_letters(with_traces=False), dropped)
-            tables.write_batch_once(letters, self.final_letters, batch_id)
+            tables.write_batch_once(route.dead_letter_json(letters), self.letters, f"final-{batch_id}", text=True)
         finally:
             batch.unpersist()
 
-    def routed_stream(self) -> DataFrame:
-        checked = self.spark.readStream.schema(PACKED).parquet(f"{self.checked}/batch_id=*")
-        cfg = self.cfg.streaming_tuning.get("dedup") or {}
-        if cfg.get("mode", "single") == "none":
-            return checked.withColumns(
-                {"route": F.lit("main"), "existing_us": F.lit(None).cast("bigint")}
-            )
-        return dedup_stream(
-            checked, cfg["buffer_seconds"], cfg.get("max_state_age_sec", 1800), self.emit_superseded
-        )
+    def dedup_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if self.calendar is None:
+            routed = batch.withColumns({"route": F.lit("main"), "existing_us": F.lit(None).cast("bigint")})
+        else:
+            routed = self.calendar.step(batch.filter(F.col("event_id").isNotNull()), batch_id)
+        self.final_batch(routed, batch_id)
 
     def start_final(self, trigger: dict) -> StreamingQuery:
+        checked = self.spark.readStream.schema(PACKED).parquet(f"{self.checked}/batch_id=*")
         return (
-            self.routed_stream()
-            .writeStream.foreachBatch(self.final_batch)
+            (checked if self.calendar is None else with_clock(checked))
+            .writeStream.foreachBatch(self.dedup_batch)
             .option("checkpointLocation", f"{self.checkpoints}/final")
-            .outputMode("append")
             .trigger(**trigger)
             .start()
         )
 
+    def drain_final(self, query: StreamingQuery, timeout_sec: float = 900) -> None:
+        """Wait until the checked events are read and none is pending, then stop. For complete input."""
+        deadline = time.time() + timeout_sec
+        try:
+            while time.time() < deadline:
+                progress = query.lastProgress
+                files = [s["numInputRows"] for s in progress["sources"] if "File" in s["description"]] if progress else [1]
+                if not any(files) and self.calendar.pending == 0:
+                    return
+                if not query.isActive:
+                    raise RuntimeError(f"stream stopped: {query.exception()}")
+                time.sleep(0.1)
+            raise TimeoutError("the stream did not drain")
+        finally:
+            query.stop()
+
 
 def run_streaming(
     spark: SparkSession,
