@@ -93,9 +93,10 @@ def table_lookup(event: EventFrame, cfg: dict) -> None:
     table = table.select(F.col(cfg["key"]).cast("string").alias("_table_id"), F.col(cfg["value"]).alias("_table_v"))
     kind = KIND_OF_SPARK.get(table.schema["_table_v"].dataType.simpleString(), "string")
     out = f"_table_{cfg['output_field']}"
+    spread = [quoted(c) for c, t in event.df.dtypes if t in HASHABLE] or [event.df.columns[0]]
     joined = lookup_table(
         event.df.withColumn("_table_key", f.text()), table.withColumn("_table_v", F.col("_table_v").cast(SQL_TYPES[kind])),
-        "_table_key", "_table_id", "_table_v", out, [event.df.columns[0]], default=cfg.get("default"),
+        "_table_key", "_table_id", "_table_v", out, spread, default=cfg.get("default"),
     )
     event.df = joined.drop("_table_key")
     event.set(cfg["output_field"], typed(kind, F.col(quoted(out))))
@@ -222,6 +223,9 @@ def entity_extraction(event: EventFrame, items: Any) -> None:
 
 # Up to this many rows a lookup table is broadcast; the count is checked first.
 MAX_BROADCAST_LOOKUP = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Column types that can be hashed to spread the rows of a hot key.
+HASHABLE = ("string", "bigint", "int", "double", "timestamp", "date", "binary", "boolean")
 
 
 def lookup_table(
@@ -236,15 +240,17 @@ def lookup_table(
     max_broadcast: int = MAX_BROADCAST_LOOKUP,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Static lookup against a table with unique keys.
+    """Static lookup against a table. Of a key that repeats, the smallest value that is not NULL counts.
 
-    A table of up to ``max_broadcast`` rows (counted first, stopping at the limit) is
+    A table of up to ``max_broadcast`` rows and ``MAX_BROADCAST_BYTES`` (measured first, stopping at the limit) is
     broadcast. A larger one is joined by shuffle, with its share for hot keys broadcast.
     """
-    pairs = table.select(F.col(table_key).alias("_lk"), F.col(table_value).alias("_lv"))
-    pairs = pairs.filter(F.col("_lk").isNotNull())
+    pairs = table.select(F.col(table_key).alias("_lk"), F.col(table_value).alias("_lv")).filter(F.col("_lk").isNotNull())
+    pairs = pairs.groupBy("_lk").agg(F.min("_lv").alias("_lv"))
     value = F.struct(F.col("_lv").alias("v"))
-    if pairs.limit(max_broadcast + 1).count() <= max_broadcast:
+    width = F.octet_length(F.col("_lk").cast("string")) + F.coalesce(F.octet_length(F.col("_lv").cast("string")), F.lit(0))
+    rows, held = pairs.limit(max_broadcast + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows <= max_broadcast and held <= MAX_BROADCAST_BYTES:
         small = pairs.select("_lk", value.alias("_hit"))
         out = df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col("_lk")), "left").drop("_lk")
     else:

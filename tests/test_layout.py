@@ -147,3 +147,14 @@ def test_a_range_opens_only_its_files(spark):
     assert sorted(r.event_id for r in read(2, 3).collect()) == ["d2", "d2"]
     archive.write_archive(rows([5]), path, "overwrite")
     assert [r.event_id for r in read(0, 30).collect()] == ["d5"]
+
+
+@pytest.mark.parametrize("most", [200_000, 1])
+def test_a_lookup_table_with_repeated_keys_multiplies_no_rows(spark, most):
+    from sluice.operators.enrich import lookup_table
+
+    table = spark.createDataFrame([("a", "z"), ("a", "b"), ("a", None), ("n", None), (None, "x")], "k string, v string")
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(["a", "a", "n", "c", None])], "i long, k string")
+    out = lookup_table(rows, table, "k", "k", "v", "found", ["i"], default="none", max_broadcast=most)
+    assert sorted((r.i, r.found) for r in out.select("i", "found").collect() if r.found) == [(0, "b"), (1, "b"), (3, "none"), (4, "none")]
+    assert out.count() == 5
