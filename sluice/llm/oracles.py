@@ -62,7 +62,7 @@ OP3 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x::DOUBLE) > 262144)) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
   SELECT a.vec_id AS query_id, b.vec_id,
@@ -75,7 +75,7 @@ WHERE rank <= 5
 """
 
 OP6 = rf"""
-WITH docs AS (
+WITH RECURSIVE docs AS (
   SELECT doc_id, coalesce('a' || source, 'b') AS s, coalesce(len({WORDS.format('text')}), 0)::BIGINT AS size,
     md5(coalesce(doc_id::VARCHAR, 'null')) AS digest
   FROM documents
@@ -103,20 +103,33 @@ placed AS (
     CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS passes
   FROM docs d JOIN targets USING (s)
 ),
+remaining AS (SELECT *, CASE WHEN passes < 3 THEN floor(target - passes * source_size)::BIGINT ELSE 0 END AS rest FROM placed),
+opened AS (SELECT *, size > 0 AND size <= rest AS open FROM remaining),
+-- Documents that the last pass can hold are taken in order while they fit.
 fitted AS (
-  SELECT *, target - passes * source_size AS rest,
-    size > 0 AND passes < 3 AND start + size <= target - passes * source_size AS fits FROM placed
+  SELECT *, sum(CASE WHEN open THEN size ELSE 0 END) OVER (PARTITION BY s ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS open_end
+  FROM opened
+),
+-- Then the largest sizes first, as many of each as fit: a step per distinct size of what was left out.
+sums AS (SELECT s, max(rest) - coalesce(sum(size) FILTER (open AND open_end <= rest), 0)::BIGINT AS room, coalesce(sum(size) FILTER (open AND open_end <= rest), 0)::BIGINT AS used FROM fitted GROUP BY s),
+sizes AS (
+  SELECT f.s, size, count(*) AS docs, row_number() OVER (PARTITION BY f.s ORDER BY size DESC) AS n
+  FROM fitted f JOIN sums USING (s) WHERE open AND open_end > rest AND size <= room GROUP BY f.s, size
+),
+steps(s, n, size, wanted, place, left_over) AS (
+  SELECT s, 0::BIGINT, 0::BIGINT, 0::BIGINT, used, room FROM sums
+  UNION ALL
+  SELECT t.s, z.n, z.size, least(z.docs, t.left_over // z.size), t.place + t.wanted * t.size, t.left_over - least(z.docs, t.left_over // z.size) * z.size
+  FROM steps t JOIN sizes z ON z.s = t.s AND z.n = t.n + 1
 ),
-prefix AS (SELECT s, sum(CASE WHEN fits THEN size ELSE 0 END)::BIGINT AS taken FROM fitted GROUP BY s),
-fill AS (
-  SELECT s, digest, start, size, p.taken FROM fitted f JOIN prefix p USING (s)
-  WHERE NOT fits AND size > 0 AND passes < 3 AND size <= rest - p.taken
-  QUALIFY row_number() OVER (PARTITION BY s ORDER BY size DESC, digest DESC, start DESC) = 1
+ranked AS (
+  SELECT f.s, f.digest, f.start, f.size, t.wanted, t.place, row_number() OVER (PARTITION BY f.s, f.size ORDER BY f.start) - 1 AS rank
+  FROM fitted f JOIN steps t ON f.s = t.s AND f.size = t.size WHERE open AND open_end > rest AND t.n > 0
 ),
 copied AS (
-  SELECT f.*, CASE WHEN f.size > 0 THEN passes + fits::BIGINT ELSE 0 END + (l.s IS NOT NULL)::BIGINT AS copies,
-    CASE WHEN l.s IS NOT NULL AND passes = 0 THEN l.taken ELSE f.start END AS demand
-  FROM fitted f LEFT JOIN fill l ON f.s = l.s AND f.digest = l.digest AND f.start = l.start AND f.size = l.size
+  SELECT f.*, CASE WHEN f.size > 0 THEN passes + ((open AND open_end <= rest) OR r.s IS NOT NULL)::BIGINT ELSE 0 END AS copies,
+    CASE WHEN passes > 0 THEN f.start WHEN open AND open_end <= rest THEN open_end - f.size WHEN r.s IS NOT NULL THEN r.place + r.rank * r.size ELSE f.start END AS demand
+  FROM fitted f LEFT JOIN (SELECT * FROM ranked WHERE rank < wanted) r ON f.s = r.s AND f.digest = r.digest AND f.start = r.start AND f.size = r.size
 ),
 shares AS (SELECT *, least(demand / target, 1.0) AS share, (early + late) / 2 AS area FROM copied)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies,

@@ -2,8 +2,8 @@
 
 Base patterns (assignments, access keys, long hex) are secrets by themselves. Weak parts are an
 identifier (client or account id), a bare high-entropy value and an endpoint (URL or host with
-credentials in use). Each part carries an interval: the part widened by ``REACH`` code points,
-cut at the ends of its scope. A scope is a run of lines without an empty line between them. A
+credentials in use). Each part carries an interval: its whole scope, or the part widened by ``reach`` code points
+within it where a caller gives one. A scope is a run of lines without an empty line between them. A
 weak part is reported if intervals of complementary parts meet in its scope: an identifier
 needs a secret, a value needs an identifier (and no assignment around it), an endpoint needs
 both. Intervals are joined in one sorted sweep per scope, so a text with many parts costs
@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.common import replaced, table, text_slices
 
-REACH = 200
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
 )
@@ -92,8 +91,8 @@ def meets(intervals: list[tuple[int, int]], starts: list[int], start: int, end:
     return i > 0 and intervals[i - 1][1] >= start
 
 
-def linked_parts(text: str, base: list[tuple[int, int, str]], reach: int = REACH) -> list[tuple[int, int, str]]:
-    """Weak parts whose complementary parts stand within reach in the same scope."""
+def linked_parts(text: str, base: list[tuple[int, int, str]], reach: int | None = None) -> list[tuple[int, int, str]]:
+    """Weak parts whose complementary parts stand in the same scope, within reach if one is given."""
     ids = [(m.start(), m.end()) for m in IDENTIFIER.finditer(text)] if ("=" in text or ":" in text) else []
     secrets = [(s, e) for s, e, k in base if k != "access"]
     access = [(s, e) for s, e, k in base if k == "access"]
@@ -110,6 +109,8 @@ def linked_parts(text: str, base: list[tuple[int, int, str]], reach: int = REACH
     points = [(m.start(), m.end()) for m in ENDPOINT.finditer(text)]
     bounds = [0, *(m.start() for m in SCOPE_END.finditer(text)), len(text)]
 
+    reach = len(text) if reach is None else reach
+
     def widened(spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[int]]:
         wide = []
         for s, e in spans:
@@ -130,7 +131,7 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], RANK[x[2]])))
 
 
-def scan(text: str | None, reach: int = REACH) -> tuple[list, list]:
+def scan(text: str | None, reach: int | None = None) -> tuple[list, list]:
     """Base spans and all spans of a text."""
     if not text:
         return [], []
@@ -138,7 +139,7 @@ def scan(text: str | None, reach: int = REACH) -> tuple[list, list]:
     return base, base + linked_parts(text, base, reach)
 
 
-def redact(text: str | None, reach: int = REACH) -> str | None:
+def redact(text: str | None, reach: int | None = None) -> str | None:
     """The text with every span masked."""
     spans = scan(text, reach)[1]
     if not spans:
@@ -150,7 +151,7 @@ def redact(text: str | None, reach: int = REACH) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = None) -> DataFrame:
     """Counts and spans per row of ``docs``: one narrow pass, no shuffle."""
     id_type = docs.schema[id_col].dataType.simpleString()
     counts = ["n_assign", "n_access", "n_hex"]
@@ -174,7 +175,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def redacted_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", reach: int = REACH) -> DataFrame:
+def redacted_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", reach: int | None = None) -> DataFrame:
     """All documents with their secrets masked; columns and their order stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,8 +14,9 @@ query itself). No row is left out otherwise.
 Queries are grouped, and every (block, group) pair is one unit of work: memory is bounded by one
 block and one group, and the k best of a pair are all that is passed on.
 
-Vectors that are NULL or hold NULL or non-finite components take no part; nor do those whose
-quantised components exceed ``MAX_COMPONENT``, as scores must fit a long. Of vectors with
+Vectors that are NULL or hold NULL or non-finite components (256-fold included) take no part. Scores
+are exact: where a pair of block and group could leave 64 bits, it is computed in Python's integers. A score among the k best
+that does not fit a long is an error. Of vectors with
 different lengths the shorter one counts as padded with zeros. A NULL id takes no part. Rows that
 repeat an id are rows of their own; the query's own are not its candidates. Queries that share an
 id are one query that scores with each of its vectors. An empty table gives no rows. Other columns are never read.
@@ -31,19 +32,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import table
+from sluice.llm.vectors import as_long, largest, matrix
 
 BLOCK_ROWS = 65_536
 GROUP_QUERIES = 256
 LOW_BITS = 5
 SCALE = 256
-MAX_COMPONENT = 1 << 26
 
 
 def quantised(vector: Column) -> Column:
-    """floor(256 * x) of every component; NULL for a vector that takes no part."""
-    v = F.transform(vector, lambda x: x.cast("double"))
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= MAX_COMPONENT / SCALE))
-    return F.when(fine, F.transform(v, lambda x: F.floor(x * SCALE).cast("int")))
+    """floor(256 * x) of every component as a double; NULL for a vector that takes no part."""
+    v = F.transform(vector, lambda x: x.cast("double") * SCALE)
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # Doubles from 2**53 on are whole numbers; floor() would cut them to a long.
+    return F.when(fine, F.transform(v, lambda x: F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)))
 
 
 def digits(n: int) -> list[tuple[int, int]]:
@@ -147,16 +149,6 @@ class SlicedBlock:
         return np.flatnonzero(np.unpackbits((more | same).view(np.uint8), bitorder="little"))
 
 
-def _matrix(lists: pa.ListArray, dims: int) -> np.ndarray:
-    """Rows of a list column as a matrix, padded with zeros."""
-    out = np.zeros((len(lists), dims), np.int64)
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    values = lists.flatten().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(lists)), lengths)
-    out[rows, np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = values
-    return out
-
-
 def _distinct(ids: np.ndarray, vectors: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """(vector number per kept row, row index), with ``keep`` smallest ids of equal vectors."""
     if not len(ids):
@@ -176,6 +168,10 @@ def best_of_pair(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     if not len(row):
         return []
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    dims = vectors.shape[1]
+    fits = dims * max(largest(vectors), 1) * max(largest(queries), 1) < 1 << 62
+    whole = (lambda m: m.astype(np.int64)) if fits else np.vectorize(int, otypes=[object])
+    vectors, queries = (whole(m) if m.size else m.astype(np.int64) for m in (vectors, queries))
     block = SlicedBlock(vectors[row[starts]])
     stops = np.r_[starts[1:], len(row)]
     out = []
@@ -187,8 +183,8 @@ def best_of_pair(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
         member_scores = np.repeat(scores, stops[found] - starts[found])
         other = member_ids != q
         member_ids, member_scores = member_ids[other], member_scores[other]
-        order = np.lexsort((member_ids, -member_scores))[:k]
-        out += [(int(q), int(i), int(s)) for i, s in zip(member_ids[order], member_scores[order])]
+        order = np.lexsort((member_ids, -member_scores))[:k] if fits else sorted(range(len(member_ids)), key=lambda m: (-member_scores[m], member_ids[m]))[:k]
+        out += [(int(q), int(i), as_long(s)) for i, s in zip(member_ids[order], member_scores[order])]
     return out
 
 
@@ -230,7 +226,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
                 ids, asked_ids = block.field("id").to_numpy(), group.field("id").to_numpy()
                 b, g = block.field("v"), group.field("v")
                 dims = max(b.value_lengths().to_numpy(zero_copy_only=False).max(initial=0), g.value_lengths().to_numpy(zero_copy_only=False).max(initial=0))
-                best = best_of_pair(ids, _matrix(b, dims), asked_ids, _matrix(g, dims), k)
+                best = best_of_pair(ids, matrix(b, dims), asked_ids, matrix(g, dims), k)
                 columns = list(zip(*best)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 

@@ -141,7 +141,29 @@ def test_weak_parts_need_each_other():
     kinds = {k for *_, k in secret_scan.scan(f"client_id = frontdesk uses {value} on {host}")[1]}
     assert kinds == {"identifier", "value", "endpoint"}
     assert secret_scan.scan(f"client_id = frontdesk\n\n{value}")[1] == []
-    assert secret_scan.scan(f"client_id = frontdesk {'x ' * 300} {value}")[1] == []
+    # Parts meet across their whole scope, unless a caller gives a reach.
+    far = f"client_id = frontdesk {'x ' * 300} {value}"
+    assert {k for *_, k in secret_scan.scan(far)[1]} == {"identifier", "value"} and secret_scan.scan(far, 200)[1] == []
+
+
+def test_links_equal_all_pairs_of_a_scope():
+    rng = random.Random(12)
+    value, host = "wJalrXUtnFEMI7MDENGbPxRfiCYkEY42", "db.prod.example.com"
+    bits = ["client_id = frontdesk", value, host, "AKIA" + "Z9" * 8, "token: abcdef99", "plain words", "x " * 150, "\n", "\n\n", "\n \n"]
+    for _ in range(300):
+        text = " ".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        base, got = secret_scan.scan(text)
+        ends = [m.start() for m in secret_scan.SCOPE_END.finditer(text)]
+        scope = lambda at: sum(e <= at for e in ends)  # noqa: E731,B023
+        parts = [(s, e, k) for s, e, k in base]
+        parts += [(m.start(), m.end(), "identifier") for m in secret_scan.IDENTIFIER.finditer(text)]
+        parts += [(m.start(), m.end(), "value") for m in re.finditer(value, text)]
+        parts += [(m.start(), m.end(), "endpoint") for m in secret_scan.ENDPOINT.finditer(text)]
+        near = lambda at, *kinds: any(scope(s) == scope(at) and k in kinds for s, _, k in parts)  # noqa: E731,B023
+        is_id, is_secret = ("identifier", "access"), ("assign", "hex", "value")
+        want = [p for p in parts if p[2] in ("assign", "access", "hex") or p[2] == "identifier" and near(p[0], *is_secret)
+                or p[2] == "value" and near(p[0], *is_id) or p[2] == "endpoint" and near(p[0], *is_id) and near(p[0], *is_secret)]
+        assert sorted(got) == sorted(want), text
 
 
 def test_redaction_masks_every_span(documents):

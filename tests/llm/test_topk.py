@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import topk
@@ -51,7 +52,11 @@ def test_large_values_few_rows_and_empty_table(spark):
     got = run(spark, rows)
     assert [r[:3] for r in got] == [r[:3] for r in plain([r[:2] for r in rows], 5, 10)]
     assert run(spark, []) == []
-    assert run(spark, [(0, [1e30], "", ""), (1, [1.0], "", "")]) == []
+    # No finite vector is left out; only a score that no long holds is an error.
+    rows = [(0, [2.0**40, 0.0]), (1, [0.0, 2.0**40]), (2, [2.0**-8, 3.0]), (3, [1e-30, 2.0]), (10, [1.0, 16.0]), (4, [-2.0, 1.0])]
+    assert run(spark, [(*r, "", "") for r in rows]) == plain(rows, 5, 10) != []
+    with pytest.raises(Exception, match="does not fit a long"):
+        run(spark, [(0, [1e30], "", ""), (1, [1.0], "", "")])
 
 
 def test_query_columns(spark):
