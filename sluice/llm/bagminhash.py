@@ -54,6 +54,8 @@ CACHE_WORDS = 500_000
 PIVOTS = 4
 LEAST_FOUND = 0.25
 MAX_ROUNDS = 12
+# Shingles known as common when large buckets are cut; which ones does not change the links.
+MAX_COMMON = 200_000
 # Odd multipliers of the hash mixes.
 STEP, M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 PLACES = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
@@ -406,25 +408,39 @@ class Contraction:
 def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
     """(id, band, key): for each text its rarest shingles, one of which it shares with any similar text.
 
-    The order is the number of these texts that hold a shingle; shingles of a single text are the rarest
-    and make no bucket.
+    That holds for any common order of shingles. Here those of at most a block of these texts come first, by value; then the
+    others by the number of texts that hold them. At most MAX_COMMON, the commonest, count as such.
     """
+    mine = sets.join(ids, "id", "left_semi").select("id", "set")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "set"):
             found = [np.frombuffer(s, np.int64) for s in part.column("set").to_pylist()]
-            sizes = [len(f) for f in found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))], names=["key"])
+
+    held = mine.mapInArrow(each, "key long").groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > BLOCK_DOCS)
+    rows = sorted((r.key, r.held) for r in held.orderBy(F.desc("held"), "key").limit(MAX_COMMON).collect())
+    # One key more, beyond all others, so that a search always finds a place.
+    known = np.array([k for k, _ in rows] + [np.iinfo(np.int64).max], np.int64)
+    times = np.array([n for _, n in rows] + [0], np.int64)
+    common = sets.sparkSession.sparkContext.broadcast((known, times))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = common.value
+        for part in text_slices(batches, "set"):
+            keys = []
+            for raw in part.column("set").to_pylist():
+                key = np.frombuffer(raw, np.int64)
+                at = np.searchsorted(known, key)
+                weight = np.where(known[at] == key, times[at], 0)
+                first = len(key) - int(np.ceil(similarity * len(key) - 1e-6)) + 1
+                keys.append(key[np.lexsort((key, weight))[:first]])
+            rows = np.repeat(part.column("id").to_numpy(), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(part.column("id").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))],
-                names=["id", "n", "key"],
+                [pa.array(rows), pa.array(np.full(len(rows), -1, np.int32)), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)]))], names=["id", "band", "key"]
             )
 
-    each = sets.join(ids, "id", "left_semi").select("id", "set").mapInArrow(run, "id long, n long, key long")
-    shared = each.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").repartition("key", "held")
-    held = each.join(shared, "key").groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("held", "key"))).alias("keys"))
-    prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-6) + 1
-    own = F.col("n") - F.size("keys")
-    return held.filter(prefix > own).select("id", F.lit(-1).alias("band"), F.explode(F.slice("keys", F.lit(1), (prefix - own).cast("int"))["key"]).alias("key"))
+    return mine.mapInArrow(prefixes, "id long, band int, key long")
 
 
 def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
