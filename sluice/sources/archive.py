@@ -134,11 +134,11 @@ def read_archive(spark: SparkSession, path: str, start, end) -> DataFrame:
     files = files_of_range(spark, path, low, high)
     if files is None:
         rows = spark.read.parquet(path)
-        rows = rows.filter(F.col("event_date").between(F.lit(low.date()), F.lit(high.date())))
     elif files:
-        rows = spark.read.schema(ARCHIVE_SCHEMA).option("basePath", path).parquet(*files)
+        rows = spark.read.schema(f"{ARCHIVE_SCHEMA}, event_date date").option("basePath", path).parquet(*files)
     else:
         return spark.createDataFrame([], RANGE_SCHEMA)
+    rows = rows.filter(F.col("event_date").between(F.lit(low.date()), F.lit(high.date())))
     return time_range(rows, low, high).select(
         "event_id",
         "event_type",
