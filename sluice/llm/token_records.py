@@ -33,7 +33,7 @@ from sluice.llm.common import WorkFolder, table, text_slices
 END_ID = 0
 # Text bytes per file; a file is read whole by one task.
 FILE_BYTES = 12 << 20
-# Chunks whose ids a worker remembers.
+# Chunks in each of the two generations that a worker remembers.
 CACHE_CHUNKS = 400_000
 # Text bytes that are encoded at once.
 PIECE_BYTES = 1 << 20
@@ -86,27 +86,31 @@ class ChunkIds(dict):
     """Ids (as bytes) of chunks by their text; an unknown chunk is encoded when it is asked for.
 
     A chunk stands behind a space, which is left off, or begins with a line feed. A chunk with a
-    space in front is one that has nothing before it in its text.
+    space in front is one that has nothing before it in its text. ``older`` is the generation
+    before; its chunks come back when they are asked for, and the others are forgotten with it.
     """
 
-    def __init__(self, tokenizer, dtype: str):
+    def __init__(self, tokenizer, id_bytes: list[bytes], older: dict):
         super().__init__()
-        self.tokenizer, self.dtype, self.tokenize = tokenizer, dtype, tokenizer.model.tokenize
+        self.tokenizer, self.tokenize, self.id_bytes, self.older = tokenizer, tokenizer.model.tokenize, id_bytes, older
 
     def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.older.pop(chunk, None) or self.encode(chunk)
+        return ids
+
+    def encode(self, chunk: str) -> bytes:
         head = chunk.rstrip(PUNCTUATION)
         if len(head) < len(chunk) and head.isalpha():
             # The splitting rule parts letters from the punctuation behind them.
-            ids = self[head] + self[" " + chunk[len(head) :]]
-        elif chunk.isalpha():
+            return self[head] + self[" " + chunk[len(head) :]]
+        if chunk.isalpha():
             # One unit of the splitting rule: straight to the merges.
             word = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = np.array([t.id for t in self.tokenize(SPACE_LETTER + word)], self.dtype).tobytes()
+            ids = [t.id for t in self.tokenize(SPACE_LETTER + word)]
         else:
             text = chunk[1:] if chunk[:1] == " " else chunk if chunk[:1] == "\n" else " " + chunk
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        self[chunk] = ids
-        return ids
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join([self.id_bytes[i] for i in ids])
 
 
 class CachedEncoder:
@@ -121,10 +125,12 @@ class CachedEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.by_chunk = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tokenizer.normalizer is None
-        self.known = ChunkIds(self.tokenizer, self.dtype)
+        self.id_bytes = [i.to_bytes(self.width, "little") for i in range(size)] if self.by_chunk else []
+        self.known = ChunkIds(self.tokenizer, self.id_bytes, {})
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -133,8 +139,7 @@ class CachedEncoder:
         return text[-1:] in (" ", "\n") or any(x in text for x in UNEVEN)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, hot, get = [], set(), self.known.__getitem__
-        full = len(self.known) > CACHE_CHUNKS
+        out, get = [], self.known.__getitem__
         for text in texts:
             if not self.by_chunk or self.uneven(text):
                 out.append(self.whole(text))
@@ -142,13 +147,9 @@ class CachedEncoder:
             chunks = text.replace("\n", " \n").split(" ")
             chunks[0] = " " + chunks[0]
             out.append(b"".join(map(get, chunks)))
-            if full:
-                hot.update(chunks)
-        if full:
-            # Frequent chunks are among those of this piece.
-            kept = {c: get(c) for c in hot}
-            self.known.clear()
-            self.known.update(kept)
+        if len(self.known) > CACHE_CHUNKS:
+            self.known.older = {}
+            self.known = ChunkIds(self.tokenizer, self.id_bytes, self.known)
         return out
 
 
