@@ -5,11 +5,14 @@ once through an automaton of phrases that start and end at word borders. An ``SP
 Identifier`` hit hands the rest of its line to the expression parser: a shunting-yard over
 ``and``, ``or``, ``with`` and parentheses gives postfix order, which is evaluated to the
 licenses in it and to a class (``or`` takes the freer side, ``and`` the stricter one, an
-exception loosens by one class). A broken expression gives no label.
+exception loosens by one class). Names must be known identifiers or ``LicenseRef-``
+names; an expression with any other name, like a broken one, gives no label. It ends at the
+end of its line, a comment end, the next tag, or the word behind a complete expression.
 
 The score is the chance that the document states a license: 1 - product of (1 - weight) over
 its evidence. NULL and empty texts have no words, no labels and score 0. Rows are scanned alone:
-equal rows get equal results, other columns are never read.
+equal rows get equal results, other columns are never read, an empty table gives no rows. Time
+and memory grow with the length of a text, however many tags or phrases it holds.
 """
 
 from __future__ import annotations
@@ -60,12 +63,18 @@ IDENTIFIERS = (
     ("apache-2", "apache-2", 0), ("mit", "mit", 0), ("isc", "isc", 0), ("bsd", "bsd", 0), ("0bsd", "bsd", 0),
     ("zlib", "zlib", 0), ("unlicense", "unlicense", 0), ("cc0", "cc0", 0),
     ("cc-by-nc", "cc-by-nc", 3), ("cc-by-sa", "cc-by-sa", 2), ("cc-by", "cc-by", 0),
-    ("lgpl", "lgpl", 1), ("mpl", "mpl", 1), ("epl", "epl", 1),
+    ("artistic", "artistic", 0), ("bsl-1.0", "bsl", 0), ("postgresql", "postgresql", 0), ("python", "python", 0), ("psf", "python", 0),
+    ("ofl", "ofl", 0), ("wtfpl", "wtfpl", 0), ("ncsa", "ncsa", 0), ("x11", "x11", 0), ("openssl", "openssl", 0), ("ms-pl", "ms-pl", 0),
+    ("lgpl", "lgpl", 1), ("mpl", "mpl", 1), ("epl", "epl", 1), ("cddl", "cddl", 1), ("eupl", "eupl", 2), ("ms-rl", "ms-rl", 1),
     ("agpl", "agpl", 2), ("gpl-2", "gpl-2", 2), ("gpl-3", "gpl-3", 2), ("gpl", "gpl", 2),
 )
-UNKNOWN_CLASS = 3
+# Names that a project defines for itself are labels of their own, of the strictest class.
+OWN_NAME = re.compile(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
+OWN_CLASS = 3
+EXCEPTION = re.compile(r"[a-z0-9.+-]+-exception(-[a-z0-9.-]+)?|linux-syscall-note")
 TAG_WEIGHT, BASE_WEIGHT, NOTICE_WEIGHT = 0.95, 0.8, 0.7
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+LEAD = re.compile(r"[ :=]*")
 # Comment ends that may follow an identifier on its line.
 LINE_END = re.compile(r"\*/|-->|[\r\n;,\"']")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
@@ -84,21 +93,22 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
-def identifier(name: str) -> tuple[str, int] | None:
-    """Label and class of one identifier; None for the words NONE and NOASSERTION."""
+def identifier(name: str) -> tuple[set[str], int] | None:
+    """Labels and class of one identifier: none for NONE and NOASSERTION, None if it is unknown."""
     low = name.lower().rstrip("+")
     if low in ("none", "noassertion"):
-        return None
+        return set(), 0
     for prefix, label, level in IDENTIFIERS:
         if low == prefix or low.startswith(prefix) and low[len(prefix)] in "-.":
-            return label, level
-    return low, UNKNOWN_CLASS
+            return {label}, level
+    return ({low}, OWN_CLASS) if OWN_NAME.fullmatch(low) else None
 
 
-def postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: tokens in postfix order, None if the expression is broken."""
-    out, stack, want_operand = [], [], True
-    for token in TOKEN.findall(expression):
+def parse(text: str, start: int, stop: int) -> tuple[list[str], list[str]] | None:
+    """Shunting-yard over a stretch of text: (tokens read, tokens in postfix order), None if broken."""
+    read, out, stack, want_operand = [], [], [], True
+    for found in TOKEN.finditer(text, start, stop):
+        token = found.group()
         low = token.lower()
         if low in PRECEDENCE:
             if want_operand:
@@ -125,40 +135,56 @@ def postfix(expression: str) -> list[str] | None:
         else:
             # Prose after a complete expression ends it.
             break
+        read.append(token)
     if want_operand or "(" in stack:
         return None
-    return out + stack[::-1]
+    return read, out + stack[::-1]
 
 
 def evaluate(expression: str) -> tuple[set[str], int] | None:
-    """Labels and class of an expression, None if it is broken or names no license."""
-    order = postfix(expression)
-    if order is None:
-        return None
+    """Labels and class of an expression, None if it is broken, has an unknown name or no license."""
+    parsed = parse(expression, 0, len(expression))
+    return value_of(parsed[1]) if parsed else None
+
+
+def value_of(order: list[str]) -> tuple[set[str], int] | None:
+    """Labels and class of tokens in postfix order. An unknown exception grants nothing."""
     stack: list = []
     for token in order:
         if token not in PRECEDENCE:
             stack.append(token)
             continue
-        right, left = stack.pop(), stack.pop()
-        left = _value(left)
+        right, left = stack.pop(), _value(stack.pop())
         if token == "with":
-            if not isinstance(right, str):
+            if left is None or not isinstance(right, str):
                 return None
-            stack.append((left[0], max(left[1] - 1, 0)))
+            granted = EXCEPTION.fullmatch(right.lower()) is not None
+            stack.append((left[0], max(left[1] - granted, 0)))
             continue
         right = _value(right)
+        if left is None or right is None:
+            return None
         level = min(left[1], right[1]) if token == "or" else max(left[1], right[1])
         stack.append((left[0] | right[0], level))
-    labels, level = _value(stack.pop())
-    return (labels, level) if labels else None
+    value = _value(stack.pop())
+    return value if value and value[0] else None
+
+
+def _value(item: str | tuple[set[str], int]) -> tuple[set[str], int] | None:
+    return item if isinstance(item, tuple) else identifier(item)
 
 
-def _value(item: str | tuple[set[str], int]) -> tuple[set[str], int]:
-    if isinstance(item, tuple):
-        return item
-    found = identifier(item)
-    return ({found[0]}, found[1]) if found else (set(), 0)
+def tag_expressions(text: str, tag_words: list[int]) -> Iterator[tuple[list[str], set[str], int]]:
+    """(tokens, labels, class) behind each tag, given the number of its first word."""
+    spans = [m.span() for m in WORDS.finditer(text.translate(LOWER))]
+    last = TAG.count(" ")
+    stops = [*(spans[w][0] for w in tag_words[1:]), len(text)]
+    for word, stop in zip(tag_words, stops):
+        start = LEAD.match(text, spans[word + last][1], stop).end()
+        line_end = LINE_END.search(text, start, stop)
+        parsed = parse(text, start, line_end.start() if line_end else stop)
+        if parsed and (value := value_of(parsed[1])):
+            yield parsed[0], *value
 
 
 def scan(text: str | None) -> tuple:
@@ -169,29 +195,26 @@ def scan(text: str | None) -> tuple:
         return 0, 0, None, None, "", "", 0.0, None, None
     flat = f" {b' '.join(words).decode()} "
     places, base_labels, labels, notices, expressions, tags = [], set(), set(), set(), [], []
-    for end, (kind, label, length) in automaton().iter(flat):
-        # ``end`` is the space after the phrase; words before it are counted by their spaces.
-        start = end - length
+    # A hit ends at the space after its phrase. Words before it are counted by their spaces, from hit to hit.
+    hits = sorted((end - length, kind, label) for end, (kind, label, length) in automaton().iter(flat))
+    word, counted = -1, 0
+    for start, kind, label in hits:
+        word += flat.count(" ", counted, start)
+        counted = start
         if kind == "tag":
-            tags.append(start)
+            tags.append(word)
             continue
         if kind == "base":
-            places.append(flat.count(" ", 0, start) - 1)
+            places.append(word)
             base_labels.add(label)
         else:
             notices.add(label)
         labels.add(label)
     level = None
-    if tags:
-        ends = [m.end() for m in WORDS.finditer(text.translate(LOWER))]
-        n_tag = TAG.count(" ") + 1
-        for start in tags:
-            after = text[ends[flat.count(" ", 0, start) - 2 + n_tag] :]
-            line = LINE_END.split(after.lstrip(" :="), maxsplit=1)[0]
-            if value := evaluate(line):
-                labels |= value[0]
-                expressions.append(" ".join(TOKEN.findall(line)))
-                level = value[1] if level is None else max(level, value[1])
+    for tokens, found, strictness in tag_expressions(text, tags) if tags else ():
+        labels |= found
+        expressions.append(" ".join(tokens))
+        level = strictness if level is None else max(level, strictness)
     miss = (1 - BASE_WEIGHT) ** len(base_labels) * (1 - NOTICE_WEIGHT) ** len(notices) * (1 - TAG_WEIGHT) ** len(expressions)
     return (
         len(words), len(places), min(places, default=None), max(places, default=None),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -113,6 +114,28 @@ def test_license_tags(documents):
     assert b.labels == c.labels == "" and b.score == c.score == 0 and c.expressions is None
 
 
+def test_license_tags_need_known_names(documents):
+    tag = "SPDX-License-Identifier: "
+    texts = [f"{tag}see the file", f"{tag}GPL-2.0-only WITH nonsense", f"{tag}LicenseRef-House-1", f"{tag}MIT {tag}ISC, and more", f"{tag}MIT or\n{tag}ISC"]
+    got = [(r.labels, r.expressions, r.license_class) for r in license_scan.license_scan(documents(texts)).collect()]
+    assert got == [("", None, None), ("gpl-2", "GPL-2.0-only WITH nonsense", 2), ("licenseref-house-1", "LicenseRef-House-1", 3), ("isc,mit", "MIT; ISC", 0), ("isc", "ISC", 0)]
+
+
+def test_license_long_text_takes_linear_time():
+    text = "SPDX-License-Identifier: MIT OR Apache-2.0 under the MIT license cc by nc " * 100_000
+    start = time.process_time()
+    got = license_scan.scan(text)
+    assert time.process_time() - start < 30
+    assert got[:4] == (1_500_000, 200_000, 8, 1_499_997) and got[5] == "apache-2,cc-by-nc,mit" and got[7].count(";") == 99_999
+
+
+def test_license_empty_table_repeats_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "MIT License, cc by nc", 9, "x"), (1, "MIT License, cc by nc", 9, "x"), (None, None, 1, None)], "doc_id long, text string, n_words int, labels string")
+    rows = license_scan.license_scan(df).collect()
+    assert [(r.doc_id, r.n_words, r.labels) for r in rows] == [(1, 5, "cc-by-nc")] * 2 + [(None, 0, "")]
+    assert license_scan.license_scan(df.limit(0)).collect() == []
+
+
 def plain_secrets(text):
     text, out = text or "", []
     for m in re.finditer(r"""((?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", text, re.A | re.I):
