@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,21 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def with_file_order(docs: DataFrame, columns: list[str], part: str, row: str) -> DataFrame:
+    """``columns`` of ``docs`` with the number of each row's part file and its place in that file.
+
+    A task reads files in any order; ascending (part, row) is the order in which a range sort
+    wrote them. A frame that does not read files directly is numbered by partition and row.
+    """
+    try:
+        meta = docs.metadataColumn("_metadata")
+        number = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1)
+        return docs.select(*columns, F.nullif(number, F.lit("")).cast("long").alias(part), meta["row_index"].alias(row))
+    except AnalysisException:
+        place = F.monotonically_increasing_id()
+        return docs.select(*columns, F.shiftright(place, 33).alias(part), place.bitwiseAND((1 << 33) - 1).alias(row))
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as a long; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

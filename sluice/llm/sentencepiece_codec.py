@@ -290,8 +290,8 @@ class Encoder:
         return raw.decode("utf-8", "replace")[1:]
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids, round_trip) of every row: one narrow pass, no shuffle.
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_tokens, ids, round_trip, columns to keep) of every row: one narrow pass, no shuffle.
 
     ``round_trip`` tells whether the decoded ids are the text (U+2581 taken as a space).
     """
@@ -307,11 +307,12 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             values = np.frombuffer(b"".join(encoded), encoder.v.dtype).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(id_col), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_())],
-                names=[id_col, "n_tokens", "ids", "round_trip"],
+                [part.column(id_col), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_()), *map(part.column, keep)],
+                names=[id_col, "n_tokens", "ids", "round_trip", *keep],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids array<int>, round_trip boolean")
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(id_col, text_col, *keep).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids array<int>, round_trip boolean{kept}")
 
 
 def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -38,6 +38,9 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     assert {r.doc_id: r["count"] for r in mixed} == copies
     sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.piece_model())
     assert frames[5].count() == frames[4].count()
+    # Rows of the last stage, by their place, are those of the mix in training order.
+    order = [r.doc_id for r in mixing.training_order(frames[3]).collect()]
+    assert [r.doc_id for r in frames[5].orderBy("training_part", "training_row").collect()] == order
     assert all(r.ids == sp.encode(rows[4][i].text) for i, r in rows[5].items())
 
 
