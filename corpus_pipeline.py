@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.bagminhash import one_of_each
-from sluice.llm.common import WorkFolder, table
+from sluice.llm.common import WorkFolder, table, with_file_order
 from sluice.llm.mixing import training_order
 from sluice.llm.quality_rules import cleaned_documents
 from sluice.llm.secret_scan import redacted_documents
@@ -37,8 +37,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row."""
-    return encode_documents(docs, piece_model())
+    """Token ids of every row and its place in training order: ascending (training_part, training_row)."""
+    place = ("training_part", "training_row")
+    return encode_documents(with_file_order(docs, ["doc_id", "text"], *place), piece_model(), keep=place)
 
 
 STAGES = [
