@@ -11,12 +11,12 @@ until the latest first point of the text is passed, which needs few points per s
 ``BANDS`` bands of ``ROWS`` values make candidates: texts that share a bucket, whatever its size; a pair of
 similarity 0.8 does with probability 0.99995. Texts of similarity 0.8 or more that share a bucket, directly
 or by others, are one class, named by its smallest doc_id. In rounds, each text is compared exactly with few
-pivots (the smallest of a bucket by a hash of the round; those that share most buckets first) and classes are
-contracted; buckets that lie within one class drop out. When few of a round's pairs are links, what is left is
+pivots (of a bucket first the text that shares buckets with the most others, then the smallest by a hash of the
+round; those that share most buckets first) and classes are contracted; buckets that lie within one class drop out. When few of a round's pairs are links, what is left is
 compared in tiles: of a bucket, texts outside its largest class against all texts of other classes. Buckets
-beyond a tile (many texts that share a passage and little else) are first cut by a filter that loses nothing: texts of similarity s
-share one of the n - ceil(s * n) + 1 rarest of their n shingles, so buckets of rare shingles take
-their place. So a group of near copies costs a few comparisons per text and round, not per pair, and every
+beyond a tile (many texts that share a passage and little else) are first cut by a filter that loses nothing: texts of
+n and m shingles and similarity s have s / (1 + s) * (n + m) in common, so they share one of their rarest n - that + 1 and
+m - that + 1. Buckets of shingles take their place, those of common shingles apart for every two classes of length. So a group of near copies costs a few comparisons per text and round, not per pair, and every
 candidate pair is compared, ruled out or already in one class.
 
 Exact copies meet by a digest of their text first, and one of them stands for all. What is compared
@@ -54,6 +54,9 @@ CACHE_WORDS = 500_000
 PIVOTS = 4
 LEAST_FOUND = 0.25
 MAX_ROUNDS = 12
+# Lengths of texts that form a class differ by at most this factor.
+LENGTH_STEP = 1.05
+LENGTHS = np.unique(np.ceil(LENGTH_STEP ** np.arange(600)).astype(np.int64))
 # Shingles known as common when large buckets are cut; which ones does not change the links.
 MAX_COMMON = 200_000
 # Odd multipliers of the hash mixes.
@@ -378,12 +381,14 @@ class Contraction:
         return found.count()
 
     def mixed(self, met: DataFrame) -> DataFrame:
-        """Rows of the buckets ``met`` (id, band, key) that hold several classes, with their class and the bucket's pivot."""
+        """Rows of the buckets ``met`` (id, band, key; first also central) that hold several classes, with their class and the bucket's pivot."""
         if self.classes is None:
             rows = met.withColumn("component", F.col("id"))
         else:
             rows = met.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        pivot = F.min(F.struct(F.xxhash64("id", F.lit(self.step)).alias("order"), "id", "component"))
+        # The text in the midst of a group of near copies is similar to most of them.
+        order = F.xxhash64("id", F.lit(self.step)) if self.step else -F.col("central")
+        pivot = F.min(F.struct(order.alias("order"), "id", "component"))
         several = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot"))
         several = several.filter("low < high").select("band", "key", "pivot").repartition("band", "key", "pivot")
         return self.folder.write(rows.join(several, ["band", "key"]), f"live-{self.step}")
@@ -405,6 +410,43 @@ class Contraction:
         return met
 
 
+def centrality(met: DataFrame) -> DataFrame:
+    """``met`` (id, band, key) with the number of texts, repeats counted, in the buckets of each text."""
+    held = met.groupBy("band", "key").agg(F.count("*").alias("held")).repartition("band", "key", "held")
+    central = met.join(held, ["band", "key"]).groupBy("id").agg(F.sum("held").alias("central"))
+    return met.join(central, "id")
+
+
+def length_class(n: int) -> int:
+    return int(np.searchsorted(LENGTHS, n, "right")) - 1
+
+
+def prefix_lengths(n: int, similarity: float) -> list[tuple[int, int]]:
+    """(class, prefix) for every class of lengths that a similar text of one with ``n`` shingles may be of.
+
+    Of any order of shingles, one of the first ``prefix`` is shared with each similar text of that class.
+    """
+    least = int(np.ceil(similarity * n - 1e-6))
+    classes = range(length_class(max(least, 1)), length_class(int(n / similarity + 1e-6)) + 1)
+    share = similarity / (1 + similarity)
+    return [(k, n - int(np.ceil(share * (n + max(int(LENGTHS[k]), least)) - 1e-6)) + 1) for k in classes]
+
+
+def prefix_keys(keys: np.ndarray, common: int, similarity: float) -> list[tuple[int, np.ndarray]]:
+    """(band, keys) by which a text meets all similar ones; the last ``common`` of its ``keys`` are the common ones.
+
+    Rare shingles meet whatever the lengths. Common ones meet for each two classes of length apart, so that a text whose
+    rare shingles, if shared with none, make it too different from all of a class is in no bucket with that class.
+    """
+    n, rare = len(keys), len(keys) - common
+    own, ways = length_class(n), prefix_lengths(n, similarity)
+    out = [(-1, keys[: min(rare, max(p for _, p in ways))])]
+    for k, prefix in ways:
+        if prefix > rare:
+            out.append((-3 - (min(own, k) * len(LENGTHS) + max(own, k)), keys[rare:prefix]))
+    return out
+
+
 def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
     """(id, band, key): for each text its rarest shingles, one of which it shares with any similar text.
 
@@ -428,16 +470,19 @@ def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFra
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = common.value
         for part in text_slices(batches, "set"):
-            keys = []
-            for raw in part.column("set").to_pylist():
+            rows, bands, keys = [], [], [np.zeros(0, np.int64)]
+            for doc, raw in zip(part.column("id").to_pylist(), part.column("set").to_pylist()):
                 key = np.frombuffer(raw, np.int64)
                 at = np.searchsorted(known, key)
                 weight = np.where(known[at] == key, times[at], 0)
-                first = len(key) - int(np.ceil(similarity * len(key) - 1e-6)) + 1
-                keys.append(key[np.lexsort((key, weight))[:first]])
-            rows = np.repeat(part.column("id").to_numpy(), [len(k) for k in keys])
+                for band, some in prefix_keys(key[np.lexsort((key, weight))], int((weight > 0).sum()), similarity):
+                    rows.append(np.full(len(some), doc, np.int64))
+                    bands.append(np.full(len(some), band, np.int32))
+                    keys.append(some)
+            none = np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(np.full(len(rows), -1, np.int32)), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)]))], names=["id", "band", "key"]
+                [pa.array(np.concatenate([none, *rows])), pa.array(np.concatenate([none, *bands]).astype(np.int32)), pa.array(np.concatenate(keys))],
+                names=["id", "band", "key"],
             )
 
     return mine.mapInArrow(prefixes, "id long, band int, key long")
@@ -449,7 +494,7 @@ def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: W
     Classes only grow, so no pair is left out by dropping buckets that lie within one class.
     """
     state = Contraction(sets, folder, similarity)
-    left = state.rounds(met)
+    left = state.rounds(centrality(met))
     if left.count():
         per_bucket = left.join(sizes, "id").groupBy("band", "key").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
         large = folder.write(per_bucket.filter((F.col("docs") > BLOCK_DOCS) | (F.col("n") > BLOCK_SHINGLES)).select("band", "key"), "large")

@@ -194,3 +194,23 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     got = {r.id: r.component for r in components(df, WorkFolder(spark, "t"), "t").collect()}
     assert got == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}}
     assert components(df.limit(0), WorkFolder(spark, "t"), "t").collect() == []
+
+
+@pytest.mark.parametrize("similarity_", [0.8, 0.6])
+def test_prefix_keys_lose_no_similar_pair(similarity_):
+    """Every pair of sets similar enough shares a (band, key), whichever shingles count as common."""
+    rng = random.Random(11)
+    base = rng.sample(range(10**6), 160)
+    sets = [frozenset([7])]
+    for _ in range(220):
+        kept = rng.sample(base, rng.randint(110, 160))
+        sets.append(frozenset(kept + rng.sample(range(10**6, 10**6 + 400), rng.randint(0, 25))))
+    held = Counter(x for s in sets for x in s)
+    weight = {x: n if n > 30 else 0 for x, n in held.items()}
+    met = []
+    for s in sets:
+        keys = np.array(sorted(s, key=lambda x: (weight[x], x)), np.int64)
+        common = sum(weight[x] > 0 for x in s)
+        met.append({(b, int(k)) for b, some in bagminhash.prefix_keys(keys, common, similarity_) for k in some})
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= similarity_ * len(sets[i] | sets[j])]
+    assert len(pairs) > 100 and all(met[i] & met[j] for i, j in pairs)
