@@ -78,6 +78,54 @@ def lag_series(df: DataFrame, window_sec: int, now: Column | None = None) -> Dat
     )
 
 
+# Leading bits of a lag that its bucket keeps: the middle of a bucket is at most 1/128 away from any lag in it.
+LAG_BITS = 7
+
+
+def _dropped_bits(size: Column) -> Column:
+    return F.greatest(F.length(F.bin(size)) - LAG_BITS, F.lit(0))
+
+
+def lag_buckets(df: DataFrame, window_sec: int, now: Column | None = None) -> DataFrame:
+    """Events per window and bucket of lag: a sketch of the distribution that merges by adding counts.
+
+    A bucket holds the lags whose first LAG_BITS bits agree and is named by the one nearest to 0. Below 2^LAG_BITS
+    milliseconds each lag is its own bucket, so a window has at most some thousand of them.
+    """
+    lag = df.withColumn("_lag", event_lag_ms(now)).filter(F.col("_lag").isNotNull())
+    size = F.abs("_lag")
+    dropped = _dropped_bits(size)
+    low = F.call_function("shiftleft", F.call_function("shiftright", size, dropped), dropped)
+    return lag.groupBy(
+        tumbling("beam_processing_time", window_sec).alias("window_start"), (F.signum("_lag").cast("long") * low).alias("lag_low")
+    ).agg(F.count(F.lit(1)).alias("events"))
+
+
+def lag_percentiles(buckets: DataFrame, permille: dict[str, int]) -> DataFrame:
+    """Percentiles per window from any number of tables of ``lag_buckets``, laid one below the other.
+
+    ``permille`` names the columns. Of n lags in order, the one at place ceil(n * permille / 1000) is looked for; the
+    result is the middle of its bucket, whatever the cutting into batches.
+    """
+    merged = buckets.groupBy("window_start", "lag_low").agg(F.sum("events").alias("events"))
+    order = Window.partitionBy("window_start").orderBy("lag_low")
+    placed = merged.withColumns({
+        "_upto": F.sum("events").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_all": F.sum("events").over(Window.partitionBy("window_start")),
+    })
+    size = F.abs("lag_low")
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), _dropped_bits(size))
+    middle = F.signum("lag_low") * (size + (width - 1) / 2)
+    # The first bucket that reaches the place.
+    return placed.groupBy("window_start").agg(
+        F.sum("events").alias("lag_count"),
+        *[
+            F.min_by(middle, F.when(F.col("_upto") * 1000 >= F.col("_all") * p, F.col("lag_low"))).alias(name)
+            for name, p in permille.items()
+        ],
+    )
+
+
 def tumbling(column: str, window_sec: int) -> Column:
     """Start of the epoch-aligned window as epoch seconds."""
     seconds = F.unix_seconds(F.col(column))

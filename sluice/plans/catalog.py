@@ -726,6 +726,14 @@ def stream_letters(spark, sf_dir):
     return demo.stream_letters(prepare(spark), _raw(spark, sf_dir))
 
 
+def stream_lag_percentiles(spark, sf_dir):
+    """Lag percentiles of each hour, from the sketches of all micro-batches."""
+    from sluice.streaming import demo
+
+    events = event_time.filter_late(_timed(prepare(spark), sf_dir), 120)
+    return demo.lag_percentile_stream(spark, events, 3600, {"lag_p50": 500, "lag_p95": 950, "lag_p99": 990})
+
+
 def stream_counters(spark, sf_dir):
     from sluice.streaming import demo
 
@@ -752,7 +760,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         validate_length, validate_types, validate_all, event_counters, lag_distribution,
         lag_series, dashboard_series, alert_breaches, configured_alerts, nested_default,
         large_key_lookup, configured_table_lookup, event_time_check, source_by_mode, letters_target, backfill_run, stream_source,
-        stream_windows, stream_dedup, stream_state_age, stream_letters, stream_counters, streaming_run,
+        stream_windows, stream_dedup, stream_state_age, stream_letters, stream_counters, stream_lag_percentiles, streaming_run,
     ]
     out = {f.__name__: f for f in functions}
     out["row_id"] = row_ids

@@ -420,6 +420,13 @@ letters AS (
     o["lag_distribution"] = f"""{lag} SELECT window_start, count(*) AS lag_count, CAST(sum(lag) AS BIGINT) AS lag_sum,
       min(lag) AS lag_min, max(lag) AS lag_max FROM lg GROUP BY 1"""
     o["lag_series"] = f"{lag} SELECT window_start, max(lag) AS lag_max, quantile_cont(lag, 0.95) AS lag_p95 FROM lg GROUP BY 1"
+    # The exact percentile's place in order, then the middle of the numbers that share its first seven bits.
+    at = lambda p: f"max(CASE WHEN rn = (n * {p} + 999) // 1000 THEN mid END)"
+    o["stream_lag_percentiles"] = f"""{lag}, srt AS (SELECT window_start, lag, greatest(length(bin(abs(lag))) - 7, 0) AS cut,
+        row_number() OVER (PARTITION BY window_start ORDER BY lag) AS rn, count(*) OVER (PARTITION BY window_start) AS n FROM lg),
+      mids AS (SELECT window_start, rn, n, sign(lag) * ((abs(lag) // (1::BIGINT << cut)) * (1::BIGINT << cut) + ((1::BIGINT << cut) - 1) / 2.0) AS mid FROM srt)
+      SELECT window_start, count(*) AS lag_count, CAST({at(500)} AS DOUBLE) AS lag_p50, CAST({at(950)} AS DOUBLE) AS lag_p95,
+        CAST({at(990)} AS DOUBLE) AS lag_p99 FROM mids GROUP BY 1"""
     o["dashboard_series"] = f"""{counters} SELECT CAST(floor(proc_s / 60.0) AS BIGINT) * 60 AS window_start,
       coalesce(stage, 'accepted') AS stage, count(*) AS events FROM all_rows GROUP BY 1, 2"""
     o["alert_breaches"] = f"""{counters},

@@ -7,7 +7,7 @@ import copy
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators import decode, route, windows
+from sluice.operators import decode, metrics, route, windows
 from sluice.plans.sample_config import sample_config
 from sluice.session import work_dir
 from sluice.sources import tables
@@ -140,6 +140,20 @@ def stream_counters(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return spark.read.parquet(job.counters).groupBy("counter").agg(F.sum("value").alias("value"))
 
 
+def lag_percentile_stream(spark: SparkSession, events: DataFrame, window_sec: int, permille: dict[str, int]) -> DataFrame:
+    """Percentiles of the lag from one sketch per micro-batch."""
+    columns = ["beam_processing_time", "_event_time", "_reject"]
+    path, schema = _to_files(events.select(*columns).repartition(4), "timed")
+    out = work_dir(spark, "lag")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch_once(metrics.lag_buckets(batch, window_sec), out, batch_id)
+
+    query = file_messages(spark, path, schema, max_files=1).writeStream.foreachBatch(add)
+    query.option("checkpointLocation", work_dir(spark, "lag-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return metrics.lag_percentiles(spark.read.parquet(out), permille)
+
+
 def stream_letters(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Letters of messages that never became events, as the checking query wrote them."""
     path, schema = _to_files(raw.select(*_RAW_COLUMNS), "messages")

@@ -61,6 +61,8 @@ class StreamingJob:
         self.letters = letters
         self.table = f"{root}/{targets.live_table(cfg.destination)}"
         self.counters, self.lag = f"{root}/metrics/counters", f"{root}/metrics/lag"
+        # Sketches of the lag, for metrics.lag_percentiles.
+        self.lag_buckets = f"{root}/metrics/lag_buckets"
         self.checkpoints = f"{root}/checkpoints"
         dedup_cfg = cfg.streaming_tuning.get("dedup") or {}
         self.calendar = None
@@ -96,6 +98,8 @@ class StreamingJob:
             tables.write_batch_once(metrics.event_counters(checked).coalesce(1), self.counters, batch_id)
             lag = metrics.lag_distribution(checked.filter(route.ok()), LAG_WINDOW_SEC)
             tables.write_batch_once(lag.coalesce(1), self.lag, batch_id)
+            sketch = metrics.lag_buckets(checked.filter(route.ok()), LAG_WINDOW_SEC)
+            tables.write_batch_once(sketch.coalesce(1), self.lag_buckets, batch_id)
         finally:
             checked.unpersist()
             decoded.unpersist()

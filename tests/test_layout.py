@@ -158,3 +158,32 @@ def test_a_lookup_table_with_repeated_keys_multiplies_no_rows(spark, most):
     out = lookup_table(rows, table, "k", "k", "v", "found", ["i"], default="none", max_broadcast=most)
     assert sorted((r.i, r.found) for r in out.select("i", "found").collect() if r.found) == [(0, "b"), (1, "b"), (3, "none"), (4, "none")]
     assert out.count() == 5
+
+
+def test_lag_percentiles_merge(spark):
+    """Any cutting gives the same percentiles, within 1/128 of the exact ones; lags of both signs."""
+    import random
+
+    from sluice.operators import metrics
+
+    rng = random.Random(5)
+    lags = [rng.choice([-1, 1]) * int(rng.lognormvariate(8, 3)) for _ in range(1500)] + [0, 1, -1, 127, 128, -129, 2**40]
+    rows = [(6 * 3600 + n % 2 * 3600, lag) for n, lag in enumerate(lags)]
+    df = spark.createDataFrame(rows, "s long, lag long").selectExpr(
+        "timestamp_seconds(s) AS beam_processing_time", "timestamp_millis(s * 1000 - lag) AS _event_time",
+        "CAST(NULL AS STRUCT<stage: STRING, error: STRING>) AS _reject", "lag",
+    ).filter("unix_millis(_event_time) > 0")
+    permille = {"p0": 1, "p50": 500, "p95": 950, "p100": 1000}
+    whole = metrics.lag_percentiles(metrics.lag_buckets(df, 3600), permille)
+    parts = [metrics.lag_buckets(df.filter(f"pmod(lag, 3) = {i}"), 3600) for i in range(3)]
+    merged = metrics.lag_percentiles(parts[0].unionByName(parts[1]).unionByName(parts[2]), permille)
+    got = sorted(map(tuple, whole.collect()))
+    assert got == sorted(map(tuple, merged.collect())) and len(got) == 2
+    kept = [(r.s, r.lag) for r in df.selectExpr("unix_seconds(beam_processing_time) AS s", "lag").collect()]
+    for start, n, *values in got:
+        exact = sorted(lag for s, lag in kept if s == start)
+        assert n == len(exact)
+        for p, value in zip(permille.values(), values):
+            want = exact[-(-n * p // 1000) - 1]
+            assert abs(value - want) <= abs(want) / 128
+    assert metrics.lag_percentiles(metrics.lag_buckets(df.limit(0), 3600), permille).count() == 0
