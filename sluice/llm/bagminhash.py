@@ -365,27 +365,38 @@ def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 class Contraction:
-    """Classes of texts that grow with the links found, and the links so far."""
+    """Classes of texts that grow with the links found."""
 
     def __init__(self, sets: DataFrame, folder: WorkFolder, similarity: float):
         self.sets, self.folder, self.similarity = sets, folder, similarity
-        self.links = self.classes = None
+        self.classes = None
         self.step = 0
 
     def add(self, found: DataFrame) -> int:
-        """Take in links (a, b); their number."""
+        """Take in links (a, b); their number. The classes so far, each a star, stand for all links before."""
         found = self.folder.write(found, f"links-{self.step}")
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.classes = self.folder.write(components(self.links, self.folder, f"round-{self.step}"), f"classes-{self.step}")
+        n = found.count()
+        if n or self.classes is None:
+            links = found if self.classes is None else found.unionByName(self.classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            self.classes = self.folder.write(components(links, self.folder, f"round-{self.step}"), f"classes-{self.step}")
         self.step += 1
-        return found.count()
+        return n
 
-    def mixed(self, met: DataFrame) -> DataFrame:
-        """Rows of the buckets ``met`` (id, band, key; first also central) that hold several classes, with their class and the bucket's pivot."""
+    def classed(self, texts: DataFrame) -> DataFrame:
+        """``texts``, one row of each id, with their class."""
         if self.classes is None:
-            rows = met.withColumn("component", F.col("id"))
-        else:
-            rows = met.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            return texts.withColumn("component", F.col("id"))
+        return texts.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def classed_buckets(self, met: DataFrame) -> DataFrame:
+        """``met`` (id and others, a row of each bucket) with the class of each text, which is looked up once per text."""
+        if self.classes is None:
+            return self.classed(met)
+        held = F.collect_list(F.struct(*[c for c in met.columns if c != "id"]))
+        return self.classed(met.groupBy("id").agg(held.alias("held"))).select("id", "component", F.inline("held"))
+
+    def mixed(self, rows: DataFrame) -> DataFrame:
+        """Those of ``rows`` (id, band, key, component; first also central) whose bucket holds several classes, with the bucket's pivot."""
         # The text in the midst of a group of near copies is similar to most of them.
         order = F.xxhash64("id", F.lit(self.step)) if self.step else -F.col("central")
         pivot = F.min(F.struct(order.alias("order"), "id", "component"))
@@ -396,7 +407,7 @@ class Contraction:
     def rounds(self, met: DataFrame) -> DataFrame:
         """Compare with pivots while enough of the pairs are links; what is left (id, band, key, component)."""
         for _ in range(MAX_ROUNDS):
-            live = self.mixed(met)
+            live = self.mixed(self.classed_buckets(met))
             met = live.select("id", "band", "key", "component")
             # A text and its pivots, at most one of each bucket; those of the most buckets first.
             asked = live.filter("component <> pivot.component").groupBy("id", "pivot").agg(F.count("*").alias("buckets"))
@@ -448,12 +459,12 @@ def prefix_keys(keys: np.ndarray, common: int, similarity: float) -> list[tuple[
 
 
 def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
-    """(id, band, key): for each text its rarest shingles, one of which it shares with any similar text.
+    """(id, band, key, component): for each text of ``ids`` (id, component) its rarest shingles, one of which it shares with any similar text.
 
     That holds for any common order of shingles. Here those of at most a block of these texts come first, by value; then the
     others by the number of texts that hold them. At most MAX_COMMON, the commonest, count as such.
     """
-    mine = sets.join(ids, "id", "left_semi").select("id", "set")
+    mine = sets.join(ids, "id").select("id", "set", "component")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "set"):
@@ -470,22 +481,23 @@ def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFra
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = common.value
         for part in text_slices(batches, "set"):
-            rows, bands, keys = [], [], [np.zeros(0, np.int64)]
-            for doc, raw in zip(part.column("id").to_pylist(), part.column("set").to_pylist()):
+            rows, classes, bands, keys = [], [], [], [np.zeros(0, np.int64)]
+            for doc, component, raw in zip(*(part.column(c).to_pylist() for c in ("id", "component", "set"))):
                 key = np.frombuffer(raw, np.int64)
                 at = np.searchsorted(known, key)
                 weight = np.where(known[at] == key, times[at], 0)
                 for band, some in prefix_keys(key[np.lexsort((key, weight))], int((weight > 0).sum()), similarity):
                     rows.append(np.full(len(some), doc, np.int64))
-                    bands.append(np.full(len(some), band, np.int32))
+                    classes.append(np.full(len(some), component, np.int64))
+                    bands.append(np.full(len(some), band, np.int64))
                     keys.append(some)
             none = np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([none, *rows])), pa.array(np.concatenate([none, *bands]).astype(np.int32)), pa.array(np.concatenate(keys))],
-                names=["id", "band", "key"],
+                [pa.array(np.concatenate([none, *x])) for x in (rows, bands, keys, classes)],
+                names=["id", "band", "key", "component"],
             )
 
-    return mine.mapInArrow(prefixes, "id long, band int, key long")
+    return mine.mapInArrow(prefixes, "id long, band long, key long, component long").withColumn("band", F.col("band").cast("int"))
 
 
 def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
@@ -501,7 +513,7 @@ def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: W
         beyond = folder.write(left.join(large, ["band", "key"], "left_semi").select("id").distinct(), "beyond")
         rest = left.join(large, ["band", "key"], "left_anti")
         if beyond.count():
-            rare = state.mixed(rare_shingles(sets, beyond, similarity)).select("id", "band", "key", "component")
+            rare = state.mixed(rare_shingles(sets, state.classed(beyond), similarity)).select("id", "band", "key", "component")
             rest = rest.select(*rare.columns).unionByName(least_tiles(rare, sizes, folder))
         state.add(tile_pairs(tiles(folder.write(rest, "rest"), sizes), sets, similarity))
     if state.classes is None:

@@ -10,16 +10,27 @@ from sluice.llm.common import WorkFolder
 MAX_ROUNDS = 60
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether each id of the distinct ``edges`` (a, b), a > b, has one smaller neighbour, or only larger ones."""
+    up = edges.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("up"))
+    down = edges.select(F.col("b").alias("id"), F.lit(0).cast("long").alias("up")).distinct()
+    # An id with a smaller and a larger neighbour stands in both.
+    ends = up.unionByName(down).groupBy("id").agg(F.sum("up").alias("up"), F.count("*").alias("sides"))
+    return not ends.filter("up > 1 OR sides > 1").agg(F.count("*")).first()[0]
+
+
 def components(links: DataFrame, folder: WorkFolder, name: str) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); a component is named by its smallest id.
 
-    Each round hangs larger neighbours on the smallest one, then smaller ones likewise; stars
-    are the fixed point. Minima are aggregated before the shuffle, so a hub costs a row per
+    Each round hangs larger neighbours on the smallest one, then smaller ones likewise, until all are
+    stars; links that are stars already cost no round. Minima are aggregated before the shuffle, so a hub costs a row per
     task. Every round is a table of its own, so a lost executor repeats one round at most.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, state = folder.write(edges, f"{name}-0"), None
+    edges = folder.write(edges, f"{name}-0")
     for i in range(1, MAX_ROUNDS):
+        if are_stars(edges):
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Dealt anew, so that the join may split a hub's rows (they would stay with the aggregate).
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")).repartition("a", "low")
@@ -29,10 +40,6 @@ def components(links: DataFrame, folder: WorkFolder, name: str) -> DataFrame:
         stars = small.unionByName(least.withColumnRenamed("low", "b")).distinct()
         edges = folder.write(stars, f"{name}-{i}")
         folder.drop(f"{name}-{i - 1}")
-        seen = edges.agg(F.count("a"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if tuple(seen) == state or not seen[0]:
-            break
-        state = tuple(seen)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(

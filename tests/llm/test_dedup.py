@@ -214,3 +214,36 @@ def test_prefix_keys_lose_no_similar_pair(similarity_):
         met.append({(b, int(k)) for b, some in bagminhash.prefix_keys(keys, common, similarity_) for k in some})
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= similarity_ * len(sets[i] | sets[j])]
     assert len(pairs) > 100 and all(met[i] & met[j] for i, j in pairs)
+
+
+def test_stars_cost_no_round(spark, tmp_path):
+    """Links that are stars already are only looked at; others are contracted to stars."""
+    folder = WorkFolder(spark, "stars", str(tmp_path))
+    stars = spark.createDataFrame([(5, 1), (7, 1), (9, 8), (3, 3)], "a long, b long")
+    found = {(r.id, r.component) for r in components(stars, folder, "s").collect()}
+    assert found == {(1, 1), (5, 1), (7, 1), (8, 8), (9, 8)}
+    assert not folder_names(spark, folder, "s-1")
+    chain = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long")
+    assert {r.component for r in components(chain, folder, "c").collect()} == {0}
+
+
+def folder_names(spark, folder, name):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.path}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_classes_are_looked_up_once_per_text(spark, tmp_path):
+    """The join with the classes has a row of each text, not of each bucket of it."""
+    folder = WorkFolder(spark, "classed", str(tmp_path))
+    state = bagminhash.Contraction(None, folder, 0.8)
+    met = spark.createDataFrame([(i, b, 100 + i % 2) for i in range(4) for b in range(25)], "id long, band int, key long")
+    assert state.add(spark.createDataFrame([(2, 0)], "a long, b long")) == 1
+    first = state.classes
+    assert state.add(spark.createDataFrame([], "a long, b long")) == 0 and state.classes is first
+    assert state.add(spark.createDataFrame([(3, 2)], "a long, b long")) == 1
+    out = state.classed_buckets(met)
+    assert sorted(map(tuple, out.select("id", "band", "key", "component").collect())) == sorted(
+        (i, b, 100 + i % 2, 0 if i != 1 else 1) for i in range(4) for b in range(25)
+    )
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join LeftOuter")
