@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 # A key with more rows than this is hot. Hot keys number at most (all rows / HOT_ROWS), so
 # the table of hot keys is small at any scale: 1e11 rows give at most 1e5 keys.
 HOT_ROWS = 1_000_000
+# Rows of a task where a row costs much (JSON, times, rules) but few bytes.
+TASK_ROWS = 50_000
+
+
+def spread(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The rows dealt evenly over tasks of at most about ``task_rows`` rows, at least one per core.
+
+    Tasks of a scan follow from bytes and row groups: narrow rows come a million to a task, and files with few
+    row groups leave cores idle. For narrow columns of files, whose rows are counted from their footers.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // task_rows)))
 
 
 def hot_key_counts(df: DataFrame, key: str, hot_rows: int) -> DataFrame:

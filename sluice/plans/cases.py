@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.operators.skew import spread
+
 # One text for both engines; {epoch}, {b64} and {events} differ by dialect.
 RAW_MESSAGES_SQL = """
 WITH b AS (
@@ -81,7 +83,7 @@ def duckdb_raw_sql() -> str:
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     columns = ["event_id", "event_type", "user_id", "value", "ts"]
-    events.select(*columns).createOrReplaceTempView("sluice_events")
+    spread(events.select(*columns)).createOrReplaceTempView("sluice_events")
     return spark.sql(spark_raw_sql("sluice_events"))
 
 

@@ -106,3 +106,18 @@ def test_canonical_temporal_texts(spark):
         "10:00:00", "10:11:00", None, "10:11:12.500000", "10:11:12", None, None]
     assert column(spark, ["2024-01-05", "2024-01-05T10:11Z", "2024-01-05 10:11:12-00:00", "2024-02-30T10"], T.iso_datetime) == [
         "2024-01-05T00:00:00", "2024-01-05T10:11:00+00:00", "2024-01-05T10:11:12+00:00", None]
+
+
+def test_texts_that_cannot_be_json_are_not_parsed(spark):
+    """The look at the first characters refuses nothing that the parser reads."""
+    texts = [
+        '{"a": 1}', ' \t\r\n[1]', '"x"', "-1.5e3", "0", "true", "false", "null", " null ", "not-json", "nul", "oops{", "eyJhIjoxfQ==", "",
+        " ", "NaN", "Infinity", "+1", ".5", "]", "],[", "\u00a01", "\ufeff1", "/* */1", "'x'", "truex", "1 2", "1]", None,
+    ]
+    whole = lambda v: F.when(J.whole(F.col(v)), F.to_json(J.first_value(F.col(v))))
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    d = d.withColumns({"now": J.parse_wrapped(F.col("t")), "all": F.try_parse_json(F.concat(F.lit("["), "t", F.lit(',"\\u0001end"]')))})
+    rows = d.select("t", whole("now").alias("now"), whole("all").alias("all"), F.col("now").isNull().alias("skipped")).collect()
+    assert [r for r in rows if r["now"] != r["all"]] == []
+    assert {r.t for r in rows if r["all"] is not None} == {*texts[:9]}
+    assert all(r.skipped for r in rows if r.t in ("not-json", "oops{", "eyJhIjoxfQ=="))

@@ -187,3 +187,23 @@ def test_lag_percentiles_merge(spark):
             want = exact[-(-n * p // 1000) - 1]
             assert abs(value - want) <= abs(want) / 128
     assert metrics.lag_percentiles(metrics.lag_buckets(df.limit(0), 3600), permille).count() == 0
+
+
+def test_messages_are_spread_over_tasks(spark, tmp_path):
+    """A file of one row group fills every core, and no task gets more than its share."""
+    import duckdb
+
+    from sluice.operators.skew import TASK_ROWS, spread
+    from sluice.plans.cases import raw_messages
+
+    duckdb.sql(
+        "SELECT i AS event_id, TIMESTAMP '2024-01-05 00:00:00' + to_seconds(i % 1000) AS ts, i % 7 AS user_id, 'view' AS event_type, "
+        "1.5::DOUBLE AS value, NULL::VARCHAR AS props FROM range(4000) t(i)"
+    ).write_parquet(f"{tmp_path}/events.parquet", row_group_size=1_000_000)
+    events = spark.read.parquet(f"{tmp_path}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    per_task = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    raw = per_task(raw_messages(spark, str(tmp_path)).filter("copy = 0"))
+    assert sum(raw) == 4000 and len(raw) == cores and raw[-1] <= 2 * 4000 / cores
+    assert spread(events, 300).rdd.getNumPartitions() == max(cores, 14)
+    assert spread(events.limit(0)).rdd.getNumPartitions() == cores and TASK_ROWS > 0
