@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WorkFolder, fresh, table, text_slices
+from sluice.llm.common import WorkFolder, fresh, join_side, table, text_slices
 from sluice.llm.components import components
 
 SHINGLE = 5
@@ -268,27 +268,27 @@ def n_blocks(docs: Column, n_shingles: Column) -> Column:
 
 
 def sides(live: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Per bucket of ``live`` (band, key, id, component): its largest class, blocks of each side, and rows of its tiles.
+    """Per bucket of ``live`` (band, key, id, component): its largest class, blocks of each side, rows of its tiles, and smallest id.
 
     The first side holds a bucket's texts outside its largest class, the second one all of them.
     """
     bucket = ["band", "key"]
-    by_class = live.join(sizes, "id").groupBy(*bucket, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    by_class = live.join(sizes, "id").groupBy(*bucket, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"), F.min("id").alias("low"))
     plan = by_class.groupBy(*bucket).agg(
-        F.max(F.struct("docs", "n", "component")).alias("top"), F.sum("docs").alias("docs"), F.sum("n").alias("n")
+        F.max(F.struct("docs", "n", "component")).alias("top"), F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.min("low").alias("low")
     )
     strays = F.col("docs") - F.col("top.docs")
     plan = plan.withColumns({"nj": n_blocks(F.col("docs"), F.col("n")), "ni": n_blocks(strays, F.col("n") - F.col("top.n"))})
-    return plan.select(*bucket, F.col("top.component").alias("top"), "ni", "nj", (strays * F.col("nj") + F.col("docs") * F.col("ni")).alias("rows"))
+    return plan.select(*bucket, F.col("top.component").alias("top"), "ni", "nj", (strays * F.col("nj") + F.col("docs") * F.col("ni")).alias("rows"), "low")
 
 
-def tiles(live: DataFrame, sizes: DataFrame) -> DataFrame:
+def tiles(live: DataFrame, sizes: DataFrame, folder: WorkFolder) -> DataFrame:
     """(band, key, i, j, first, id, component) of ``live`` (band, key, id, component): both sides of each tile.
 
-    Here and elsewhere sums are dealt anew before a join, so that the join may split a hot key.
+    Here and elsewhere sums are stored or dealt anew before a join, so that the join may split a hot key.
     """
     bucket = ["band", "key"]
-    placed = live.join(sides(live, sizes).drop("rows").repartition(*bucket, "top"), bucket)
+    placed = live.join(join_side(folder.write(sides(live, sizes).drop("rows", "low"), "sides")), bucket)
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     keep = [*bucket, "i", "j", "first", "id", "component"]
@@ -302,15 +302,15 @@ def least_tiles(live: DataFrame, sizes: DataFrame, folder: WorkFolder) -> DataFr
 
     Pairs must share a band in either case, so the links are the same.
     """
-    low = live.groupBy("band", "key").agg(F.min("id").alias("low")).repartition("band", "key", "low")
+    plan = folder.write(sides(live, sizes), "plan")
+    low = join_side(plan.select("band", "key", "low"))
     met = live.join(low, ["band", "key"]).select(F.col("id").alias("a"), F.col("low").alias("b"))
-    groups = folder.write(components(met, folder, "group").select("id", F.col("component").alias("group")), "groups")
+    groups = join_side(components(met, folder, "group")).withColumnRenamed("component", "group")
     texts = live.select("id", "component").distinct().join(groups, "id")
     whole = texts.select(F.lit(-2).alias("band"), F.col("group").alias("key"), "id", "component")
-    of_bucket = low.join(groups.withColumnRenamed("id", "low"), "low").select("band", "key", "group")
-    by_bucket = sides(live, sizes).join(of_bucket, ["band", "key"]).groupBy("group").agg(F.sum("rows").alias("by_bucket"))
+    by_bucket = plan.join(groups.withColumnRenamed("id", "low"), "low").groupBy("group").agg(F.sum("rows").alias("by_bucket"))
     one = sides(whole, sizes).join(by_bucket, F.col("key") == F.col("group")).filter("rows < by_bucket").select("group")
-    one = folder.write(one, "one")
+    one = join_side(folder.write(one, "one"))
     apart = live.join(groups, "id").join(one, "group", "left_anti").select("band", "key", "id", "component")
     return whole.join(one.withColumnRenamed("group", "key"), "key", "left_semi").select("band", "key", "id", "component").unionByName(apart)
 
@@ -345,9 +345,10 @@ def tile_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, copies: DataFrame, ids: DataFrame, folder: WorkFolder) -> DataFrame:
     """(id, set, bands) of the texts ``ids``: the multiset of their shingles as a set, and their band keys."""
     needed = copies.join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "copy", "rep")
+    needed = join_side(folder.write(needed, "needed"))
     # Texts of rows without an id are brought together by digest; those are few, or else copies.
     with_id = docs.filter("id IS NOT NULL").join(needed.withColumnRenamed("rep", "id"), ["id", "copy"]).select(F.col("node").alias("id"), "text")
     without = docs.filter("id IS NULL AND text IS NOT NULL").groupBy("copy").agg(F.first("text").alias("text"))
@@ -378,7 +379,7 @@ class Contraction:
         n = found.count()
         if n or self.classes is None:
             links = found if self.classes is None else found.unionByName(self.classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
-            self.classes = self.folder.write(components(links, self.folder, f"round-{self.step}"), f"classes-{self.step}")
+            self.classes = components(links, self.folder, f"round-{self.step}")
         self.step += 1
         return n
 
@@ -386,7 +387,7 @@ class Contraction:
         """``texts``, one row of each id, with their class."""
         if self.classes is None:
             return texts.withColumn("component", F.col("id"))
-        return texts.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        return texts.join(join_side(self.classes), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def classed_buckets(self, met: DataFrame) -> DataFrame:
         """``met`` (id and others, a row of each bucket) with the class of each text, which is looked up once per text."""
@@ -401,8 +402,8 @@ class Contraction:
         order = F.xxhash64("id", F.lit(self.step)) if self.step else -F.col("central")
         pivot = F.min(F.struct(order.alias("order"), "id", "component"))
         several = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot"))
-        several = several.filter("low < high").select("band", "key", "pivot").repartition("band", "key", "pivot")
-        return self.folder.write(rows.join(several, ["band", "key"]), f"live-{self.step}")
+        several = self.folder.write(several.filter("low < high").select("band", "key", "pivot"), f"several-{self.step}")
+        return self.folder.write(rows.join(join_side(several), ["band", "key"]), f"live-{self.step}")
 
     def rounds(self, met: DataFrame) -> DataFrame:
         """Compare with pivots while enough of the pairs are links; what is left (id, band, key, component)."""
@@ -421,11 +422,13 @@ class Contraction:
         return met
 
 
-def centrality(met: DataFrame) -> DataFrame:
-    """``met`` (id, band, key) with the number of texts, repeats counted, in the buckets of each text."""
-    held = met.groupBy("band", "key").agg(F.count("*").alias("held")).repartition("band", "key", "held")
-    central = met.join(held, ["band", "key"]).groupBy("id").agg(F.sum("held").alias("central"))
-    return met.join(central, "id")
+def centrality(met: DataFrame, folder: WorkFolder) -> DataFrame:
+    """``met`` (id, band, key; held: texts of the bucket) with the number of texts, repeats counted, in the buckets of each text."""
+    if "held" not in met.columns:
+        held = met.groupBy("band", "key").agg(F.count("*").alias("held")).repartition("band", "key", "held")
+        met = met.join(held, ["band", "key"])
+    central = folder.write(met.groupBy("id").agg(F.sum("held").alias("central")), "central")
+    return met.drop("held").join(join_side(central), "id")
 
 
 def length_class(n: int) -> int:
@@ -501,21 +504,23 @@ def rare_shingles(sets: DataFrame, ids: DataFrame, similarity: float) -> DataFra
 
 
 def similar_classes(met: DataFrame, sizes: DataFrame, sets: DataFrame, folder: WorkFolder, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, component) of the texts that are similar to another one of their buckets ``met`` (id, band, key).
+    """(id, component) of the texts that are similar to another one of their buckets ``met`` (id, band, key; held or not).
 
     Classes only grow, so no pair is left out by dropping buckets that lie within one class.
     """
     state = Contraction(sets, folder, similarity)
-    left = state.rounds(centrality(met))
+    left = state.rounds(centrality(met, folder))
     if left.count():
         per_bucket = left.join(sizes, "id").groupBy("band", "key").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
         large = folder.write(per_bucket.filter((F.col("docs") > BLOCK_DOCS) | (F.col("n") > BLOCK_SHINGLES)).select("band", "key"), "large")
-        beyond = folder.write(left.join(large, ["band", "key"], "left_semi").select("id").distinct(), "beyond")
-        rest = left.join(large, ["band", "key"], "left_anti")
+        beyond = left.join(join_side(large), ["band", "key"], "left_semi").select("id").distinct()
+        beyond = folder.write(state.classed(beyond), "beyond")
+        rest = left.join(join_side(large), ["band", "key"], "left_anti")
         if beyond.count():
-            rare = state.mixed(rare_shingles(sets, state.classed(beyond), similarity)).select("id", "band", "key", "component")
+            rare = folder.write(rare_shingles(sets, join_side(beyond), similarity), "rare")
+            rare = state.mixed(rare).select("id", "band", "key", "component")
             rest = rest.select(*rare.columns).unionByName(least_tiles(rare, sizes, folder))
-        state.add(tile_pairs(tiles(folder.write(rest, "rest"), sizes), sets, similarity))
+        state.add(tile_pairs(tiles(folder.write(rest, "rest"), sizes, folder), sets, similarity))
     if state.classes is None:
         return met.select("id", F.col("id").alias("component")).limit(0)
     return state.classes
@@ -532,22 +537,18 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), digest(F.col(text_col)).alias("copy"))
     signed = folder.write(sign(rows), "signed")
     known = signed.filter("copy IS NOT NULL")
-    # Numbers of distinct texts are fixed once they are written.
-    copies = known.groupBy("copy").agg(F.min("id").alias("rep"))
+    # Rows of a text have equal bands. Numbers of distinct texts are fixed once they are written.
+    copies = known.groupBy("copy").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     copies = folder.write(copies.withColumn("node", F.monotonically_increasing_id()), "copies")
-    # One row stands for a text, however many repeat its id.
-    one = known.filter("n > 0").withColumn("key", row_key(F.col("id"))).groupBy("copy", "key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    reps = folder.write(
-        one.join(copies.withColumn("key", row_key(F.col("rep"))), ["copy", "key"]).select(F.col("node").alias("id"), "n", "bands"), "reps"
-    )
+    reps = copies.filter("n > 0").select(F.col("node").alias("id"), "n", "bands")
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    shared = shared.select("band", "key", "low").repartition("band", "key", "low")
-    met = folder.write(buckets.join(shared, ["band", "key"]).select("id", "band", "key"), "met")
-    sets = folder.write(sets_of(rows, copies, met.select("id").distinct()), "sets")
-    classes = similar_classes(met, reps.groupBy("id").agg(F.max("n").alias("n")), sets, folder, similarity)
+    shared = buckets.groupBy("band", "key").agg(F.count("*").alias("held")).filter("held > 1")
+    shared = folder.write(shared.select("band", "key", "held"), "shared")
+    met = folder.write(buckets.join(join_side(shared), ["band", "key"]).select("id", "band", "key", "held"), "met")
+    sets = folder.write(sets_of(rows, copies, met.select("id").distinct(), folder), "sets")
+    classes = similar_classes(met, join_side(reps.select("id", "n")), sets, folder, similarity)
     joined = folder.write(
-        copies.join(classes.withColumnRenamed("id", "node"), "node", "left").select("copy", "rep", F.coalesce("component", "node").alias("component")),
+        copies.join(join_side(classes).withColumnRenamed("id", "node"), "node", "left").select("copy", "rep", F.coalesce("component", "node").alias("component")),
         "joined",
     )
     # The smallest id and a text under it name a class; ids go before rows without one.
@@ -556,7 +557,7 @@ def classified(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     texts = folder.write(
         joined.join(first, "component").select("copy", "class_id", (F.col("copy") == F.col("first")).alias("stays")), "texts"
     )
-    folder.drop("copies", "reps", "met", "sets", "joined", "beyond", "large", "groups", "one", "rest")
+    folder.drop("copies", "needed", "shared", "central", "sides", "plan", "rare", "met", "sets", "joined", "beyond", "large", "one", "rest")
     return signed.select("id", "copy"), texts, folder
 
 

@@ -14,6 +14,8 @@ from sluice.session import WorkFolder  # noqa: F401
 
 # Bytes of text that a Python worker handles at once; one longer text is handled alone.
 SLICE_BYTES = 4 << 20
+# Rows up to which a table of counts, minima or classes is broadcast to a join.
+SMALL_ROWS = 50_000
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def join_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A narrow, stored table as a side of a join: broadcast while it is small, else a scan, so that the join may split a hot key."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= SMALL_ROWS else df
+
+
 def text_slices(
     batches: Iterable[pa.RecordBatch], name: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from sluice.llm import bagminhash
+from sluice.llm import bagminhash, common
+from sluice.llm import components as components_module
 from sluice.llm.common import WorkFolder
 from sluice.llm.components import components
 
@@ -247,3 +248,33 @@ def test_classes_are_looked_up_once_per_text(spark, tmp_path):
     )
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Join LeftOuter")
+
+
+def test_small_tables_cost_few_shuffles(spark, documents, tmp_path, monkeypatch):
+    """A round of the components shuffles three times, stars once; the whole job on few texts a bounded number of times."""
+    shuffles, write = [], WorkFolder.write
+
+    def counted(self, df, name):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(self, df, name)
+
+    monkeypatch.setattr(WorkFolder, "write", counted)
+    folder = WorkFolder(spark, "shuffles", str(tmp_path))
+    links = spark.createDataFrame([(5, 1), (7, 1), (9, 8), (8, 7)], "a long, b long")
+    assert {r.component for r in components(links, folder, "c").collect()} == {1}
+    assert sum(shuffles) <= 12
+    shuffles.clear()
+    stars = components(spark.createDataFrame([(5, 1), (7, 1)], "a long, b long"), folder, "s")
+    assert sorted(map(tuple, stars.collect())) == [(1, 1), (5, 1), (7, 1)] and sum(shuffles) == 1
+    shuffles.clear()
+    assert {r.class_id for r in bagminhash.near_duplicates(documents(near_copies(60))).collect()} == {0}
+    assert sum(shuffles) <= 45
+
+
+@pytest.mark.parametrize("small", [0, 50_000])
+def test_results_do_not_hang_on_what_is_broadcast(spark, documents, monkeypatch, small):
+    monkeypatch.setattr(common, "SMALL_ROWS", small)
+    monkeypatch.setattr(components_module, "SMALL_ROWS", small)
+    texts = corpus(5)
+    got = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(documents(texts)).collect()}
+    assert got == plain_classes(list(enumerate(texts)))
