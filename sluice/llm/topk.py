@@ -9,10 +9,12 @@ significant slice downward, and all rows within the error of it are then scored
 
 Equal vectors score alike, so a block holds each once, with its k + 1 smallest ids: a larger id
 of an equal vector can never be among the k best (ties go to the smaller id, and one may be the
-query itself). No row is left out otherwise.
+query itself). Of rows that are equal in id and vector, k are kept. No row is left out otherwise.
 
-Queries are grouped, and every (block, group) pair is one unit of work: memory is bounded by one
-block and one group, and the k best of a pair are all that is passed on.
+A block with a share of the queries is one unit of work. Its rows come first, batch by batch, and become the index; then the
+queries stream past it in groups, and the k best of each are all that is passed on. So a worker holds one block as
+whole numbers of four bytes, its index and one group; queries, of which a block may meet any number, are never gathered. Blocks are
+copied only as often as it takes to give every core work, queries once for each block.
 
 Vectors that are NULL or hold NULL or non-finite components (256-fold included) take no part. Scores
 are exact: where a pair of block and group could leave 64 bits, it is computed in Python's integers. A score among the k best
@@ -35,6 +37,8 @@ from sluice.llm.common import table
 from sluice.llm.vectors import as_long, largest, matrix
 
 BLOCK_ROWS = 65_536
+# Components of a block: wide vectors make blocks of fewer rows.
+BLOCK_CELLS = 1 << 22
 GROUP_QUERIES = 256
 LOW_BITS = 5
 SCALE = 256
@@ -66,16 +70,17 @@ class SlicedBlock:
 
     def __init__(self, vectors: np.ndarray):
         self.rows, self.dims = vectors.shape
-        self.low = vectors.min(axis=0) if self.rows else np.zeros(self.dims, np.int64)
-        offset = vectors - self.low
-        self.bits = [int(m).bit_length() for m in (offset.max(axis=0) if self.rows else self.low)]
+        whole = object if vectors.dtype == object else np.int64
+        self.low = (vectors.min(axis=0) if self.rows else np.zeros(self.dims)).astype(whole)
+        self.bits, self.slices = [], []
         words = -(-self.rows // 64)
-        self.slices = []
         for d in range(self.dims):
+            offset = vectors[:, d].astype(whole) - self.low[d]
+            self.bits.append(int(offset.max(initial=0)).bit_length())
             planes = []
             for b in range(self.bits[d]):
                 packed = np.zeros(words * 8, np.uint8)
-                bits = np.packbits((offset[:, d] >> b) & 1 == 1, bitorder="little")
+                bits = np.packbits((offset >> b) & 1 == 1, bitorder="little")
                 packed[: len(bits)] = bits
                 planes.append(packed.view(np.uint64))
             self.slices.append(planes)
@@ -149,54 +154,101 @@ class SlicedBlock:
         return np.flatnonzero(np.unpackbits((more | same).view(np.uint8), bitorder="little"))
 
 
-def _distinct(ids: np.ndarray, vectors: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """(vector number per kept row, row index), with ``keep`` smallest ids of equal vectors."""
-    if not len(ids):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    _, group = np.unique(vectors, axis=0, return_inverse=True)
-    group = group.ravel()
-    order = np.lexsort((ids, group))
-    g = group[order]
-    rank = np.arange(len(g)) - np.searchsorted(g, g)
-    return g[rank < keep], order[rank < keep]
-
-
-def best_of_pair(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, row id, score) of the k best rows of a block for each query of a group."""
-    keep = k + _most_repeats(ids)
-    group, row = _distinct(ids, vectors, keep)
-    if not len(row):
-        return []
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    dims = vectors.shape[1]
-    fits = dims * max(largest(vectors), 1) * max(largest(queries), 1) < 1 << 62
-    whole = (lambda m: m.astype(np.int64)) if fits else np.vectorize(int, otypes=[object])
-    vectors, queries = (whole(m) if m.size else m.astype(np.int64) for m in (vectors, queries))
-    block = SlicedBlock(vectors[row[starts]])
-    stops = np.r_[starts[1:], len(row)]
-    out = []
-    for q, query in zip(query_ids, queries):
-        found = block.candidates(query, keep)
-        scores = vectors[row[starts[found]]] @ query
-        members = np.concatenate([np.arange(starts[f], stops[f]) for f in found])
-        member_ids = ids[row[members]]
-        member_scores = np.repeat(scores, stops[found] - starts[found])
-        other = member_ids != q
-        member_ids, member_scores = member_ids[other], member_scores[other]
-        order = np.lexsort((member_ids, -member_scores))[:k] if fits else sorted(range(len(member_ids)), key=lambda m: (-member_scores[m], member_ids[m]))[:k]
-        out += [(int(q), int(i), as_long(s)) for i, s in zip(member_ids[order], member_scores[order])]
-    return out
-
-
-def _most_repeats(ids: np.ndarray) -> int:
-    """Rows that may share the query's own id and thus drop out."""
-    return int(np.unique(ids, return_counts=True)[1].max(initial=1))
+def _equal(vectors: np.ndarray) -> np.ndarray:
+    """A number per row that equal rows share."""
+    rows = np.ascontiguousarray(vectors)
+    return np.unique(rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel(), return_inverse=True)[1].ravel()
+
+
+def _rank(*keys: np.ndarray) -> np.ndarray:
+    """Place of each row among those before it that are equal in all keys, which are sorted."""
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    starts = np.flatnonzero(np.r_[True, new])
+    return np.arange(len(keys[0])) - np.repeat(starts, np.diff(np.r_[starts, len(keys[0])]))
+
+
+class Block:
+    """The rows of a block, taken in piece by piece; the first query makes the index of them."""
+
+    def __init__(self, k: int, rows: int = BLOCK_ROWS):
+        self.k, self.limit, self.held = k, 2 * rows, 0
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.index: SlicedBlock | None = None
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Rows of whole numbers held as doubles."""
+        small = largest(vectors) < 1 << 30
+        # A copy, as the memory of a batch would stay while a part of it is held.
+        self.parts.append((np.array(ids, np.int64), vectors.astype(np.int32 if small else np.float64)))
+        self.held += len(ids)
+        if self.held > self.limit:
+            self._gather()
+            self.limit = max(self.limit, 2 * self.held)
+
+    def _gather(self) -> np.ndarray:
+        """The parts as one, sorted by vector and id, with k rows of an equal id and vector; the number of each row's vector."""
+        dims = max(v.shape[1] for _, v in self.parts)
+        kind = np.result_type(*[v.dtype for _, v in self.parts])
+        ids, vectors, at = np.empty(self.held, np.int64), np.zeros((self.held, dims), kind), 0
+        while self.parts:
+            i, v = self.parts.pop(0)
+            ids[at : at + len(i)], vectors[at : at + len(i), : v.shape[1]] = i, v
+            at += len(i)
+        group = _equal(vectors)
+        order = np.lexsort((ids, group))
+        order = order[_rank(group[order], ids[order]) < self.k]
+        self.parts, self.held = [(ids[order], vectors[order])], len(order)
+        return group[order]
+
+    def _make_index(self) -> None:
+        group = self._gather()
+        (ids, vectors), self.parts = self.parts[0], []
+        pairs = _rank(group, ids) == 0
+        # Vectors that may hold nothing but rows of the query's own id, and thus drop out.
+        own = int(np.unique(ids[pairs], return_counts=True)[1].max())
+        # Of the smallest ids of a vector, k may be the query's own.
+        few = _rank(group) < 2 * self.k
+        group, self.ids = group[few], ids[few]
+        self.starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        self.stops = np.r_[self.starts[1:], len(group)]
+        vectors = vectors[np.flatnonzero(few)[self.starts]]
+        self.largest, self.need = largest(vectors), self.k + own
+        if vectors.dtype != np.int32:
+            vectors = vectors.astype(np.int64) if self.largest < 1 << 61 else _whole(vectors)
+        self.vectors, self.index = vectors, SlicedBlock(vectors)
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray) -> list[tuple[int, int, int]]:
+        """(query, row id, score) of the k best rows for each query."""
+        if self.index is None:
+            if not self.held:
+                return []
+            self._make_index()
+        dims = self.vectors.shape[1]
+        # What one side lacks counts as zeros.
+        queries = np.pad(queries[:, :dims], ((0, 0), (0, max(0, dims - queries.shape[1]))))
+        fits = dims * max(self.largest, 1) * max(largest(queries), 1) < 1 << 62
+        queries = queries.astype(np.int64) if fits else _whole(queries)
+        out = []
+        for q, query in zip(query_ids, queries):
+            found = self.index.candidates(query, self.need)
+            scores = self.vectors[found].astype(np.int64 if fits else object) @ query
+            members = np.concatenate([np.arange(self.starts[f], self.stops[f]) for f in found])
+            ids, scores = self.ids[members], np.repeat(scores, self.stops[found] - self.starts[found])
+            ids, scores = ids[ids != q], scores[ids != q]
+            order = np.lexsort((ids, -scores))[: self.k] if fits else sorted(range(len(ids)), key=lambda m: (-scores[m], ids[m]))[: self.k]
+            out += [(int(q), int(i), as_long(s)) for i, s in zip(ids[order], scores[order])]
+        return out
+
+
+def _whole(m: np.ndarray) -> np.ndarray:
+    """Whole numbers held as doubles, as Python's integers."""
+    return np.vectorize(int, otypes=[object])(m) if m.size else m.astype(object)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES) -> DataFrame:
     """The k best rows of ``vectors`` for each row of ``queries``: (query_id, rank, vec_id, score).
 
-    Counting rows first fixes how many blocks and groups there are; both sides are dealt by a
+    Counting rows first fixes how many blocks and shares there are; both sides are dealt by a
     hash, so a frequent vector is spread over all blocks.
     """
     def valid(df: DataFrame) -> DataFrame:
@@ -204,35 +256,46 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
             "id IS NOT NULL AND v IS NOT NULL"
         )
 
-    rows, asked = valid(vectors), valid(queries)
-    n_blocks = max(1, -(-vectors.count() // block_rows))
-    n_groups = max(1, -(-queries.count() // group_queries))
+    rows, asked = valid(vectors), valid(queries).dropDuplicates(["id", "v"])
+    n_rows, width = vectors.agg(F.count(F.lit(1)), F.max(F.size(vector_col))).first()
+    block_rows = max(1, min(block_rows, BLOCK_CELLS // max(1, width or 0)))
+    n_blocks = max(1, -(-n_rows // block_rows))
+    # Shares of the queries: more than one only while blocks are too few for the cores.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    n_shares = max(1, min(-(-queries.count() // group_queries), -(-2 * cores // n_blocks)))
     deal = F.xxhash64("id", "v")
-    packed = lambda df: df.groupBy("key").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    blocks = packed(rows.withColumn("key", F.pmod(deal, F.lit(n_blocks))))
-    groups = packed(asked.dropDuplicates(["id", "v"]).withColumn("key", F.pmod(deal, F.lit(n_groups))))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    pairs = (
-        blocks.select(F.col("key").alias("b"), F.col("rows").alias("block"), each(n_groups).alias("g"))
-        .join(groups.select(F.col("key").alias("g"), F.col("rows").alias("asked"), each(n_blocks).alias("b")), ["b", "g"])
-        .select("block", "asked")
-    )
+    side = lambda df, number, b, s: df.select(b.alias("b"), "id", "v").select("b", s.alias("s"), F.lit(number).alias("side"), "id", "v")
+    both = side(rows, 0, F.pmod(deal, F.lit(n_blocks)), each(n_shares)).unionByName(side(asked, 1, each(n_blocks), F.pmod(deal, F.lit(n_shares))))
+    unit = (F.col("b") * n_shares + F.col("s")).cast("int")
+    units = both.select(unit.alias("unit"), "side", "id", "v").repartitionById(n_blocks * n_shares, F.col("unit")).sortWithinPartitions("unit", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                block, group = one.column("block").flatten(), one.column("asked").flatten()
-                ids, asked_ids = block.field("id").to_numpy(), group.field("id").to_numpy()
-                b, g = block.field("v"), group.field("v")
-                dims = max(b.value_lengths().to_numpy(zero_copy_only=False).max(initial=0), g.value_lengths().to_numpy(zero_copy_only=False).max(initial=0))
-                best = best_of_pair(ids, matrix(b, dims), asked_ids, matrix(g, dims), k)
-                columns = list(zip(*best)) or [[]] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+            # Rows of one unit and side at a time, of the queries a group at most.
+            place = 2 * batch.column("unit").to_numpy().astype(np.int64) + batch.column("side").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if start == stop:
+                    continue
+                number, asks = divmod(int(place[start]), 2)
+                if number != at:
+                    at, block = number, Block(k, block_rows)
+                size = group_queries if asks else stop - start
+                for i in range(start, stop, size):
+                    part = batch.slice(i, min(size, stop - i))
+                    ids, v = part.column("id").to_numpy(), part.column("v")
+                    m = matrix(v, int(v.value_lengths().to_numpy(zero_copy_only=False).max(initial=1)))
+                    if not asks:
+                        block.add(ids, m)
+                        continue
+                    columns = list(zip(*block.best(ids, m))) or [[]] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+        units.mapInArrow(run, "query_id long, vec_id long, score long")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,32 @@ def test_query_columns(spark):
     assert dict(got.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
     n = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").filter("vec_id % 50 = 0").count()
     assert got.groupBy("query_id").agg(F.count("*").alias("n")).filter("n = 5").count() == n
+
+
+def test_no_block_becomes_one_row(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
+    plan = topk.top_k(df, df, 5, block_rows=64, group_queries=7)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "MapInArrow" in plan
+
+
+def test_copies_of_a_row_do_not_grow_a_block(spark):
+    block = topk.Block(2, 100)
+    for i in range(200):
+        block.add(np.arange(20), np.arange(40.0).reshape(20, 2) + i % 2)
+        assert block.held <= 240
+    assert block.best(np.array([19]), np.array([[1.0, 1.0, 9.0]])) == [(19, 18, 75), (19, 18, 75)]
+
+
+def test_repeated_rows_odd_widths_and_large_values_in_small_blocks(spark):
+    random.seed(2)
+    rows = [(random.randrange(40), [random.choice([-3.0, 0.5, 2.0]) for _ in range(random.randrange(5))]) for _ in range(400)]
+    rows += [(10, [1.0, 2.0])] * 90 + [(7, [2.0**24, -1.0])] * 3 + [(8, [0.0, 2.0**33, 0.0])] * 7
+    # Queries that share an id are one query that scores with each of its vectors.
+    padded = [(i, [math.floor(256 * x) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    best = {}
+    for q, a in {(q, tuple(a)) for q, a in padded if q % 10 == 0}:
+        best.setdefault(q, []).extend((-sum(x * y for x, y in zip(a, b)), i) for i, b in padded if i != q)
+    want = sorted((q, n + 1, i, -s) for q, found in best.items() for n, (s, i) in enumerate(sorted(found)[:5]))
+    full = [(*r, "", "") for r in rows]
+    assert run(spark, full) == want
+    assert run(spark, full, block_rows=16, group_queries=3) == want
