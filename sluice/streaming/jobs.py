@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +20,7 @@ from sluice.config import JobConfig
 from sluice.operators import decode, dedup, metrics, route, schema_guard
 from sluice.operators.transform import mapping_source
 from sluice.plans.stages import check_events, transform_and_validate
+from sluice.session import WorkFolder
 from sluice.sources import archive, tables, targets
 from sluice.streaming.calendar import DeadlineCalendar, with_clock
 from sluice.streaming.latest import PACKED, pack, unpack
@@ -53,7 +53,7 @@ class StreamingJob:
         self.spark, self.cfg, self.position = spark, cfg, position
         self.processing_time = processing_time
         self.pre_reduce, self.emit_superseded = pre_reduce, emit_superseded
-        root = warehouse.rstrip("/")
+        self.warehouse = root = warehouse.rstrip("/")
         self.archive = f"{root}/raw_archive"
         self.checked = f"{root}/checked_events"
         letters = f"{root}/{targets.letters_target(cfg.destination, cfg.backfill_settings, targets.STREAMING)}"
@@ -78,17 +78,13 @@ class StreamingJob:
         now = self.processing_time
         if now is None:
             now = F.lit(datetime.datetime.now(datetime.timezone.utc))
-        # Archive and checks both read it.
-        decoded = decode.decode_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        checked = check_events(decoded, self.cfg, streaming=True, processing_time=now)
-        dedup_cfg = self.cfg.streaming_tuning.get("dedup") or {}
-        if self.pre_reduce and dedup_cfg.get("mode", "single") != "none":
-            # At most one row per id and batch reaches the state, however hot the id is.
-            # The batch counts as arriving newest first.
-            checked = dedup.batch_dedup(checked, self.position, stage_reason="duplicate_or_older_event")
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        folder = WorkFolder(self.spark, "checks", below=self.warehouse)
         try:
-            archive.write_archive_batch(archive.archive_rows(decoded, now), self.archive, batch_id)
+            checked = self._checked(batch, now, folder)
+            # What the archive takes: every message that could be decoded.
+            decoded = checked.withColumn("_reject", F.when(metrics.stage_is("preprocess"), F.col("_reject")))
+            archive.write_archive_batch(archive.archive_rows(decoded, F.col("_ingest_ts")), self.archive, batch_id)
+            checked = self._reduced(checked, folder)
             letters = route.union_dead_letters(
                 route.dead_letters(checked), schema_guard.schema_traces(checked)
             )
@@ -101,8 +97,32 @@ class StreamingJob:
             sketch = metrics.lag_buckets(checked.filter(route.ok()), LAG_WINDOW_SEC)
             tables.write_batch_once(sketch.coalesce(1), self.lag_buckets, batch_id)
         finally:
-            checked.unpersist()
-            decoded.unpersist()
+            folder.close()
+
+    def _checked(self, batch: DataFrame, now: Column, folder: WorkFolder) -> DataFrame:
+        """Checked rows as a table, which archive and dedup read: each JSON text is parsed once.
+
+        Tables and no cached rows, as a large batch does not fit executors: when cached batches of columns go
+        to disk, Java's serializer holds up to a hundred of them of each task outside Spark's memory.
+        """
+        checked = check_events(decode.decode_messages(batch), self.cfg, streaming=True, processing_time=now)
+        # The message is kept only where a letter shows it.
+        text = F.when(metrics.stage_is("preprocess"), F.col("_text"))
+        raw = [c for c in ("value",) if c not in self.position]
+        return folder.write(checked.withColumns({"_text": text, "_ingest_ts": now}).drop(*raw), "checked")
+
+    def _reduced(self, checked: DataFrame, folder: WorkFolder) -> DataFrame:
+        """At most one accepted row per id, as a table, if the job reduces a batch before the dedup."""
+        narrow = checked.drop("_pubsub", "_ingest_ts", *([] if needs_envelope(self.cfg) else ["_event"]))
+        dedup_cfg = self.cfg.streaming_tuning.get("dedup") or {}
+        if not self.pre_reduce or dedup_cfg.get("mode", "single") == "none":
+            return narrow
+        # At most one row per id and batch reaches the state, however hot the id is.
+        # The batch counts as arriving newest first.
+        reduced = dedup.batch_dedup(narrow, self.position, stage_reason="duplicate_or_older_event")
+        reduced = folder.write(reduced, "reduced")
+        folder.drop("checked")
+        return reduced
 
     def start_checks(self, messages: DataFrame, trigger: dict) -> StreamingQuery:
         return (
@@ -115,26 +135,22 @@ class StreamingJob:
     # -- query 2 ----------------------------------------------------------------------
 
     def final_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            main = batch.filter(F.col("route") == "main").drop("route", "existing_us")
-            routed = transform_and_validate(unpack(main), self.cfg)
-            tables.write_table(routed.final_rows(), self.table, batch_id)
-            others = batch.filter(F.col("route") != "main")
-            reason = F.when(F.col("route") == "dropped", F.lit("duplicate_or_older_event")).otherwise(F.col("route"))
-            dropped = others.select(
-                F.lit("dedup").alias("stage"), "event_id", F.lit(None).cast("string").alias("error"),
-                reason.alias("reason"),
-                route.text_map(
-                    existing_ts=F.col("existing_us") / F.lit(1e6), incoming_ts=F.col("event_us") / F.lit(1e6)
-                ).alias("detail"),
-                *[F.lit(None).cast("string").alias(c) for c in ("raw", "message", "message_base64")],
-                F.to_json(F.struct("event_id", "event_type", "event_source", "event_ts", "payload_text")).alias("event_json"),
-            )
-            letters = route.union_dead_letters(routed.dead_letters(with_traces=False), dropped)
-            tables.write_batch_once(route.dead_letter_json(letters), self.letters, f"final-{batch_id}", text=True)
-        finally:
-            batch.unpersist()
+        main = batch.filter(F.col("route") == "main").drop("route", "existing_us")
+        routed = transform_and_validate(unpack(main), self.cfg)
+        tables.write_table(routed.final_rows(), self.table, batch_id)
+        others = batch.filter(F.col("route") != "main")
+        reason = F.when(F.col("route") == "dropped", F.lit("duplicate_or_older_event")).otherwise(F.col("route"))
+        dropped = others.select(
+            F.lit("dedup").alias("stage"), "event_id", F.lit(None).cast("string").alias("error"),
+            reason.alias("reason"),
+            route.text_map(
+                existing_ts=F.col("existing_us") / F.lit(1e6), incoming_ts=F.col("event_us") / F.lit(1e6)
+            ).alias("detail"),
+            *[F.lit(None).cast("string").alias(c) for c in ("raw", "message", "message_base64")],
+            F.to_json(F.struct("event_id", "event_type", "event_source", "event_ts", "payload_text")).alias("event_json"),
+        )
+        letters = route.union_dead_letters(routed.dead_letters(with_traces=False), dropped)
+        tables.write_batch_once(route.dead_letter_json(letters), self.letters, f"final-{batch_id}", text=True)
 
     def dedup_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.calendar is None:

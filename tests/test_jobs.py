@@ -17,6 +17,7 @@ from sluice.plans.backfill import check_range, run_backfill
 from sluice.plans.sample_config import EXPECTED_SCHEMA, sample_config
 from sluice.session import WorkFolder, work_dir
 from sluice.sources import archive, messages, sink_schema, tables, targets
+from sluice.streaming.jobs import StreamingJob
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -237,3 +238,42 @@ def test_stream_holds_the_latest_until_quiet(spark):
 def test_patterns_are_compiled_as_executors_do(spark):
     assert C.bad_patterns(["(?<year>[0-9]+)", "[a-z&&[^b]]"], spark) == []
     assert len(C.bad_patterns(["(?P<year>[0-9]+)", "("], spark)) == 2
+
+
+def test_micro_batches_hold_no_rows_in_executors(spark, monkeypatch):
+    """Archive, letters, events and counters of a batch come from tables; cached rows of a large one end an executor."""
+    event = lambda i, at, payload: json.dumps({"event_id": i, "event_type": "view", "event_source": "s", "event_ts": at, "payload": payload})
+    good = json.dumps({"visit_id": "VIS-1", "page": "p", "referrer": None, "region": "East", "signed_in": True, "millis": 5, "day": "2024-01-05", "scroll": 1})
+    texts = [
+        event("a", "2024-01-05T00:00:00Z", good), event("a", "2024-01-05T00:00:01Z", good), event("a", "2024-01-05T00:00:01Z", good),
+        event("b", "2024-01-05T00:00:00Z", good), event("c", "2024-01-05T00:00:00Z", "no json"), event("d", "2023-01-05T00:00:00Z", good), "broken", None,
+    ]
+    batch = spark.createDataFrame([(None if x is None else x.encode(), f"m{n}") for n, x in enumerate(texts)] + [(b"\xff", "m8")], "value binary, message_id string")
+    cfg, now = copy.deepcopy(sample_config()), F.lit("2024-01-05T00:00:05Z").cast("timestamp")
+    root = work_dir(spark, "no-cache")
+    job = StreamingJob(spark, cfg, root, processing_time=now)
+    place = WorkFolder(spark, "x", below=root).path.rsplit("/", 1)[0].removeprefix("file:")
+    work = lambda: {n for n in os.listdir(place) if n.startswith("checks-")} if os.path.exists(place) else set()
+    before = work()
+
+    def refuse(*_, **__):
+        raise AssertionError("rows are cached")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(batch), name, refuse)
+    job.check_batch(batch, 0)
+    job.final_batch(job.calendar.step(spark.read.parquet(job.checked), 0, now_ms=0), 0)
+    job.final_batch(job.calendar.flush(1, 10**9), 1)
+    assert {r["event_id"] for r in spark.read.parquet(job.table).collect()} == {"a", "b"}
+    read = archive.ARCHIVE_SCHEMA
+    kept = spark.read.schema(read).parquet(f"{job.archive}/batch_id=0").collect()
+    assert sorted(r["event_id"] for r in kept) == ["a", "a", "a", "b", "c", "d"]
+    assert {r["ingest_ts"] for r in kept} == {datetime.datetime(2024, 1, 5, 0, 0, 5)} and all(r["pubsub_metadata"] != "null" for r in kept)
+    letters = route.read_dead_letters(spark.read.text(f"{job.letters}/batch_id=checks-0")).collect()
+    assert sorted((r["stage"], r["reason"] or "", r["message"] or "", r["raw"] or "", r["message_base64"] or "") for r in letters) == [
+        ("dedup", "duplicate_or_older_event", "", "", "")] * 2 + [
+        ("late_data", "", "", "", ""), ("parse", "", "", "", ""), ("preprocess", "", "", "", ""), ("preprocess", "", "", "", "/w=="), ("preprocess", "", "broken", "broken", "")]
+    counters = {r["counter"]: r["value"] for r in spark.read.parquet(job.counters).collect()}
+    assert counters["events_in"] == 9 and counters["events_out"] == 2 and counters["dedup_dropped"] == 2
+    # The work tables are gone.
+    assert work() <= before
