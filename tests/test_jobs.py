@@ -17,6 +17,7 @@ from sluice.plans.backfill import check_range, run_backfill
 from sluice.plans.sample_config import EXPECTED_SCHEMA, sample_config
 from sluice.session import WorkFolder, work_dir
 from sluice.sources import archive, messages, sink_schema, tables, targets
+from sluice.streaming import demo
 from sluice.streaming.jobs import StreamingJob
 
 SMALL = "/root/testdata/sf0.001"
@@ -277,3 +278,17 @@ def test_micro_batches_hold_no_rows_in_executors(spark, monkeypatch):
     assert counters["events_in"] == 9 and counters["events_out"] == 2 and counters["dedup_dropped"] == 2
     # The work tables are gone.
     assert work() <= before
+
+
+def test_stream_letters_cache_nothing(spark, monkeypatch):
+    event = json.dumps({"event_id": "E", "event_type": "view", "event_source": "s", "event_ts": "2024-01-05T00:00:00Z", "payload": "x"})
+    texts = ["broken", event, "[1]", None, event.replace('"event_type"', '"other"')]
+    raw = spark.createDataFrame([(i, 0, 0, x, 1704412803, f"m{i}") for i, x in enumerate(texts)], "n long, c long, copy int, value string, proc_s long, message_id string")
+
+    def refuse(*_, **__):
+        raise AssertionError("rows are cached")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(raw), name, refuse)
+    rows = demo.stream_letters(spark, raw).collect()
+    assert {(r["stage"], r["message"]) for r in rows} == {("preprocess", x) for x in texts if x != event} and len(rows) == 4
