@@ -16,6 +16,9 @@ from sluice.streaming.jobs import StreamingJob
 from sluice.streaming.calendar import DeadlineCalendar
 from sluice.streaming.latest import PACKED, pack
 
+# Rows of a burst that leave the dedup per second at least, else the stream counts as stuck.
+BURST_ROWS_PER_SEC = 1000
+
 _RAW_COLUMNS = ["n", "c", "copy", "value", "proc_s", "message_id"]
 
 
@@ -170,7 +173,9 @@ def full_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     cfg.streaming_tuning["dedup"].update(buffer_seconds=1, max_state_age_sec=10**9)
     job = StreamingJob(spark, cfg, work_dir(spark, "stream"), processing_time=F.timestamp_seconds("proc_s"))
     job.start_checks(file_messages(spark, path, schema), {"availableNow": True}).awaitTermination()
-    job.drain_final(job.start_final({"processingTime": "1 second"}))
+    # A whole table is one burst: the wait grows with it.
+    rows = spark.read.parquet(job.checked).count()
+    job.drain_final(job.start_final({"processingTime": "1 second"}), 900 + rows / BURST_ROWS_PER_SEC)
     return spark.read.parquet(job.table).select(
         "event_id", "event_ts", "visit_id", "millis", "step", "week", "scroll_share", "row_id"
     )

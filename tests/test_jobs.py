@@ -292,3 +292,25 @@ def test_stream_letters_cache_nothing(spark, monkeypatch):
         monkeypatch.setattr(type(raw), name, refuse)
     rows = demo.stream_letters(spark, raw).collect()
     assert {(r["stage"], r["message"]) for r in rows} == {("preprocess", x) for x in texts if x != event} and len(rows) == 4
+
+
+def test_full_stream_caches_nothing_and_waits_for_its_rows(spark, monkeypatch):
+    payload = json.dumps({"visit_id": "VIS-1", "page": "p", "referrer": None, "region": "East", "signed_in": True, "millis": 5, "day": "2024-01-05", "scroll": 1})
+    text = [json.dumps({"event_id": f"E{i // 2}", "event_type": "view", "event_source": "s", "event_ts": f"2024-01-05T00:00:0{i % 2}Z", "payload": payload}) for i in range(8)]
+    raw = spark.createDataFrame([(i, 0, 0, x, 1704412803, f"m{i}") for i, x in enumerate(text)], "n long, c long, copy int, value string, proc_s long, message_id string")
+    waits, drain = [], StreamingJob.drain_final
+
+    def refuse(*_, **__):
+        raise AssertionError("rows are cached")
+
+    def noted(job, query, timeout_sec=900):
+        waits.append(timeout_sec)
+        drain(job, query, 300)
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(raw), name, refuse)
+    monkeypatch.setattr(StreamingJob, "drain_final", noted)
+    rows = demo.full_stream(spark, raw).collect()
+    assert sorted((r["event_id"], r["event_ts"]) for r in rows) == [(f"E{i}", "2024-01-05T00:00:01Z") for i in range(4)]
+    # Four events are left of eight messages; a table of any size may take its time.
+    assert waits == [900 + 4 / demo.BURST_ROWS_PER_SEC]
